@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The modelled workload is a full-refresh batch load (every layer is overwritten from the
+previous one); it has no stream source, watermark, late data or stateful operator, so
+none is provided here. A user who lands files continuously can run the batch layers per
+arriving folder with ``spark.read`` on that folder.
+"""
