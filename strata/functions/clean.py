@@ -70,8 +70,10 @@ def parse_date(col: str | Column, fmt: str = DATE_FORMAT, strict: bool = True) -
 
 
 def parse_ts(col: str | Column, fmt: str = TIMESTAMP_FORMAT, strict: bool = True) -> Column:
-    """Text timestamp -> TIMESTAMP."""
-    return F.to_timestamp(_c(col), fmt) if strict else F.try_to_timestamp(_c(col), F.lit(fmt))
+    """Text timestamp -> TIMESTAMP_NTZ (a wall-clock time, no zone)."""
+    if strict:
+        return F.to_timestamp_ntz(_c(col), F.lit(fmt))
+    return F.try_to_timestamp(_c(col), F.lit(fmt)).cast("timestamp_ntz")
 
 
 def row_stats(cols: list[str], base: float = 100.0, mean_scale: int = 3) -> dict[str, Column]:

@@ -60,19 +60,21 @@ TERCILE_CUTS = (0.3333, 0.6667)
 TERCILE_LABELS = ("PEQUENO", "MEDIO", "GRANDE")
 
 
-def dim_entity_terciles(df: DataFrame, key: str, attr: str, attr_scale: int = 2,
+def dim_entity_terciles(df: DataFrame, key: str, attr: str, attr_type: str = "decimal(14,2)",
                         accuracy: int = 100000) -> DataFrame:
     """D3: max(attr) per entity, classed by approximate terciles over the entities.
 
-    The cut points are a one-row aggregate (bounded memory through ``accuracy``) joined
-    to every entity by broadcast.
+    The cut points are a one-row aggregate (bounded memory through ``accuracy``; exact
+    while the number of entities is below it) joined to every entity by broadcast.
+    ``attr`` is reported as a decimal and scaled by 10,000 (hectares -> m2).
     """
     base = df.groupBy(key).agg(F.max(attr).alias("_a"))
     cuts = base.agg(F.percentile_approx("_a", list(TERCILE_CUTS), accuracy).alias("_t"))
     a, t = F.col("_a"), F.col("_t")
+    ad = a.cast(attr_type)
     return (base.crossJoin(F.broadcast(cuts)).select(
-        F.col(key), F.round(a, attr_scale).alias(attr),
-        F.round(a * F.lit(10000), 2).alias(f"{attr}_x10000"),
+        F.col(key), ad.alias(attr),
+        (ad * F.lit(10000).cast("decimal(5,0)")).alias(f"{attr}_x10000"),
         F.when(a <= t[0], F.lit(TERCILE_LABELS[0])).when(a <= t[1], F.lit(TERCILE_LABELS[1]))
         .otherwise(F.lit(TERCILE_LABELS[2])).alias("faixa")))
 

@@ -140,7 +140,8 @@ def classify(x: Column, mean: Column, sd: Column) -> Column:
 
 def pct_deviation(x: Column, mean: Column, digits: int) -> Column:
     """100 * (x / mean - 1) as one exact fraction 100 * (x - mean) / mean, NULL for mean 0."""
-    return F.round(F.lit(100) * (x - mean) / F.nullif(mean, F.lit(0)), digits)
+    m = mean.cast("decimal(28,10)")
+    return F.round((x - m) * F.lit(100).cast("decimal(3,0)") / F.nullif(m, F.lit(0)), digits)
 
 
 def yearly_answer(fact: DataFrame, stations: DataFrame, cutoff_month: int,
