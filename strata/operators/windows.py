@@ -3,14 +3,14 @@
 The literal form is a left join on ``d > prev AND d <= cur`` followed by a group by
 window. Without an equi-key Spark plans it as a broadcast nested loop join (windows x days).
 
-Here every window is answered by equi-joins on an integer day index against two helper
-tables that have one row per day of the driver's span (not per driver row):
+Here every window is answered by two equi-joins on an integer day index against one
+helper table with a row per day of the analysis span (not per driver row):
 
-* prefix table: running sum / non-NULL count / positive count / row count per measure,
-  so ``sum over (prev, cur] = P[cur] - P[prev]`` (NULL when no non-NULL value);
-* sparse table: ``M[k][i] = max over [i, i + 2^k)`` for every power of two, so
-  ``max over (prev, cur] = greatest(M[k][prev+1], M[k][cur-2^k+1])`` with
-  ``k = floor(log2(cur - prev))``.
+* running sums / non-NULL counts / positive counts / row counts per measure, so
+  ``sum over (prev, cur] = P[cur] - P[prev]`` (NULL when no non-NULL value);
+* doubling maxima ``F[k][i] = max over (i, i + 2^k]`` and ``B[k][i] = max over
+  (i - 2^k, i]``, so ``max over (prev, cur] = greatest(F[k][prev], B[k][cur])`` with
+  ``k = floor(log2(cur - prev))`` (the two ranges overlap and cover the window).
 
 The helpers are bounded by the analysis date range (a century is ~36.5k days), never by
 the data volume. The range is a parameter, so the helper size is known before any job
@@ -28,7 +28,6 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 1024           # days per block of the blocked prefix scan
 MAX_SPAN = 400_000     # refuse spans beyond ~1,000 years of days (a date-key sanity bound)
 
 
@@ -51,39 +50,40 @@ def _dense(daily: DataFrame, date: str, cols: list[str], lo, hi) -> DataFrame:
         F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(date))
     vals = (daily.filter(F.col(date).between(F.lit(lo), F.lit(hi)))
             .select(date, *cols).withColumn("_row", F.lit(1)))
-    return (days.join(vals, date, "left")
+    # at most one value row per calendar day: bounded by the span, broadcast into the days
+    return (days.join(F.broadcast(vals), date, "left")
             .withColumn("_i", F.datediff(F.col(date), F.lit(lo))))
 
 
-def _prefix(dense: DataFrame, exprs: dict[str, Column]) -> DataFrame:
-    """Inclusive running sums of ``exprs`` by day index, as a blocked scan:
-    running sums inside blocks of BLOCK days plus per-block offsets."""
-    blk = dense.withColumn("_b", F.floor(F.col("_i") / BLOCK))
-    w_in = Window.partitionBy("_b").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
-    within = blk.select("_i", "_b", *[F.sum(e).over(w_in).alias(n) for n, e in exprs.items()])
-    totals = blk.groupBy("_b").agg(*[F.sum(e).alias(n) for n, e in exprs.items()])
-    # one row per block (a span of a century is 36 rows): a global ordered window is fine
-    w_off = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_b", *[F.coalesce(F.sum(n).over(w_off), F.lit(0)).alias(f"_o_{n}")
-                                    for n in exprs])
-    return (within.join(F.broadcast(offsets), "_b")
-            .select("_i", *[(F.coalesce(F.col(n), F.lit(0)) + F.col(f"_o_{n}")).alias(n)
-                            for n in exprs]))
-
-
-def _sparse_max(dense: DataFrame, cols: list[str], levels: int) -> DataFrame:
-    """Long sparse table (_k, _i, max per column over [_i, _i + 2^_k))."""
-    w = Window.orderBy("_i")  # over the dense calendar: one row per day of the span
-    t = dense.select("_i", *[F.col(c).alias(f"{c}__0") for c in cols])
+def _helper(dense: DataFrame, exprs: dict[str, Column], max_cols: list[str],
+            levels: int) -> DataFrame:
+    """One row per day index ``_i`` of the calendar with
+
+    * ``P_<n>``: inclusive running sum of ``exprs[n]`` up to day ``_i``;
+    * ``F_<c>``: array, element k = max of ``c`` over days ``_i + 1 .. _i + 2^k``;
+    * ``B_<c>``: array, element k = max of ``c`` over days ``_i - 2^k + 1 .. _i``.
+
+    Built by doubling (each level is one lead/lag of the previous one) in one ordered pass
+    over the calendar, whose size is the analysis span in days, not the data volume.
+    """
+    w = Window.orderBy("_i")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    # a running SUM over leading NULLs is NULL: those days have a prefix of 0
+    t = dense.select("_i", *[F.coalesce(F.sum(e).over(run), F.lit(0)).alias(f"P_{n}")
+                             for n, e in exprs.items()],
+                     *[F.lead(c, 1).over(w).alias(f"{c}__f0") for c in max_cols],
+                     *[F.col(c).alias(f"{c}__b0") for c in max_cols])
     for k in range(1, levels + 1):
         h = 1 << (k - 1)
-        t = t.select("*", *[F.greatest(F.col(f"{c}__{k-1}"),
-                                       F.lead(f"{c}__{k-1}", h).over(w)).alias(f"{c}__{k}")
-                            for c in cols])
-    structs = [F.struct(F.lit(k).alias("_k"), *[F.col(f"{c}__{k}").alias(c) for c in cols])
-               for k in range(levels + 1)]
-    return t.select("_i", F.explode(F.array(*structs)).alias("_s")).select("_s._k", "_i",
-                                                                          *[f"_s.{c}" for c in cols])
+        t = t.select("*", *[F.greatest(F.col(f"{c}__f{k-1}"), F.lead(f"{c}__f{k-1}", h).over(w))
+                            .alias(f"{c}__f{k}") for c in max_cols],
+                     *[F.greatest(F.col(f"{c}__b{k-1}"), F.lag(f"{c}__b{k-1}", h).over(w))
+                       .alias(f"{c}__b{k}") for c in max_cols])
+    return t.select("_i", *[f"P_{n}" for n in exprs],
+                    *[F.array(*[F.col(f"{c}__f{k}") for k in range(levels + 1)]).alias(f"F_{c}")
+                      for c in max_cols],
+                    *[F.array(*[F.col(f"{c}__b{k}") for k in range(levels + 1)]).alias(f"B_{c}")
+                      for c in max_cols])
 
 
 def attribute_windows(windows: DataFrame, daily: DataFrame, aggs: list[Agg],
@@ -95,10 +95,10 @@ def attribute_windows(windows: DataFrame, daily: DataFrame, aggs: list[Agg],
 
     ``daily`` must have one row per ``date``. ``start``/``end`` bound the analysis: every
     window must lie inside ``[start - 1 day, end]`` (true when the level series is scoped to
-    the same range before its lag); driver days outside are ignored. The helper tables have
-    ``end - start + 2`` rows (times log2 of that for the max table), known before any job
-    runs, so the broadcast decision needs no action. Windows with NULL bounds get NULL
-    sums/max and zero counts, like a left join that matches nothing.
+    the same range before its lag); driver days outside are ignored. The helper table has
+    ``end - start + 2`` rows, known before any job runs, so the broadcast decision needs
+    no action. Windows with NULL bounds get NULL sums/max and zero counts, like a left join
+    that matches nothing. Two broadcast hash joins per call; the windows are not shuffled.
     """
     lo = _as_date(start) - timedelta(days=1)
     hi = _as_date(end)
@@ -118,20 +118,31 @@ def attribute_windows(windows: DataFrame, daily: DataFrame, aggs: list[Agg],
             exprs[f"_n_{a.col}"] = F.when(F.col(a.col).isNotNull(), 1).otherwise(0)
         elif a.kind == "count_pos":
             exprs[f"_p_{a.col}"] = F.when(F.col(a.col) > 0, 1).otherwise(0)
-    prefix = _prefix(dense, exprs)
+    max_cols = sorted({a.col for a in aggs if a.kind == "max"})
+    levels = max(0, int(math.floor(math.log2(span)))) if max_cols else 0
+    helper = _helper(dense, exprs, max_cols, levels)
 
     w = windows.withColumns({
         "_ip": F.least(F.greatest(F.datediff(F.col(prev), F.lit(lo)), F.lit(0)), F.lit(span)),
         "_ic": F.least(F.greatest(F.datediff(F.col(cur), F.lit(lo)), F.lit(0)), F.lit(span)),
     })
-    pa = prefix.select(F.col("_i").alias("_ip"), *[F.col(n).alias(f"{n}__a") for n in exprs])
-    pb = prefix.select(F.col("_i").alias("_ic"), *[F.col(n).alias(f"{n}__b") for n in exprs])
-    w = w.join(bc(pa), "_ip", "left").join(bc(pb), "_ic", "left")
+    # the same helper frame on both sides, so its broadcast is built once and reused
+    ha, hb = bc(helper).alias("_ha"), bc(helper).alias("_hb")
+    w = (w.join(ha, F.col("_ip") == F.col("_ha._i"), "left")
+          .join(hb, F.col("_ic") == F.col("_hb._i"), "left"))
+    w = w.select(*windows.columns, "_ip", "_ic",
+                 *[F.col(f"_ha.P_{n}").alias(f"{n}__a") for n in exprs],
+                 *[F.col(f"_hb.P_{n}").alias(f"{n}__b") for n in exprs],
+                 *[F.col(f"_ha.F_{c}").alias(f"F_{c}") for c in max_cols],
+                 *[F.col(f"_hb.B_{c}").alias(f"B_{c}") for c in max_cols])
 
     def diff(n):
         return F.coalesce(F.col(f"{n}__b") - F.col(f"{n}__a"), F.lit(0))
 
     valid = F.col(prev).isNotNull() & F.col(cur).isNotNull() & (F.col("_ic") > F.col("_ip"))
+    length = F.col("_ic") - F.col("_ip")
+    # floor(log2(length)) exactly: bit length of the binary text; element_at is 1-based
+    pos = F.length(F.bin(length))
     outs = {}
     for a in aggs:
         if a.kind == "sum":
@@ -142,26 +153,10 @@ def attribute_windows(windows: DataFrame, daily: DataFrame, aggs: list[Agg],
             outs[a.out] = F.when(valid, diff(f"_p_{a.col}")).otherwise(0).cast("bigint")
         elif a.kind == "count_rows":
             outs[a.out] = F.when(valid, diff("_rows")).otherwise(0).cast("bigint")
-
-    max_cols = sorted({a.col for a in aggs if a.kind == "max"})
-    if max_cols:
-        levels = max(0, int(math.floor(math.log2(max(span, 1)))))
-        sparse = _sparse_max(dense, max_cols, levels)
-        length = F.col("_ic") - F.col("_ip")
-        # floor(log2(length)) exactly: bit length of the binary text minus one
-        k = F.when(length > 0, (F.length(F.bin(length)) - 1).cast("int"))
-        w = w.withColumn("_k", k).withColumns({
-            "_ia": F.col("_ip") + 1, "_ib": F.expr("_ic - shiftleft(1, _k) + 1")})
-        sa = sparse.select(F.col("_k"), F.col("_i").alias("_ia"),
-                           *[F.col(c).alias(f"{c}__ma") for c in max_cols])
-        sb = sparse.select(F.col("_k"), F.col("_i").alias("_ib"),
-                           *[F.col(c).alias(f"{c}__mb") for c in max_cols])
-        w = w.join(bc(sa), ["_k", "_ia"], "left").join(bc(sb), ["_k", "_ib"], "left")
-        for a in aggs:
-            if a.kind == "max":
-                outs[a.out] = F.when(valid, F.greatest(F.col(f"{a.col}__ma"), F.col(f"{a.col}__mb")))
-    keep = [c for c in windows.columns]
-    return w.select(*keep, *[outs[a.out].alias(a.out) for a in aggs])
+        elif a.kind == "max":
+            outs[a.out] = F.when(valid, F.greatest(F.element_at(F.col(f"F_{a.col}"), pos),
+                                                   F.element_at(F.col(f"B_{a.col}"), pos)))
+    return w.select(*windows.columns, *[outs[a.out].alias(a.out) for a in aggs])
 
 
 def _as_date(v) -> _dt.date:
@@ -191,9 +186,17 @@ def attribute_windows_literal(windows: DataFrame, daily: DataFrame, aggs: list[A
     return wid.join(agg, "_wid").drop("_wid")
 
 
-def with_coverage(windows: DataFrame, driver: DataFrame, driver_date: str, cur: str,
-                  out: str) -> DataFrame:
-    """F8: ``cur <= max(driver date)`` over the whole driver table (one-row broadcast)."""
-    mx = driver.agg(F.max(driver_date).alias(f"_{out}_max"))
-    return (windows.crossJoin(F.broadcast(mx))
-            .withColumn(out, F.col(cur) <= F.col(f"_{out}_max")).drop(f"_{out}_max"))
+def with_coverage(windows: DataFrame, last_days: dict[str, DataFrame], cur: str) -> DataFrame:
+    """F8: ``cur <= max(driver date)`` over the whole driver table, one flag per driver.
+
+    ``last_days`` maps output flag -> a frame with one DATE column holding the driver's
+    days; each maximum is a one-row aggregate (map-side partial max), broadcast once.
+    """
+    lasts = None
+    for out, days in last_days.items():
+        one = days.agg(F.max(days.columns[0]).alias(f"_{out}_max"))
+        lasts = one if lasts is None else lasts.crossJoin(one)
+    w = windows.crossJoin(F.broadcast(lasts))
+    for out in last_days:
+        w = w.withColumn(out, F.col(cur) <= F.col(f"_{out}_max")).drop(f"_{out}_max")
+    return w

@@ -24,6 +24,11 @@ def ntz(day: str):
     return F.expr(f"TIMESTAMP_NTZ'{day} 00:00:00'")
 
 
+def _next_day(day: str) -> str:
+    import datetime as dt
+    return (dt.date.fromisoformat(day) + dt.timedelta(days=1)).isoformat()
+
+
 class Model:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -175,21 +180,30 @@ class Model:
              .select("cristalizador", "data_medicao", "data_medicao_anterior", "dias_corridos",
                      "variacao", "crescimento", "flag_base_zerada"))
         start, end = spec.LEVEL_SCOPE
-        w = windows.attribute_windows(w, self.rain_day, [
+        # both daily drivers in one table (one row per day present in either)
+        daily = self.rain_day.join(self.evap_day, "data", "full")
+        w = windows.attribute_windows(w, daily, [
             Agg("sum", "chuva_volume_mm", "chuva_mm"),
             Agg("count_pos", "chuva_dias_registrados", "chuva_mm"),
             Agg("max", "chuva_max_dia_mm", "chuva_mm"),
-            Agg("count_rows", "dias_lidos_janela"),
-        ], start, end)
-        w = windows.attribute_windows(w, self.evap_day, [
+            Agg("count", "dias_lidos_janela", "chuva_mm"),
             Agg("sum", "evap_agua_total_mm", "evap_agua_mm"),
             Agg("sum", "evap_salmoura_total_mm", "evap_salmoura_mm"),
             Agg("sum", "dias_retirada_janela", "teve_retirada"),
         ], start, end)
-        w = windows.with_coverage(w, self.fact_rain, "data", "data_medicao",
-                                  "cobertura_pluviometrica_ok")
-        return windows.with_coverage(w, self.fact_evap, "data", "data_medicao",
-                                     "cobertura_bacia_ok")
+        # coverage: the last day each driver delivered, read straight from the rows that
+        # build its daily table (a one-column scan with a partial max, no re-aggregation)
+        rain_days = (self.table("lineitem")
+                     .filter((F.col("l_shipdate") < ntz(spec.RAIN_END))
+                             & F.col("l_quantity").isNotNull())
+                     .select(F.to_date("l_shipdate").alias("d")))
+        basin_days = (self.table("lineitem")
+                      .filter((F.col("l_returnflag") == spec.BASIN_SCOPE)
+                              & (F.col("l_shipdate") >= ntz(spec.LEVEL_SCOPE[0]))
+                              & (F.col("l_shipdate") < ntz(_next_day(spec.LEVEL_SCOPE[1]))))
+                      .select(F.to_date("l_shipdate").alias("d")))
+        return windows.with_coverage(w, {"cobertura_pluviometrica_ok": rain_days,
+                                         "cobertura_bacia_ok": basin_days}, "data_medicao")
 
     @cached_property
     def monthly(self) -> DataFrame:
