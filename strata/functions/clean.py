@@ -66,7 +66,7 @@ def normalize_label(col: str | Column) -> Column:
 
 def parse_date(col: str | Column, fmt: str = DATE_FORMAT, strict: bool = True) -> Column:
     """Text date -> DATE (strict raises under ANSI, tolerant gives NULL)."""
-    return F.to_date(_c(col), fmt) if strict else F.try_to_date(_c(col), F.lit(fmt))
+    return F.to_date(_c(col), fmt) if strict else F.try_to_date(_c(col), fmt)
 
 
 def parse_ts(col: str | Column, fmt: str = TIMESTAMP_FORMAT, strict: bool = True) -> Column:

@@ -115,13 +115,14 @@ def percentile_vs_baseline(df: DataFrame, value: str, is_base: str,
     value has no row below it (0). Partitioned by ``by`` when given.
     """
     by = by or []
-    b = F.when(F.col(is_base), 1).otherwise(0)
+    # baseline rows with a NULL value are never "below" anything, but they do count in n
+    b = F.when(F.col(is_base) & F.col(value).isNotNull(), 1).otherwise(0)
     order = Window.partitionBy(*by).orderBy(F.col(value).asc_nulls_first()) \
         .rangeBetween(Window.unboundedPreceding, 0)
     ties = Window.partitionBy(*by, value)
     total = Window.partitionBy(*by)
     below = F.sum(b).over(order) - F.sum(b).over(ties)
-    n = F.sum(b).over(total)
+    n = F.sum(F.when(F.col(is_base), 1).otherwise(0)).over(total)
     return df.withColumns({
         "_abaixo": F.when(F.col(value).isNull(), 0).otherwise(below),
         "_n_base": n,
