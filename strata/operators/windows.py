@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import math
+import uuid
 from dataclasses import dataclass
 from datetime import timedelta
 
@@ -43,15 +44,23 @@ class Agg:
     col: str | None = None
 
 
-def _dense(daily: DataFrame, date: str, cols: list[str], lo, hi) -> DataFrame:
-    """Dense calendar [lo, hi] with the daily values joined on (NULL = no row)."""
-    spark = daily.sparkSession
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(date))
-    vals = (daily.filter(F.col(date).between(F.lit(lo), F.lit(hi)))
-            .select(date, *cols).withColumn("_row", F.lit(1)))
-    # at most one value row per calendar day: bounded by the span, broadcast into the days
-    return (days.join(F.broadcast(vals), date, "left")
+def _dense(daily: DataFrame | list[DataFrame], date: str, cols: list[str], lo, hi) -> DataFrame:
+    """Dense calendar [lo, hi] with each daily table's values joined on (NULL = no row).
+
+    Every daily table has at most one row per calendar day, so it is bounded by the span
+    and broadcast into the calendar (no shuffle, no join between the daily tables).
+    """
+    tables = daily if isinstance(daily, list) else [daily]
+    spark = tables[0].sparkSession
+    out = spark.range(1).select(F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(date))
+    for n, t in enumerate(tables):
+        mine = [c for c in cols if c in t.columns]
+        vals = (t.filter(F.col(date).between(F.lit(lo), F.lit(hi)))
+                .select(date, *mine, F.lit(1).alias(f"_row{n}")))
+        out = out.join(F.broadcast(vals), date, "left")
+    rows = [F.coalesce(F.col(f"_row{n}"), F.lit(0)) for n in range(len(tables))]
+    present = F.greatest(*rows) if len(rows) > 1 else rows[0]
+    return (out.withColumn("_row", present)
             .withColumn("_i", F.datediff(F.col(date), F.lit(lo))))
 
 
@@ -59,41 +68,47 @@ def _helper(dense: DataFrame, exprs: dict[str, Column], max_cols: list[str],
             levels: int) -> DataFrame:
     """One row per day index ``_i`` of the calendar with
 
-    * ``P_<n>``: inclusive running sum of ``exprs[n]`` up to day ``_i``;
+    * ``P_<n>``: inclusive running sum of ``exprs[n]`` up to day ``_i`` (0 before any value);
     * ``F_<c>``: array, element k = max of ``c`` over days ``_i + 1 .. _i + 2^k``;
     * ``B_<c>``: array, element k = max of ``c`` over days ``_i - 2^k + 1 .. _i``.
 
     Built by doubling (each level is one lead/lag of the previous one) in one ordered pass
-    over the calendar, whose size is the analysis span in days, not the data volume.
+    over the calendar, whose size is the analysis span in days, not the data volume. The
+    level chain is one SQL statement, so the plan is analysed once rather than per level.
     """
-    w = Window.orderBy("_i")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    # a running SUM over leading NULLs is NULL: those days have a prefix of 0
-    t = dense.select("_i", *[F.coalesce(F.sum(e).over(run), F.lit(0)).alias(f"P_{n}")
-                             for n, e in exprs.items()],
-                     *[F.lead(c, 1).over(w).alias(f"{c}__f0") for c in max_cols],
-                     *[F.col(c).alias(f"{c}__b0") for c in max_cols])
+    base = dense.select("_i", *[e.alias(f"E_{n}") for n, e in exprs.items()],
+                        *[F.col(c).alias(f"V_{j}") for j, c in enumerate(max_cols)])
+    view = f"_strata_dense_{uuid.uuid4().hex}"
+    base.createOrReplaceTempView(view)
+    w = "OVER (ORDER BY _i)"
+    sel = ["_i"] + [f"coalesce(sum(E_{n}) OVER (ORDER BY _i ROWS BETWEEN UNBOUNDED PRECEDING "
+                    f"AND CURRENT ROW), 0) AS P_{n}" for n in exprs]
+    sel += [f"lead(V_{j}, 1) {w} AS f{j}_0, V_{j} AS b{j}_0" for j in range(len(max_cols))]
+    sql = f"SELECT {', '.join(sel)} FROM {view}"
+    carried = ["_i"] + [f"P_{n}" for n in exprs]
     for k in range(1, levels + 1):
         h = 1 << (k - 1)
-        t = t.select("*", *[F.greatest(F.col(f"{c}__f{k-1}"), F.lead(f"{c}__f{k-1}", h).over(w))
-                            .alias(f"{c}__f{k}") for c in max_cols],
-                     *[F.greatest(F.col(f"{c}__b{k-1}"), F.lag(f"{c}__b{k-1}", h).over(w))
-                       .alias(f"{c}__b{k}") for c in max_cols])
-    return t.select("_i", *[f"P_{n}" for n in exprs],
-                    *[F.array(*[F.col(f"{c}__f{k}") for k in range(levels + 1)]).alias(f"F_{c}")
-                      for c in max_cols],
-                    *[F.array(*[F.col(f"{c}__b{k}") for k in range(levels + 1)]).alias(f"B_{c}")
-                      for c in max_cols])
-
-
-def attribute_windows(windows: DataFrame, daily: DataFrame, aggs: list[Agg],
+        prev = [f"f{j}_{i}" for j in range(len(max_cols)) for i in range(k)] + \
+               [f"b{j}_{i}" for j in range(len(max_cols)) for i in range(k)]
+        new_cols = [f"greatest(f{j}_{k-1}, lead(f{j}_{k-1}, {h}) {w}) AS f{j}_{k}, "
+                    f"greatest(b{j}_{k-1}, lag(b{j}_{k-1}, {h}) {w}) AS b{j}_{k}"
+                    for j in range(len(max_cols))]
+        sql = f"SELECT {', '.join(carried + prev + new_cols)} FROM ({sql}) t{k}"
+    arrays = [f"array({', '.join(f'f{j}_{k}' for k in range(levels + 1))}) AS F_{c}, "
+              f"array({', '.join(f'b{j}_{k}' for k in range(levels + 1))}) AS B_{c}"
+              for j, c in enumerate(max_cols)]
+    return dense.sparkSession.sql(f"SELECT {', '.join(carried + arrays)} FROM ({sql}) t")
+
+
+def attribute_windows(windows: DataFrame, daily: DataFrame | list[DataFrame], aggs: list[Agg],
                       start, end, prev: str = "data_medicao_anterior",
                       cur: str = "data_medicao", date: str = "data",
                       sum_type: str = "decimal(28,6)",
                       broadcast_span: int = 60_000) -> DataFrame:
     """Add one column per ``Agg`` to ``windows`` for the days in ``(prev, cur]``.
 
-    ``daily`` must have one row per ``date``. ``start``/``end`` bound the analysis: every
+    ``daily`` (one frame or a list) must have one row per ``date``; a list behaves like
+    the full outer join of its frames on ``date``. ``start``/``end`` bound the analysis: every
     window must lie inside ``[start - 1 day, end]`` (true when the level series is scoped to
     the same range before its lag); driver days outside are ignored. The helper table has
     ``end - start + 2`` rows, known before any job runs, so the broadcast decision needs

@@ -32,9 +32,13 @@ def _next_day(day: str) -> str:
 class Model:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        """One scan definition per table (file listing and schema read once)."""
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     # ------------------------------------------------------------ bronze-like text
     @cached_property
@@ -180,9 +184,8 @@ class Model:
              .select("cristalizador", "data_medicao", "data_medicao_anterior", "dias_corridos",
                      "variacao", "crescimento", "flag_base_zerada"))
         start, end = spec.LEVEL_SCOPE
-        # both daily drivers in one table (one row per day present in either)
-        daily = self.rain_day.join(self.evap_day, "data", "full")
-        w = windows.attribute_windows(w, daily, [
+        # both daily drivers, each joined into the calendar of the analysis range
+        w = windows.attribute_windows(w, [self.rain_day, self.evap_day], [
             Agg("sum", "chuva_volume_mm", "chuva_mm"),
             Agg("count_pos", "chuva_dias_registrados", "chuva_mm"),
             Agg("max", "chuva_max_dia_mm", "chuva_mm"),
