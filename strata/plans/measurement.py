@@ -30,9 +30,12 @@ def _next_day(day: str) -> str:
 
 
 class Model:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, silver: dict[str, DataFrame] | None = None):
+        """``silver`` optionally supplies already written silver tables
+        (keys ``levels``, ``rain``, ``basins``); gold is then built from them."""
         self.spark, self.sf_dir = spark, sf_dir
         self._tables: dict[str, DataFrame] = {}
+        self._silver = silver or {}
 
     def table(self, name: str) -> DataFrame:
         """One scan definition per table (file listing and schema read once)."""
@@ -68,6 +71,8 @@ class Model:
     # ------------------------------------------------------------ silver
     @cached_property
     def silver_levels(self) -> DataFrame:
+        if "levels" in self._silver:
+            return self._silver["levels"]
         o = self.table("orders").select(
             "o_orderkey", F.col("o_custkey").alias("cristalizador"),
             F.to_date("o_orderdate").alias("data_medicao"), "o_totalprice")
@@ -79,6 +84,8 @@ class Model:
 
     @cached_property
     def silver_rain(self) -> DataFrame:
+        if "rain" in self._silver:
+            return self._silver["rain"]
         li = self.table("lineitem").filter(F.col("l_shipdate") < ntz(spec.RAIN_END))
         return li.groupBy(F.col("l_suppkey").alias("estacao"),
                           F.to_date("l_shipdate").alias("data_registro")).agg(
@@ -86,6 +93,8 @@ class Model:
 
     @cached_property
     def silver_basins(self) -> DataFrame:
+        if "basins" in self._silver:
+            return self._silver["basins"]
         li = self.table("lineitem")
         q = F.col("l_quantity").cast("decimal(12,2)")
 
@@ -194,20 +203,33 @@ class Model:
             Agg("sum", "evap_salmoura_total_mm", "evap_salmoura_mm"),
             Agg("sum", "dias_retirada_janela", "teve_retirada"),
         ], start, end)
-        # coverage: the last day each driver delivered, read straight from the rows that
-        # build its daily table (a one-column scan with a partial max, no re-aggregation)
-        rain_days = (self.table("lineitem")
-                     .filter((F.col("l_shipdate") < ntz(spec.RAIN_END))
-                             & F.col("l_quantity").isNotNull())
-                     .select(F.to_date("l_shipdate").alias("d")))
-        basin_days = (self.table("lineitem")
-                      .filter((F.col("l_returnflag") == spec.BASIN_SCOPE)
-                              & (F.col("l_shipdate") >= ntz(spec.LEVEL_SCOPE[0]))
-                              & (F.col("l_shipdate") < ntz(_next_day(spec.LEVEL_SCOPE[1]))))
-                      .select(F.to_date("l_shipdate").alias("d")))
+        rain_days, basin_days = self._driver_days()
         return windows.with_coverage(w, {"cobertura_pluviometrica_ok": rain_days,
                                          "cobertura_bacia_ok": basin_days}, "data_medicao")
 
+    def _driver_days(self) -> tuple[DataFrame, DataFrame]:
+        """Days on which each driver delivered, for the coverage flags (F8).
+
+        From written silver tables when given; otherwise straight from the rows that build
+        them (a one-column scan with a partial max, no re-aggregation).
+        """
+        s0, s1 = spec.LEVEL_SCOPE
+        if "rain" in self._silver and "basins" in self._silver:
+            rain = self.silver_rain.filter(F.col("milimetros").isNotNull()) \
+                .select(F.col("data_registro").alias("d"))
+            basin = self.silver_basins.filter(
+                (F.col("bacia") == spec.BASIN_SCOPE)
+                & F.col("data_registro").between(F.lit(s0).cast("date"), F.lit(s1).cast("date"))) \
+                .select(F.col("data_registro").alias("d"))
+            return rain, basin
+        li = self.table("lineitem")
+        rain = (li.filter((F.col("l_shipdate") < ntz(spec.RAIN_END)) & F.col("l_quantity").isNotNull())
+                .select(F.to_date("l_shipdate").alias("d")))
+        basin = (li.filter((F.col("l_returnflag") == spec.BASIN_SCOPE)
+                           & (F.col("l_shipdate") >= ntz(s0)) & (F.col("l_shipdate") < ntz(_next_day(s1))))
+                 .select(F.to_date("l_shipdate").alias("d")))
+        return rain, basin
+
     @cached_property
     def monthly(self) -> DataFrame:
         return stats.fact_monthly(self.windows)
