@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.scalars import attach
+
 # Portuguese month names, January first.
 MONTH_NAMES = ["Janeiro", "Fevereiro", "Março", "Abril", "Maio", "Junho",
                "Julho", "Agosto", "Setembro", "Outubro", "Novembro", "Dezembro"]
@@ -64,15 +66,15 @@ def dim_entity_terciles(df: DataFrame, key: str, attr: str, attr_type: str = "de
                         accuracy: int = 100000) -> DataFrame:
     """D3: max(attr) per entity, classed by approximate terciles over the entities.
 
-    The cut points are a one-row aggregate (bounded memory through ``accuracy``; exact
-    while the number of entities is below it) joined to every entity by broadcast.
+    The cut points are a one-row aggregate over the entities (bounded memory through
+    ``accuracy``; exact while the number of entities is below it), attached by broadcast.
     ``attr`` is reported as a decimal and scaled by 10,000 (hectares -> m2).
     """
     base = df.groupBy(key).agg(F.max(attr).alias("_a"))
     cuts = base.agg(F.percentile_approx("_a", list(TERCILE_CUTS), accuracy).alias("_t"))
     a, t = F.col("_a"), F.col("_t")
     ad = a.cast(attr_type)
-    return (base.crossJoin(F.broadcast(cuts)).select(
+    return (attach(base, cuts).select(
         F.col(key), ad.alias(attr),
         (ad * F.lit(10000).cast("decimal(5,0)")).alias(f"{attr}_x10000"),
         F.when(a <= t[0], F.lit(TERCILE_LABELS[0])).when(a <= t[1], F.lit(TERCILE_LABELS[1]))

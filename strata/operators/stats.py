@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.dims import month_name
 from strata.operators.facts import exact_avg
+from strata.operators.scalars import attach
 
 
 def _round(x: Column, digits: int, dtype: str) -> Column:
@@ -156,7 +157,7 @@ def yearly_answer(fact: DataFrame, stations: DataFrame, cutoff_month: int,
                                     "total_recorte_sem_suspeita", "_base")
     x = F.col("total_recorte_sem_suspeita")
     mean, sd = F.col("media_hist"), F.col("desvio_hist")
-    return (ranked.join(events, "ano").crossJoin(F.broadcast(hist)).select(
+    return (attach(ranked.join(events, "ano"), hist).select(
         "ano",
         _round(F.col("total_recorte"), 1, "decimal(12,1)").alias("total_mm_recorte"),
         _round(x, 1, "decimal(12,1)").alias("total_mm_recorte_sem_suspeita"),

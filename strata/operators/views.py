@@ -1,8 +1,8 @@
 """Analytical views and answers.
 
 Whole-set MIN/MAX windows (``OVER ()``) would move every row to one partition; here the
-bounds are a one-row aggregate joined back by broadcast (R2). Per-metric bounds are a
-grouped aggregate joined on the metric.
+bounds are one global aggregate (map-side partials) attached to every row by broadcast
+(R2). Per-metric bounds are a grouped aggregate joined on the metric.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.scalars import attach
+
 
 def minmax_scale(x: Column, lo: Column, hi: Column, inverted: bool = False) -> Column:
     """100 * (x - min) / (max - min), or 100 * (max - x) / (max - min); zero range -> NULL;
@@ -25,8 +27,7 @@ def minmax_normalise(df: DataFrame, cols: dict[str, str], inverted: set[str] | N
     inverted = inverted or set()
     bounds = df.agg(*[F.min(c).alias(f"_min_{c}") for c in cols],
                     *[F.max(c).alias(f"_max_{c}") for c in cols])
-    j = df.crossJoin(F.broadcast(bounds))
-    return j.select(*df.columns, *[
+    return attach(df, bounds).select(*df.columns, *[
         minmax_scale(F.col(c), F.col(f"_min_{c}"), F.col(f"_max_{c}"), c in inverted).alias(o)
         for c, o in cols.items()])
 

@@ -29,6 +29,8 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.scalars import attach, product
+
 MAX_SPAN = 400_000     # refuse spans beyond ~1,000 years of days (a date-key sanity bound)
 
 
@@ -205,13 +207,11 @@ def with_coverage(windows: DataFrame, last_days: dict[str, DataFrame], cur: str)
     """F8: ``cur <= max(driver date)`` over the whole driver table, one flag per driver.
 
     ``last_days`` maps output flag -> a frame with one DATE column holding the driver's
-    days; each maximum is a one-row aggregate (map-side partial max), broadcast once.
+    days. The maxima are one-row aggregates (map-side partial max) attached by broadcast.
     """
-    lasts = None
-    for out, days in last_days.items():
-        one = days.agg(F.max(days.columns[0]).alias(f"_{out}_max"))
-        lasts = one if lasts is None else lasts.crossJoin(one)
-    w = windows.crossJoin(F.broadcast(lasts))
+    lasts = product(*[days.agg(F.max(days.columns[0]).alias(f"_{out}_max"))
+                      for out, days in last_days.items()])
+    w = attach(windows, lasts)
     for out in last_days:
         w = w.withColumn(out, F.col(cur) <= F.col(f"_{out}_max")).drop(f"_{out}_max")
     return w

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.clean import (normalize_label, parse_date, parse_number, parse_ts)
 from strata.operators import dims, facts, quality, stats, windows
+from strata.operators.scalars import product
 from strata.operators.windows import Agg
 from strata.plans import spec
 from strata.sources.dirty import dirty_orders
@@ -124,7 +125,7 @@ class Model:
         """D1 over whole years covering the level and driver series."""
         o = self.table("orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
         li = self.table("lineitem").agg(F.min("l_shipdate").alias("c"), F.max("l_shipdate").alias("d"))
-        bounds = o.crossJoin(li).select(
+        bounds = product(o, li).select(
             F.make_date(F.year(F.least("a", "c")), F.lit(1), F.lit(1)).alias("inicio"),
             F.make_date(F.year(F.greatest("b", "d")), F.lit(12), F.lit(31)).alias("fim"))
         return dims.dim_calendar(dims.calendar_days(bounds), season=spec.SEASON,
