@@ -76,7 +76,7 @@ def dim_entity_terciles(df: DataFrame, key: str, attr: str, attr_type: str = "de
     ad = a.cast(attr_type)
     return (attach(base, cuts).select(
         F.col(key), ad.alias(attr),
-        (ad * F.lit(10000).cast("decimal(5,0)")).alias(f"{attr}_x10000"),
+        (ad * F.lit(10000).cast("decimal(5,0)")).cast("decimal(18,2)").alias(f"{attr}_x10000"),
         F.when(a <= t[0], F.lit(TERCILE_LABELS[0])).when(a <= t[1], F.lit(TERCILE_LABELS[1]))
         .otherwise(F.lit(TERCILE_LABELS[2])).alias("faixa")))
 

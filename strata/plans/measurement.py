@@ -113,10 +113,10 @@ class Model:
         n1, n2 = F.col("_n1"), F.col("_n2")
         return wide.select(
             "bacia", "data_registro",
-            F.when(n1 > 0, n1).alias("agua_doce_colocado"),
-            F.when(n1 < 0, -n1).alias("agua_doce_retirado"),
-            F.when(n2 > 0, n2).alias("salmoura_colocado"),
-            F.when(n2 < 0, -n2).alias("salmoura_retirado"),
+            F.when(n1 > 0, n1).cast("decimal(12,2)").alias("agua_doce_colocado"),
+            F.when(n1 < 0, -n1).cast("decimal(12,2)").alias("agua_doce_retirado"),
+            F.when(n2 > 0, n2).cast("decimal(12,2)").alias("salmoura_colocado"),
+            F.when(n2 < 0, -n2).cast("decimal(12,2)").alias("salmoura_retirado"),
             "salmoura_densidade")
 
     # ------------------------------------------------------------ dimensions
