@@ -74,7 +74,9 @@ def yearly_by_entity(fact: DataFrame, stations: DataFrame, cutoff_month: int,
                      entity: str = "estacao", measure: str = "milimetros") -> DataFrame:
     """F10 step 1: per year x entity, comparable-period sum (months <= cutoff) and year sum."""
     m = F.col(measure)
-    return (fact.join(F.broadcast(stations.select(entity, "flag_suspeita")), entity)
+    # the station dimension grows with the number of entities: no broadcast hint, AQE
+    # broadcasts it at run time only when its measured size is small
+    return (fact.join(stations.select(entity, "flag_suspeita"), entity)
             .groupBy(F.year("data").alias("ano"), F.col(entity), F.col("flag_suspeita"))
             .agg(F.sum(F.when(F.month("data") <= cutoff_month, m).otherwise(0))
                  .alias("mm_recorte"),
@@ -201,7 +203,7 @@ def monthly_means(fact: DataFrame, stations: DataFrame, entity: str = "estacao",
                   measure: str = "milimetros") -> DataFrame:
     """F15 step 1: month totals per non-suspect entity, averaged over entities (6 dp).
     Months without any reading are absent, not zero."""
-    per = (fact.join(F.broadcast(stations.filter(~F.col("flag_suspeita")).select(entity)), entity)
+    per = (fact.join(stations.filter(~F.col("flag_suspeita")).select(entity), entity, "left_semi")
            .groupBy(F.year("data").alias("ano"), F.month("data").alias("mes"), F.col(entity))
            .agg(F.sum(measure).alias("mm")))
     return per.groupBy("ano", "mes").agg(exact_avg(F.col("mm")).cast("decimal(18,6)").alias("mm"))

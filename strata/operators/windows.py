@@ -46,11 +46,13 @@ class Agg:
     col: str | None = None
 
 
-def _dense(daily: DataFrame | list[DataFrame], date: str, cols: list[str], lo, hi) -> DataFrame:
+def _dense(daily: DataFrame | list[DataFrame], date: str, cols: list[str], lo, hi,
+           bc=F.broadcast) -> DataFrame:
     """Dense calendar [lo, hi] with each daily table's values joined on (NULL = no row).
 
     Every daily table has at most one row per calendar day, so it is bounded by the span
-    and broadcast into the calendar (no shuffle, no join between the daily tables).
+    and (below the broadcast span) broadcast into the calendar: no shuffle, no join
+    between the daily tables.
     """
     tables = daily if isinstance(daily, list) else [daily]
     spark = tables[0].sparkSession
@@ -59,7 +61,7 @@ def _dense(daily: DataFrame | list[DataFrame], date: str, cols: list[str], lo, h
         mine = [c for c in cols if c in t.columns]
         vals = (t.filter(F.col(date).between(F.lit(lo), F.lit(hi)))
                 .select(date, *mine, F.lit(1).alias(f"_row{n}")))
-        out = out.join(F.broadcast(vals), date, "left")
+        out = out.join(bc(vals), date, "left")
     rows = [F.coalesce(F.col(f"_row{n}"), F.lit(0)) for n in range(len(tables))]
     present = F.greatest(*rows) if len(rows) > 1 else rows[0]
     return (out.withColumn("_row", present)
@@ -123,8 +125,8 @@ def attribute_windows(windows: DataFrame, daily: DataFrame | list[DataFrame], ag
     if span < 1 or span > MAX_SPAN:
         raise ValueError(f"analysis span of {span} days is out of range")
     cols = sorted({a.col for a in aggs if a.col})
-    dense = _dense(daily, date, cols, lo, hi)
     bc = F.broadcast if span <= broadcast_span else (lambda df: df)
+    dense = _dense(daily, date, cols, lo, hi, bc)
 
     exprs: dict[str, Column] = {"_rows": F.coalesce(F.col("_row"), F.lit(0))}
     for a in aggs:
