@@ -98,8 +98,8 @@ def _helper(dense: DataFrame, exprs: dict[str, Column], max_cols: list[str],
                     f"greatest(b{j}_{k-1}, lag(b{j}_{k-1}, {h}) {w}) AS b{j}_{k}"
                     for j in range(len(max_cols))]
         sql = f"SELECT {', '.join(carried + prev + new_cols)} FROM ({sql}) t{k}"
-    arrays = [f"array({', '.join(f'f{j}_{k}' for k in range(levels + 1))}) AS F_{c}, "
-              f"array({', '.join(f'b{j}_{k}' for k in range(levels + 1))}) AS B_{c}"
+    arrays = [f"array({', '.join(f'f{j}_{k}' for k in range(levels + 1))}, "
+              f"{', '.join(f'b{j}_{k}' for k in range(levels + 1))}) AS M_{c}"
               for j, c in enumerate(max_cols)]
     return dense.sparkSession.sql(f"SELECT {', '.join(carried + arrays)} FROM ({sql}) t")
 
@@ -152,8 +152,8 @@ def attribute_windows(windows: DataFrame, daily: DataFrame | list[DataFrame], ag
     w = w.select(*windows.columns, "_ip", "_ic",
                  *[F.col(f"_ha.P_{n}").alias(f"{n}__a") for n in exprs],
                  *[F.col(f"_hb.P_{n}").alias(f"{n}__b") for n in exprs],
-                 *[F.col(f"_ha.F_{c}").alias(f"F_{c}") for c in max_cols],
-                 *[F.col(f"_hb.B_{c}").alias(f"B_{c}") for c in max_cols])
+                 *[F.col(f"_ha.M_{c}").alias(f"F_{c}") for c in max_cols],
+                 *[F.col(f"_hb.M_{c}").alias(f"B_{c}") for c in max_cols])
 
     def diff(n):
         return F.coalesce(F.col(f"{n}__b") - F.col(f"{n}__a"), F.lit(0))
@@ -174,7 +174,7 @@ def attribute_windows(windows: DataFrame, daily: DataFrame | list[DataFrame], ag
             outs[a.out] = F.when(valid, diff("_rows")).otherwise(0).cast("bigint")
         elif a.kind == "max":
             outs[a.out] = F.when(valid, F.greatest(F.element_at(F.col(f"F_{a.col}"), pos),
-                                                   F.element_at(F.col(f"B_{a.col}"), pos)))
+                                                   F.element_at(F.col(f"B_{a.col}"), pos + F.lit(levels + 1))))
     return w.select(*windows.columns, *[outs[a.out].alias(a.out) for a in aggs])
 
 
