@@ -6,6 +6,7 @@ pick what they need and Catalyst prunes the rest. Nothing here collects data.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from strata.operators import dims, facts, quality, stats, windows
 from strata.operators.scalars import product
 from strata.operators.windows import Agg
 from strata.plans import spec
+from strata.session import ensure_checkpoint_dir
 from strata.sources.dirty import dirty_orders
 from strata.sources.tables import read_table
 
@@ -31,12 +33,21 @@ def _next_day(day: str) -> str:
 
 
 class Model:
-    def __init__(self, spark: SparkSession, sf_dir: str, silver: dict[str, DataFrame] | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, silver: dict[str, DataFrame] | None = None,
+                 publish: bool = False):
         """``silver`` optionally supplies already written silver tables
-        (keys ``levels``, ``rain``, ``basins``); gold is then built from them."""
+        (keys ``levels``, ``rain``, ``basins``); gold is then built from them.
+
+        ``publish``: the gold ``monthly`` table, which many answers and views read, is
+        written once as Parquet under the session's ``spark.checkpoint.dir`` (the shared
+        folder on a cluster) and read back, like the reference's gold table that its views
+        query. Its lineage is cut there: a lost executor re-reads the written files rather
+        than recomputing the window attribution.
+        """
         self.spark, self.sf_dir = spark, sf_dir
         self._tables: dict[str, DataFrame] = {}
         self._silver = silver or {}
+        self._publish = publish
 
     def table(self, name: str) -> DataFrame:
         """One scan definition per table (file listing and schema read once)."""
@@ -233,7 +244,15 @@ class Model:
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return stats.fact_monthly(self.windows)
+        df = stats.fact_monthly(self.windows)
+        return self._published("monthly", df) if self._publish else df
+
+    def _published(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` once to a fresh folder under the checkpoint folder and read it back."""
+        base = ensure_checkpoint_dir(self.spark).rstrip("/")
+        path = f"{base}/strata-gold/{uuid.uuid4().hex}/{name}"
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.parquet(path)
 
     @cached_property
     def yearly(self) -> DataFrame:
