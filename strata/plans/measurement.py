@@ -38,11 +38,12 @@ class Model:
         """``silver`` optionally supplies already written silver tables
         (keys ``levels``, ``rain``, ``basins``); gold is then built from them.
 
-        ``publish``: the gold ``monthly`` table, which many answers and views read, is
-        written once as Parquet under the session's ``spark.checkpoint.dir`` (the shared
-        folder on a cluster) and read back, like the reference's gold table that its views
-        query. Its lineage is cut there: a lost executor re-reads the written files rather
-        than recomputing the window attribution.
+        ``publish``: the three silver tables and the gold ``monthly`` table, which many
+        facts, checks, answers and views read, are each written once as Parquet under the
+        session's ``spark.checkpoint.dir`` (the shared folder on a cluster) and read back,
+        like the reference's silver and gold tables that its later layers and views query.
+        Lineage is cut there: a lost executor re-reads the written files rather than
+        re-aggregating the raw tables or recomputing the window attribution.
         """
         self.spark, self.sf_dir = spark, sf_dir
         self._tables: dict[str, DataFrame] = {}
@@ -83,8 +84,12 @@ class Model:
     # ------------------------------------------------------------ silver
     @cached_property
     def silver_levels(self) -> DataFrame:
-        if "levels" in self._silver:
-            return self._silver["levels"]
+        if "levels" not in self._silver:
+            df = self._build_silver_levels()
+            self._silver["levels"] = self._published("silver_levels", df) if self._publish else df
+        return self._silver["levels"]
+
+    def _build_silver_levels(self) -> DataFrame:
         o = self.table("orders").select(
             "o_orderkey", F.col("o_custkey").alias("cristalizador"),
             F.to_date("o_orderdate").alias("data_medicao"), "o_totalprice")
@@ -96,8 +101,12 @@ class Model:
 
     @cached_property
     def silver_rain(self) -> DataFrame:
-        if "rain" in self._silver:
-            return self._silver["rain"]
+        if "rain" not in self._silver:
+            df = self._build_silver_rain()
+            self._silver["rain"] = self._published("silver_rain", df) if self._publish else df
+        return self._silver["rain"]
+
+    def _build_silver_rain(self) -> DataFrame:
         li = self.table("lineitem").filter(F.col("l_shipdate") < ntz(spec.RAIN_END))
         return li.groupBy(F.col("l_suppkey").alias("estacao"),
                           F.to_date("l_shipdate").alias("data_registro")).agg(
@@ -105,8 +114,12 @@ class Model:
 
     @cached_property
     def silver_basins(self) -> DataFrame:
-        if "basins" in self._silver:
-            return self._silver["basins"]
+        if "basins" not in self._silver:
+            df = self._build_silver_basins()
+            self._silver["basins"] = self._published("silver_basins", df) if self._publish else df
+        return self._silver["basins"]
+
+    def _build_silver_basins(self) -> DataFrame:
         li = self.table("lineitem")
         q = F.col("l_quantity").cast("decimal(12,2)")
 
@@ -250,7 +263,7 @@ class Model:
     def _published(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` once to a fresh folder under the checkpoint folder and read it back."""
         base = ensure_checkpoint_dir(self.spark).rstrip("/")
-        path = f"{base}/strata-gold/{uuid.uuid4().hex}/{name}"
+        path = f"{base}/strata-published/{uuid.uuid4().hex}/{name}"
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.parquet(path)
 
