@@ -24,3 +24,18 @@ def test_published_silver_reads_written_table(spark):
     assert files and all(base in f and "strata-published" in f for f in files)
     # gold built on it scans the written silver, not the raw line items
     assert not any("lineitem.parquet" in f for f in pub.fact_rain.inputFiles())
+
+
+def test_small_scan_rebalanced_keeps_pushdown(spark):
+    from pyspark.sql import functions as F
+
+    from strata.sources.tables import read_table
+
+    df = read_table(spark, SF_SMALL, "lineitem")
+    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    q = df.filter(F.col("l_quantity") > 10).select("l_orderkey")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan
+    assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)]" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double>" in plan
+    assert read_table(spark, SF_SMALL, "lineitem", rebalance=False).count() == df.count()
