@@ -38,8 +38,9 @@ class Model:
         """``silver`` optionally supplies already written silver tables
         (keys ``levels``, ``rain``, ``basins``); gold is then built from them.
 
-        ``publish``: the three silver tables and the gold ``monthly`` table, which many
-        facts, checks, answers and views read, are each written once as Parquet under the
+        ``publish``: the three silver tables and the shared gold tables (calendar, daily
+        facts, consecutive-level fact, ``monthly``), which many facts, checks, answers and
+        views read, are each written once as Parquet under the
         session's ``spark.checkpoint.dir`` (the shared folder on a cluster) and read back,
         like the reference's silver and gold tables that its later layers and views query.
         Lineage is cut there: a lost executor re-reads the written files rather than
@@ -84,10 +85,9 @@ class Model:
     # ------------------------------------------------------------ silver
     @cached_property
     def silver_levels(self) -> DataFrame:
-        if "levels" not in self._silver:
-            df = self._build_silver_levels()
-            self._silver["levels"] = self._published("silver_levels", df) if self._publish else df
-        return self._silver["levels"]
+        if "levels" in self._silver:
+            return self._silver["levels"]
+        return self._maybe_publish("silver_levels", self._build_silver_levels())
 
     def _build_silver_levels(self) -> DataFrame:
         o = self.table("orders").select(
@@ -101,10 +101,9 @@ class Model:
 
     @cached_property
     def silver_rain(self) -> DataFrame:
-        if "rain" not in self._silver:
-            df = self._build_silver_rain()
-            self._silver["rain"] = self._published("silver_rain", df) if self._publish else df
-        return self._silver["rain"]
+        if "rain" in self._silver:
+            return self._silver["rain"]
+        return self._maybe_publish("silver_rain", self._build_silver_rain())
 
     def _build_silver_rain(self) -> DataFrame:
         li = self.table("lineitem").filter(F.col("l_shipdate") < ntz(spec.RAIN_END))
@@ -114,10 +113,9 @@ class Model:
 
     @cached_property
     def silver_basins(self) -> DataFrame:
-        if "basins" not in self._silver:
-            df = self._build_silver_basins()
-            self._silver["basins"] = self._published("silver_basins", df) if self._publish else df
-        return self._silver["basins"]
+        if "basins" in self._silver:
+            return self._silver["basins"]
+        return self._maybe_publish("silver_basins", self._build_silver_basins())
 
     def _build_silver_basins(self) -> DataFrame:
         li = self.table("lineitem")
@@ -152,8 +150,8 @@ class Model:
         bounds = product(o, li).select(
             F.make_date(F.year(F.least("a", "c")), F.lit(1), F.lit(1)).alias("inicio"),
             F.make_date(F.year(F.greatest("b", "d")), F.lit(12), F.lit(31)).alias("fim"))
-        return dims.dim_calendar(dims.calendar_days(bounds), season=spec.SEASON,
-                                 scope=spec.LEVEL_SCOPE)
+        return self._maybe_publish("calendar", dims.dim_calendar(
+            dims.calendar_days(bounds), season=spec.SEASON, scope=spec.LEVEL_SCOPE))
 
     @cached_property
     def dim_month(self) -> DataFrame:
@@ -172,7 +170,8 @@ class Model:
     # ------------------------------------------------------------ facts
     @cached_property
     def fact_rain(self) -> DataFrame:
-        return facts.fact_daily(self.silver_rain, "estacao", "data_registro", "milimetros")
+        return self._maybe_publish("fact_rain", facts.fact_daily(
+            self.silver_rain, "estacao", "data_registro", "milimetros"))
 
     @cached_property
     def rain_day(self) -> DataFrame:
@@ -192,7 +191,7 @@ class Model:
 
     @cached_property
     def fact_evap(self) -> DataFrame:
-        return facts.fact_signed_daily(self.pairs, self.fluids)
+        return self._maybe_publish("fact_evap", facts.fact_signed_daily(self.pairs, self.fluids))
 
     @cached_property
     def evap_day(self) -> DataFrame:
@@ -206,9 +205,9 @@ class Model:
 
     @cached_property
     def fact_level(self) -> DataFrame:
-        return facts.fact_consecutive(self.silver_levels, "cristalizador", "data_medicao",
-                                      "nivel", "flag_zerada", spec.EVENT_THRESHOLD,
-                                      scope=spec.LEVEL_SCOPE)
+        return self._maybe_publish("fact_level", facts.fact_consecutive(
+            self.silver_levels, "cristalizador", "data_medicao", "nivel", "flag_zerada",
+            spec.EVENT_THRESHOLD, scope=spec.LEVEL_SCOPE))
 
     @cached_property
     def windows(self) -> DataFrame:
@@ -235,11 +234,11 @@ class Model:
     def _driver_days(self) -> tuple[DataFrame, DataFrame]:
         """Days on which each driver delivered, for the coverage flags (F8).
 
-        From written silver tables when given; otherwise straight from the rows that build
-        them (a one-column scan with a partial max, no re-aggregation).
+        From written silver tables when given or published; otherwise straight from the rows
+        that build them (a one-column scan with a partial max, no re-aggregation).
         """
         s0, s1 = spec.LEVEL_SCOPE
-        if "rain" in self._silver and "basins" in self._silver:
+        if self._publish or ("rain" in self._silver and "basins" in self._silver):
             rain = self.silver_rain.filter(F.col("milimetros").isNotNull()) \
                 .select(F.col("data_registro").alias("d"))
             basin = self.silver_basins.filter(
@@ -257,8 +256,10 @@ class Model:
 
     @cached_property
     def monthly(self) -> DataFrame:
-        df = stats.fact_monthly(self.windows)
-        return self._published("monthly", df) if self._publish else df
+        return self._maybe_publish("monthly", stats.fact_monthly(self.windows))
+
+    def _maybe_publish(self, name: str, df: DataFrame) -> DataFrame:
+        return self._published(name, df) if self._publish else df
 
     def _published(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` once to a fresh folder under the checkpoint folder and read it back."""
