@@ -25,7 +25,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, rebalance: bool = Tr
     """
     df = spark.read.parquet(table_path(sf_dir, name))
     if rebalance:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        try:
+            cores = spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
+        except Exception:  # e.g. a Spark Connect session has no RDD view: keep the scan
+            return df
+        if splits < cores:
             return df.repartition(cores)
     return df
