@@ -39,7 +39,7 @@ class Model:
         (keys ``levels``, ``rain``, ``basins``); gold is then built from them.
 
         ``publish``: the three silver tables and the shared gold tables (calendar, daily
-        facts, consecutive-level fact, ``monthly``), which many facts, checks, answers and
+        facts, consecutive-level fact, attributed windows, ``monthly``), which many facts, checks, answers and
         views read, are each written once as Parquet under the
         session's ``spark.checkpoint.dir`` (the shared folder on a cluster) and read back,
         like the reference's silver and gold tables that its later layers and views query.
@@ -228,8 +228,9 @@ class Model:
             Agg("sum", "dias_retirada_janela", "teve_retirada"),
         ], start, end)
         rain_days, basin_days = self._driver_days()
-        return windows.with_coverage(w, {"cobertura_pluviometrica_ok": rain_days,
-                                         "cobertura_bacia_ok": basin_days}, "data_medicao")
+        return self._maybe_publish("windows", windows.with_coverage(
+            w, {"cobertura_pluviometrica_ok": rain_days, "cobertura_bacia_ok": basin_days},
+            "data_medicao"))
 
     def _driver_days(self) -> tuple[DataFrame, DataFrame]:
         """Days on which each driver delivered, for the coverage flags (F8).

@@ -14,7 +14,7 @@ def _rows(df):
 def test_published_tables_match_lazy(spark):
     lazy, pub = Model(spark, SF_SMALL), Model(spark, SF_SMALL, publish=True)
     for name in ["silver_levels", "silver_rain", "silver_basins", "calendar", "fact_rain",
-                 "fact_evap", "fact_level", "monthly"]:
+                 "fact_evap", "fact_level", "windows", "monthly"]:
         assert _rows(getattr(pub, name)) == _rows(getattr(lazy, name)), name
 
 
