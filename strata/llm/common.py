@@ -41,13 +41,14 @@ def _slices(lengths, limit: int) -> Iterator[tuple[int, int]]:
 
 
 def map_text(df: DataFrame, text_col: str, carry: Sequence[str], out: Sequence[T.StructField],
-             make: Callable[[], Callable[[list[bytes | None]], list[pa.Array]]]) -> DataFrame:
+             make: Callable[[], Callable[..., list[pa.Array]]], also: Sequence[str] = ()) -> DataFrame:
     """Columns ``carry`` of ``df``, then the fields ``out`` computed from ``text_col``.
 
     ``make`` runs once per task and returns the batch function: from a list of UTF-8 byte
     strings (None for null) to one Arrow array per field of ``out``. Carried columns travel
     by position under neutral names, so they may have the names of the new fields; callers
-    who keep both select by position. Batches are cut at ``BATCH_BYTES`` of text.
+    who keep both select by position. Values of the carried columns ``also`` go to the batch
+    function as further lists. Batches are cut at ``BATCH_BYTES`` of text.
     """
     carry = list(carry)
     fields = {f.name: f for f in df.schema.fields}
@@ -58,6 +59,7 @@ def map_text(df: DataFrame, text_col: str, carry: Sequence[str], out: Sequence[T
     inner = T.StructType([T.StructField(f"c{i}", fields[c].dataType) for i, c in enumerate(carry)]
                          + [T.StructField(f"o{i}", f.dataType) for i, f in enumerate(out)])
     n = len(carry)
+    extra = [carry.index(c) for c in also]
 
     def run(batches):
         fn = make()
@@ -66,7 +68,8 @@ def map_text(df: DataFrame, text_col: str, carry: Sequence[str], out: Sequence[T
             texts = texts if pa.types.is_binary(texts.type) else texts.cast(pa.binary())
             sizes = [0 if v is None else v for v in pc.binary_length(texts).to_pylist()]
             for a, b in _slices(sizes, BATCH_BYTES):
-                new = fn(texts.slice(a, b - a).to_pylist())
+                new = fn(texts.slice(a, b - a).to_pylist(),
+                         *[batch.column(i).slice(a, b - a).to_pylist() for i in extra])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(i).slice(a, b - a) for i in range(n)] + new,
                     [f"c{i}" for i in range(n)] + [f"o{i}" for i in range(len(out))])
