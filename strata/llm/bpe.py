@@ -8,7 +8,7 @@ Two forms of the same fold, held against each other and against the tiktoken lib
 tests:
 
 * ``encode_words`` folds with Spark's higher-order functions over byte arrays of distinct
-  words; the rank map is one literal row of buckets of small maps.
+  words; the rank map is a literal.
 * ``encode`` folds in Arrow batches and keeps the distinct words that the task has met. The
   query uses it: the README has the figures.
 
@@ -23,6 +23,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import json
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -159,29 +161,28 @@ def encode(docs: DataFrame, text_col: str = "text", carry=("doc_id",), path: str
 BUCKETS = 4096
 
 
-def rank_row(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
-    """One row: ``ranks``, an array of BUCKETS small maps piece -> rank, by hash of the piece."""
-    rows = spark.createDataFrame([(bytearray(k), v) for k, v in ranks.items()], "piece binary, rank int")
-    per = (rows.groupBy(F.pmod(F.hash("piece"), F.lit(BUCKETS)).alias("b"))
-           .agg(F.map_from_entries(F.collect_list(F.struct("piece", "rank"))).alias("m")))
-    whole = (spark.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(per, "b", "left")
-             .select("b", F.coalesce("m", F.expr("cast(map() as map<binary,int>)")).alias("m")))
-    x = whole.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("b", "m"))).alias("x"))
-    return x.select(F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda i: F.element_at("x", i)).alias("ranks"))
+def rank_literal(ranks: dict[bytes, int]) -> Column:
+    """The ranks as a literal: an array of BUCKETS small maps from hex string to rank, by CRC-32."""
+    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+    for piece, i in ranks.items():
+        h = piece.hex()
+        buckets[zlib.crc32(h.encode()) % BUCKETS][h] = i
+    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
 
 
-def rank_of(ranks: Column, piece: Column) -> Column:
-    return F.try_element_at(F.get(ranks, F.pmod(F.hash(piece), F.lit(BUCKETS))), piece)
+def fold_merges(word: Column, table: Column) -> Column:
+    """Ids of a binary word: in as many rounds as it has bytes the lowest-ranked pair is joined."""
+    word = F.lower(F.hex(word))
+    size = (F.length(word) / 2).cast("int")
+    first = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(word, i * 2 - 1, F.lit(2)))
 
-
-def fold_merges(word: Column, ranks: Column) -> Column:
-    """Ids of a binary word: as many rounds as it has bytes, each joins the lowest-ranked pair."""
-    first = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.substring(word, i, F.lit(1)))
+    def rank(piece):
+        return F.try_element_at(F.get(table, (F.crc32(piece) % BUCKETS).cast("int")), piece)
 
     def step(parts, _):
         n = F.size(parts)
-        pairs = F.when(n > 1, F.transform(F.sequence(F.lit(0), n - 2), lambda i: rank_of(
-            ranks, F.concat(F.get(parts, i), F.get(parts, i + 1)))))
+        pairs = F.when(n > 1, F.transform(F.sequence(F.lit(0), n - 2), lambda i: rank(
+            F.concat(F.get(parts, i), F.get(parts, i + 1)))))
         low = F.array_min(pairs)
         at = F.array_position(pairs, low).cast("int")
         joined = F.concat(F.slice(parts, 1, at - 1),
@@ -189,15 +190,14 @@ def fold_merges(word: Column, ranks: Column) -> Column:
                           F.slice(parts, at + 2, F.greatest(n - at - 1, F.lit(0))))
         return F.when(low.isNull(), parts).otherwise(joined)
 
-    parts = F.when(F.length(word) > 1, F.aggregate(F.sequence(F.lit(2), F.length(word)), first, step)).otherwise(first)
-    return F.transform(parts, lambda p: rank_of(ranks, p))
+    parts = F.when(size > 1, F.aggregate(F.sequence(F.lit(2), size), first, step)).otherwise(first)
+    return F.transform(parts, rank)
 
 
 def encode_words(words: DataFrame, word_col: str, ranks: dict[bytes, int]) -> DataFrame:
     """(word, ids) of the distinct non-empty words of a column, folded by Spark alone."""
-    row = rank_row(words.sparkSession, ranks)
-    w = words.select(F.col(word_col).cast("binary").alias("word")).where(F.length("word") > 0).distinct()
-    return w.crossJoin(F.broadcast(row)).select("word", fold_merges(F.col("word"), F.col("ranks")).alias("ids"))
+    w = words.select(F.col(f"`{word_col}`").cast("binary").alias("word")).where(F.length("word") > 0).distinct()
+    return w.select("word", fold_merges(F.col("word"), rank_literal(ranks)).alias("ids"))
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
