@@ -7,13 +7,14 @@ brute-force versions instead. ``ORACLE`` has the ones that are.
 
 from __future__ import annotations
 
-from strata.llm import bpe, decontam, near_dedup, pii, quality_rules, secrets
+from strata.llm import bpe, decontam, near_dedup, pii, quality_rules, secrets, warc
 
 QUERIES = {
     "op1_decontam": decontam.op1_decontam,
     "op3_near_dedup": near_dedup.op3_near_dedup,
     "op5_bpe": bpe.op5_bpe,
     "op7_secrets": secrets.op7_secrets,
+    "op8_warc": warc.op8_warc,
     "op9_pii": pii.op9_pii,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
