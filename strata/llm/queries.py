@@ -7,12 +7,13 @@ brute-force versions instead. ``ORACLE`` has the ones that are.
 
 from __future__ import annotations
 
-from strata.llm import bpe, decontam, near_dedup, pii, quality_rules, secrets, sharding, warc
+from strata.llm import bpe, decontam, near_dedup, pii, quality_model, quality_rules, secrets, sharding, warc
 
 QUERIES = {
     "op1_decontam": decontam.op1_decontam,
     "op2_sharding": sharding.op2_sharding,
     "op3_near_dedup": near_dedup.op3_near_dedup,
+    "op4_quality_model": quality_model.op4_quality_model,
     "op5_bpe": bpe.op5_bpe,
     "op7_secrets": secrets.op7_secrets,
     "op8_warc": warc.op8_warc,
