@@ -7,7 +7,7 @@ brute-force versions instead. ``ORACLE`` has the ones that are.
 
 from __future__ import annotations
 
-from strata.llm import bpe, decontam, near_dedup, pii, quality_model, quality_rules, secrets, sharding, warc
+from strata.llm import bpe, decontam, near_dedup, pii, quality_model, quality_rules, secrets, sharding, toxicity, warc
 
 QUERIES = {
     "op1_decontam": decontam.op1_decontam,
@@ -15,6 +15,7 @@ QUERIES = {
     "op3_near_dedup": near_dedup.op3_near_dedup,
     "op4_quality_model": quality_model.op4_quality_model,
     "op5_bpe": bpe.op5_bpe,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_secrets": secrets.op7_secrets,
     "op8_warc": warc.op8_warc,
     "op9_pii": pii.op9_pii,
