@@ -25,7 +25,7 @@ def daily_means(fact: DataFrame, measure: str = "milimetros", date: str = "data"
                 out: str = "chuva_mm", out_type: str = "decimal(18,6)") -> DataFrame:
     """mean over entities per day (sum / count of exact decimals, then one rounding)."""
     return fact.groupBy(date).agg(
-        (F.sum(measure).cast("decimal(30,6)") / F.count(measure).cast("decimal(10,0)"))
+        (F.sum(measure).cast("decimal(30,6)") / F.count(measure).cast("decimal(20,0)"))
         .cast(out_type).alias(out))
 
 
@@ -46,6 +46,14 @@ def unpivot_pairs(wide: DataFrame, keys: list[str],
             .select(*keys, "_m.*"))
 
 
+def pivot_values(long: DataFrame, keys: list[str], member: str, value: str, names: dict[str, str],
+                 *more: Column) -> DataFrame:
+    """One row per ``keys`` with the largest ``value`` of each listed member as a column of its
+    own, and further aggregates. A fixed member list: one aggregate, no extra pass for names."""
+    picked = [F.max(F.when(F.col(member) == m, F.col(value))).alias(c) for m, c in names.items()]
+    return long.groupBy(*keys).agg(*picked, *more)
+
+
 def fact_signed_daily(pairs: DataFrame, fluid_dim: DataFrame, date: str = "data",
                       volume_type: str = "decimal(12,2)", film_type: str = "decimal(12,2)",
                       density_type: str = "decimal(4,1)",
@@ -126,4 +134,4 @@ def level_summary(consecutive: DataFrame, event_threshold: float) -> DataFrame:
 
 def exact_avg(col: Column, sum_type: str = "decimal(28,6)") -> Column:
     """Average as exact decimal sum / count (NULL when no non-NULL value)."""
-    return F.sum(col).cast(sum_type) / F.nullif(F.count(col), F.lit(0)).cast("decimal(10,0)")
+    return F.sum(col).cast(sum_type) / F.nullif(F.count(col), F.lit(0)).cast("decimal(20,0)")

@@ -7,6 +7,8 @@ standard deviations (NULL for n = 1).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,51 +25,37 @@ def ratio_of_avgs(num: str, den: str) -> Column:
     """C17: AVG(num) / NULLIF(AVG(den), 0) as one exact fraction
     (sum(num) * count(den)) / (count(num) * sum(den)); ``den`` holds whole numbers.
 
-    Tight operand types keep 13 decimals in Spark's decimal division before the final
-    rounding."""
-    top = F.sum(num).cast("decimal(20,6)") * F.count(den).cast("decimal(10,0)")
-    bottom = (F.count(num) * F.sum(den)).cast("decimal(20,0)")
+    The factors are widened to decimals before they are multiplied: groups of up to 10^13 rows
+    and sums of up to 10^18 (whole numbers: 10^20) cannot overflow."""
+    top = F.sum(num).cast("decimal(24,6)") * F.count(den).cast("decimal(13,0)")
+    bottom = F.count(num).cast("decimal(13,0)") * F.sum(F.col(den).cast("decimal(20,0)")).cast("decimal(20,0)")
     return top / F.nullif(bottom, F.lit(0))
 
 
-def fact_monthly(windows: DataFrame) -> DataFrame:
-    """monthly roll-up of attributed windows, null-not-zero for the driver measures.
+@dataclass(frozen=True)
+class Mean:
+    """One measure of a monthly roll-up: AVG(num), or AVG(num) / AVG(den) with ``den``, rounded.
+    ``where_covered``: reported only where ``covered`` holds for a row of the month, else NULL."""
 
-    The driver measures are reported only when at least one window of the month is
-    covered by the driver series; otherwise they are NULL, never 0.
-    """
-    cov = F.max("cobertura_pluviometrica_ok")
-
-    def covered(x: Column) -> Column:
-        return F.when(cov, x)
-
-    return windows.groupBy(F.date_format("data_medicao", "yyyy-MM").alias("ano_mes")).agg(
-        F.count(F.lit(1)).alias("cristalizadores"),
-        _round(exact_avg(F.col("variacao")), 3, "decimal(14,3)").alias("variacao_media_cm"),
-        _round(F.stddev_samp(F.col("variacao").cast("double")), 3, "decimal(14,3)")
-        .alias("variacao_desvio_cm"),
-        _round(exact_avg(F.col("dias_corridos")), 1, "decimal(8,1)").alias("dias_corridos_medio"),
-        F.sum(F.when(F.col("flag_base_zerada"), 1).otherwise(0)).cast("bigint")
-        .alias("medicoes_pos_colheita"),
-        covered(_round(exact_avg(F.col("chuva_volume_mm")), 1, "decimal(12,1)"))
-        .alias("chuva_volume_mm"),
-        covered(_round(exact_avg(F.col("chuva_dias_registrados")), 1, "decimal(8,1)"))
-        .alias("chuva_dias_registrados"),
-        covered(_round(ratio_of_avgs("chuva_volume_mm", "chuva_dias_registrados"), 2,
-                       "decimal(12,2)")).alias("chuva_intensidade_mm_dia"),
-        covered(_round(exact_avg(F.col("chuva_max_dia_mm")), 1, "decimal(12,1)"))
-        .alias("chuva_max_dia_mm"),
-        covered(_round(exact_avg(F.col("dias_lidos_janela")), 1, "decimal(8,1)"))
-        .alias("dias_lidos_janela"),
-        _round(ratio_of_avgs("evap_agua_total_mm", "dias_corridos"), 2, "decimal(12,2)")
-        .alias("evaporacao_agua_mm_dia"),
-        _round(ratio_of_avgs("evap_salmoura_total_mm", "dias_corridos"), 2, "decimal(12,2)")
-        .alias("evaporacao_salmoura_mm_dia"),
-        _round(exact_avg(F.col("dias_retirada_janela")), 1, "decimal(8,1)")
-        .alias("dias_retirada_janela"),
-        F.max("cobertura_pluviometrica_ok").alias("cobertura_pluviometrica_ok"),
-        F.max("cobertura_bacia_ok").alias("cobertura_bacia_ok"),
-    )
+    out: str
+    num: str
+    digits: int
+    type: str
+    den: str | None = None
+    where_covered: bool = False
+
+
+def monthly_rollup(rows: DataFrame, date: str, means: list[Mean], covered: str, more: dict[str, Column],
+                   out_month: str = "ano_mes") -> DataFrame:
+    """one row per month: rounded means and ratios of means, NULL (never 0) in months that the
+    driver series does not cover, and further aggregates ``more``."""
+    def value(m: Mean) -> Column:
+        x = ratio_of_avgs(m.num, m.den) if m.den else exact_avg(F.col(m.num))
+        x = _round(x, m.digits, m.type)
+        return (F.when(F.max(covered), x) if m.where_covered else x).alias(m.out)
+
+    return rows.groupBy(F.date_format(date, "yyyy-MM").alias(out_month)).agg(
+        *[c.alias(n) for n, c in more.items()], *[value(m) for m in means])
 
 
 def yearly_by_entity(fact: DataFrame, stations: DataFrame, cutoff_month: int,

@@ -12,26 +12,22 @@ helper table with a row per day of the analysis span (not per driver row):
   (i - 2^k, i]``, so ``max over (prev, cur] = greatest(F[k][prev], B[k][cur])`` with
   ``k = floor(log2(cur - prev))`` (the two ranges overlap and cover the window).
 
-The helpers are bounded by the analysis date range (a century is ~36.5k days), never by
-the data volume. The range is a parameter, so the helper size is known before any job
-runs; they are broadcast only when it is below ``broadcast_span``. The windows themselves
-are never shuffled by this operator.
+The helper covers the days from the first window start to the last window end (a one-row
+aggregate of the windows): its size is bounded by the calendar, never by the data volume
+(all days that a DATE can express are 3.7 million). There is one path for every size; whether
+the helper is broadcast is left to adaptive execution.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-import math
-import uuid
 from dataclasses import dataclass
-from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.scalars import attach, product
 
-MAX_SPAN = 400_000     # refuse spans beyond ~1,000 years of days (a date-key sanity bound)
+LEVELS = 22     # 2^22 days exceed the whole range of the DATE type
 
 
 @dataclass(frozen=True)
@@ -46,87 +42,58 @@ class Agg:
     col: str | None = None
 
 
-def _dense(daily: DataFrame | list[DataFrame], date: str, cols: list[str], lo, hi,
-           bc=F.broadcast) -> DataFrame:
-    """Dense calendar [lo, hi] with each daily table's values joined on (NULL = no row).
-
-    Every daily table has at most one row per calendar day, so it is bounded by the span
-    and (below the broadcast span) broadcast into the calendar: no shuffle, no join
-    between the daily tables.
-    """
-    tables = daily if isinstance(daily, list) else [daily]
-    spark = tables[0].sparkSession
-    out = spark.range(1).select(F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias(date))
+def _dense(tables: list[DataFrame], date: str, cols: list[str], bounds: DataFrame) -> DataFrame:
+    """One row per day ``_i`` (days since 1970) of the one-row range ``bounds`` (lo, hi), with
+    each daily table's values (NULL = no row)."""
+    out = bounds.select(F.explode(F.sequence("lo", "hi")).alias(date))
     for n, t in enumerate(tables):
-        mine = [c for c in cols if c in t.columns]
-        vals = (t.filter(F.col(date).between(F.lit(lo), F.lit(hi)))
-                .select(date, *mine, F.lit(1).alias(f"_row{n}")))
-        out = out.join(bc(vals), date, "left")
+        out = out.join(t.select(date, *[c for c in cols if c in t.columns], F.lit(1).alias(f"_row{n}")),
+                       date, "left")
     rows = [F.coalesce(F.col(f"_row{n}"), F.lit(0)) for n in range(len(tables))]
     present = F.greatest(*rows) if len(rows) > 1 else rows[0]
-    return (out.withColumn("_row", present)
-            .withColumn("_i", F.datediff(F.col(date), F.lit(lo))))
+    return out.withColumn("_row", present).withColumn("_i", F.unix_date(date))
 
 
-def _helper(dense: DataFrame, exprs: dict[str, Column], max_cols: list[str],
-            levels: int) -> DataFrame:
+def _helper(dense: DataFrame, exprs: dict[str, Column], max_cols: list[str]) -> DataFrame:
     """One row per day index ``_i`` of the calendar with
 
     * ``P_<n>``: inclusive running sum of ``exprs[n]`` up to day ``_i`` (0 before any value);
-    * ``F_<c>``: array, element k = max of ``c`` over days ``_i + 1 .. _i + 2^k``;
-    * ``B_<c>``: array, element k = max of ``c`` over days ``_i - 2^k + 1 .. _i``.
+    * ``M_<c>``: array, element k = max of ``c`` over days ``_i + 1 .. _i + 2^k``, and behind
+      these the max over days ``_i - 2^k + 1 .. _i``.
 
-    Built by doubling (each level is one lead/lag of the previous one) in one ordered pass
-    over the calendar, whose size is the analysis span in days, not the data volume. The
-    level chain is one SQL statement, so the plan is analysed once rather than per level.
+    Built by doubling (each level is one lead/lag of the previous one) in one ordered pass.
+    The window has no partition: it runs over calendar days, at most 3.7 million.
     """
-    base = dense.select("_i", *[e.alias(f"E_{n}") for n, e in exprs.items()],
-                        *[F.col(c).alias(f"V_{j}") for j, c in enumerate(max_cols)])
-    view = f"_strata_dense_{uuid.uuid4().hex}"
-    base.createOrReplaceTempView(view)
-    w = "OVER (ORDER BY _i)"
-    sel = ["_i"] + [f"coalesce(sum(E_{n}) OVER (ORDER BY _i ROWS BETWEEN UNBOUNDED PRECEDING "
-                    f"AND CURRENT ROW), 0) AS P_{n}" for n in exprs]
-    sel += [f"lead(V_{j}, 1) {w} AS f{j}_0, V_{j} AS b{j}_0" for j in range(len(max_cols))]
-    sql = f"SELECT {', '.join(sel)} FROM {view}"
-    carried = ["_i"] + [f"P_{n}" for n in exprs]
-    for k in range(1, levels + 1):
-        h = 1 << (k - 1)
-        prev = [f"f{j}_{i}" for j in range(len(max_cols)) for i in range(k)] + \
-               [f"b{j}_{i}" for j in range(len(max_cols)) for i in range(k)]
-        new_cols = [f"greatest(f{j}_{k-1}, lead(f{j}_{k-1}, {h}) {w}) AS f{j}_{k}, "
-                    f"greatest(b{j}_{k-1}, lag(b{j}_{k-1}, {h}) {w}) AS b{j}_{k}"
-                    for j in range(len(max_cols))]
-        sql = f"SELECT {', '.join(carried + prev + new_cols)} FROM ({sql}) t{k}"
-    arrays = [f"array({', '.join(f'f{j}_{k}' for k in range(levels + 1))}, "
-              f"{', '.join(f'b{j}_{k}' for k in range(levels + 1))}) AS M_{c}"
-              for j, c in enumerate(max_cols)]
-    return dense.sparkSession.sql(f"SELECT {', '.join(carried + arrays)} FROM ({sql}) t")
+    line = Window.orderBy("_i")
+    upto = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = dense.select("_i", *[F.coalesce(F.sum(e).over(upto), F.lit(0)).alias(f"P_{n}")
+                               for n, e in exprs.items()],
+                       *[F.lead(c).over(line).alias(f"f{j}_0") for j, c in enumerate(max_cols)],
+                       *[F.col(c).alias(f"b{j}_0") for j, c in enumerate(max_cols)])
+    for k in range(1, LEVELS + 1) if max_cols else ():
+        step = 1 << (k - 1)
+        out = out.select("*", *[F.greatest(f"f{j}_{k - 1}", F.lead(f"f{j}_{k - 1}", step).over(line)).alias(f"f{j}_{k}")
+                                for j in range(len(max_cols))],
+                         *[F.greatest(f"b{j}_{k - 1}", F.lag(f"b{j}_{k - 1}", step).over(line)).alias(f"b{j}_{k}")
+                           for j in range(len(max_cols))])
+    return out.select("_i", *[f"P_{n}" for n in exprs], *[
+        F.array(*[f"{x}{j}_{k}" for x in "fb" for k in range(LEVELS + 1)]).alias(f"M_{c}")
+        for j, c in enumerate(max_cols)])
 
 
 def attribute_windows(windows: DataFrame, daily: DataFrame | list[DataFrame], aggs: list[Agg],
-                      start, end, prev: str = "data_medicao_anterior",
-                      cur: str = "data_medicao", date: str = "data",
-                      sum_type: str = "decimal(28,6)",
-                      broadcast_span: int = 60_000) -> DataFrame:
+                      prev: str = "data_medicao_anterior", cur: str = "data_medicao",
+                      date: str = "data", sum_type: str = "decimal(28,6)") -> DataFrame:
     """Add one column per ``Agg`` to ``windows`` for the days in ``(prev, cur]``.
 
-    ``daily`` (one frame or a list) must have one row per ``date``; a list behaves like
-    the full outer join of its frames on ``date``. ``start``/``end`` bound the analysis: every
-    window must lie inside ``[start - 1 day, end]`` (true when the level series is scoped to
-    the same range before its lag); driver days outside are ignored. The helper table has
-    ``end - start + 2`` rows, known before any job runs, so the broadcast decision needs
-    no action. Windows with NULL bounds get NULL sums/max and zero counts, like a left join
-    that matches nothing. Two broadcast hash joins per call; the windows are not shuffled.
+    ``daily`` (one frame or a list) must have one row per ``date``; a list behaves like the full
+    outer join of its frames on ``date``. Windows with NULL bounds, or that end before they
+    start, get NULL sums/max and zero counts, like a left join that matches nothing.
     """
-    lo = _as_date(start) - timedelta(days=1)
-    hi = _as_date(end)
-    span = (hi - lo).days
-    if span < 1 or span > MAX_SPAN:
-        raise ValueError(f"analysis span of {span} days is out of range")
+    tables = daily if isinstance(daily, list) else [daily]
     cols = sorted({a.col for a in aggs if a.col})
-    bc = F.broadcast if span <= broadcast_span else (lambda df: df)
-    dense = _dense(daily, date, cols, lo, hi, bc)
+    bounds = windows.agg(F.min(F.least(prev, cur)).alias("lo"), F.max(F.greatest(prev, cur)).alias("hi"))
+    dense = _dense(tables, date, cols, bounds)
 
     exprs: dict[str, Column] = {"_rows": F.coalesce(F.col("_row"), F.lit(0))}
     for a in aggs:
@@ -138,15 +105,10 @@ def attribute_windows(windows: DataFrame, daily: DataFrame | list[DataFrame], ag
         elif a.kind == "count_pos":
             exprs[f"_p_{a.col}"] = F.when(F.col(a.col) > 0, 1).otherwise(0)
     max_cols = sorted({a.col for a in aggs if a.kind == "max"})
-    levels = max(0, int(math.floor(math.log2(span)))) if max_cols else 0
-    helper = _helper(dense, exprs, max_cols, levels)
-
-    w = windows.withColumns({
-        "_ip": F.least(F.greatest(F.datediff(F.col(prev), F.lit(lo)), F.lit(0)), F.lit(span)),
-        "_ic": F.least(F.greatest(F.datediff(F.col(cur), F.lit(lo)), F.lit(0)), F.lit(span)),
-    })
-    # the same helper frame on both sides, so its broadcast is built once and reused
-    ha, hb = bc(helper).alias("_ha"), bc(helper).alias("_hb")
+    helper = _helper(dense, exprs, max_cols)
+
+    w = windows.withColumns({"_ip": F.unix_date(F.to_date(prev)), "_ic": F.unix_date(F.to_date(cur))})
+    ha, hb = helper.alias("_ha"), helper.alias("_hb")
     w = (w.join(ha, F.col("_ip") == F.col("_ha._i"), "left")
           .join(hb, F.col("_ic") == F.col("_hb._i"), "left"))
     w = w.select(*windows.columns, "_ip", "_ic",
@@ -174,14 +136,10 @@ def attribute_windows(windows: DataFrame, daily: DataFrame | list[DataFrame], ag
             outs[a.out] = F.when(valid, diff("_rows")).otherwise(0).cast("bigint")
         elif a.kind == "max":
             outs[a.out] = F.when(valid, F.greatest(F.element_at(F.col(f"F_{a.col}"), pos),
-                                                   F.element_at(F.col(f"B_{a.col}"), pos + F.lit(levels + 1))))
+                                                   F.element_at(F.col(f"B_{a.col}"), pos + F.lit(LEVELS + 1))))
     return w.select(*windows.columns, *[outs[a.out].alias(a.out) for a in aggs])
 
 
-def _as_date(v) -> _dt.date:
-    return v if isinstance(v, _dt.date) else _dt.date.fromisoformat(str(v))
-
-
 def attribute_windows_literal(windows: DataFrame, daily: DataFrame, aggs: list[Agg],
                               prev: str = "data_medicao_anterior", cur: str = "data_medicao",
                               date: str = "data", sum_type: str = "decimal(28,6)") -> DataFrame:

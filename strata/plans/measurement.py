@@ -6,7 +6,6 @@ pick what they need and Catalyst prunes the rest. Nothing here collects data.
 
 from __future__ import annotations
 
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,39 +16,17 @@ from strata.operators import dims, facts, quality, stats, windows
 from strata.operators.scalars import product
 from strata.operators.windows import Agg
 from strata.plans import spec
-from strata.session import ensure_checkpoint_dir
 from strata.sources.dirty import dirty_orders
 from strata.sources.tables import read_table
 
 
-def ntz(day: str):
-    """A TIMESTAMP_NTZ literal (the driver tables store dates as timestamp_ntz)."""
-    return F.expr(f"TIMESTAMP_NTZ'{day} 00:00:00'")
-
-
-def _next_day(day: str) -> str:
-    import datetime as dt
-    return (dt.date.fromisoformat(day) + dt.timedelta(days=1)).isoformat()
-
-
 class Model:
-    def __init__(self, spark: SparkSession, sf_dir: str, silver: dict[str, DataFrame] | None = None,
-                 publish: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, silver: dict[str, DataFrame] | None = None):
         """``silver`` optionally supplies already written silver tables
-        (keys ``levels``, ``rain``, ``basins``); gold is then built from them.
-
-        ``publish``: the three silver tables and the shared gold tables (calendar, daily
-        facts, consecutive-level fact, attributed windows, ``monthly``), which many facts, checks, answers and
-        views read, are each written once as Parquet under the
-        session's ``spark.checkpoint.dir`` (the shared folder on a cluster) and read back,
-        like the reference's silver and gold tables that its later layers and views query.
-        Lineage is cut there: a lost executor re-reads the written files rather than
-        re-aggregating the raw tables or recomputing the window attribution.
-        """
+        (keys ``levels``, ``rain``, ``basins``); gold is then built from them."""
         self.spark, self.sf_dir = spark, sf_dir
         self._tables: dict[str, DataFrame] = {}
         self._silver = silver or {}
-        self._publish = publish
 
     def table(self, name: str) -> DataFrame:
         """One scan definition per table (file listing and schema read once)."""
@@ -87,35 +64,33 @@ class Model:
     def silver_levels(self) -> DataFrame:
         if "levels" in self._silver:
             return self._silver["levels"]
-        return self._maybe_publish("silver_levels", self._build_silver_levels())
+        return self._build_silver_levels()
 
     def _build_silver_levels(self) -> DataFrame:
-        o = self.table("orders").select(
-            "o_orderkey", F.col("o_custkey").alias("cristalizador"),
-            F.to_date("o_orderdate").alias("data_medicao"), "o_totalprice")
-        best = quality.dedup_best(o, ["cristalizador", "data_medicao"],
-                                  [F.col("o_orderkey").desc()])
-        return best.select("cristalizador", "data_medicao",
-                           F.col("o_totalprice").alias("nivel"),
-                           (F.col("o_totalprice") < spec.ZERO_FLOOR).alias("flag_zerada"))
+        li = self.table("lineitem").select(
+            "l_orderkey", "l_linenumber", F.col("l_suppkey").alias("cristalizador"),
+            F.to_date("l_shipdate").alias("data_medicao"), F.col("l_extendedprice").alias("nivel"))
+        best = quality.dedup_best(li, ["cristalizador", "data_medicao"], [
+            F.col("l_orderkey").desc(), F.col("l_linenumber").desc(), F.col("nivel").desc_nulls_last()])
+        return best.select("cristalizador", "data_medicao", "nivel",
+                           (F.col("nivel") < spec.ZERO_FLOOR).alias("flag_zerada"))
 
     @cached_property
     def silver_rain(self) -> DataFrame:
         if "rain" in self._silver:
             return self._silver["rain"]
-        return self._maybe_publish("silver_rain", self._build_silver_rain())
+        return self._build_silver_rain()
 
     def _build_silver_rain(self) -> DataFrame:
-        li = self.table("lineitem").filter(F.col("l_shipdate") < ntz(spec.RAIN_END))
-        return li.groupBy(F.col("l_suppkey").alias("estacao"),
-                          F.to_date("l_shipdate").alias("data_registro")).agg(
-            F.sum(F.col("l_quantity").cast("decimal(12,2)")).alias("milimetros"))
+        return self.table("orders").groupBy(
+            F.col("o_custkey").alias("estacao"), F.to_date("o_orderdate").alias("data_registro")).agg(
+            F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("milimetros"))
 
     @cached_property
     def silver_basins(self) -> DataFrame:
         if "basins" in self._silver:
             return self._silver["basins"]
-        return self._maybe_publish("silver_basins", self._build_silver_basins())
+        return self._build_silver_basins()
 
     def _build_silver_basins(self) -> DataFrame:
         li = self.table("lineitem")
@@ -150,8 +125,7 @@ class Model:
         bounds = product(o, li).select(
             F.make_date(F.year(F.least("a", "c")), F.lit(1), F.lit(1)).alias("inicio"),
             F.make_date(F.year(F.greatest("b", "d")), F.lit(12), F.lit(31)).alias("fim"))
-        return self._maybe_publish("calendar", dims.dim_calendar(
-            dims.calendar_days(bounds), season=spec.SEASON, scope=spec.LEVEL_SCOPE))
+        return dims.dim_calendar(dims.calendar_days(bounds), season=spec.SEASON, scope=spec.LEVEL_SCOPE)
 
     @cached_property
     def dim_month(self) -> DataFrame:
@@ -170,8 +144,7 @@ class Model:
     # ------------------------------------------------------------ facts
     @cached_property
     def fact_rain(self) -> DataFrame:
-        return self._maybe_publish("fact_rain", facts.fact_daily(
-            self.silver_rain, "estacao", "data_registro", "milimetros"))
+        return facts.fact_daily(self.silver_rain, "estacao", "data_registro", "milimetros")
 
     @cached_property
     def rain_day(self) -> DataFrame:
@@ -191,23 +164,21 @@ class Model:
 
     @cached_property
     def fact_evap(self) -> DataFrame:
-        return self._maybe_publish("fact_evap", facts.fact_signed_daily(self.pairs, self.fluids))
+        return facts.fact_signed_daily(self.pairs, self.fluids)
 
     @cached_property
     def evap_day(self) -> DataFrame:
         """C5 pivot: one row per day with each member's film and a removal flag."""
-        e = self.fact_evap
-        a, s = spec.BASIN_MEMBERS
-        return e.groupBy("data").agg(
-            F.max(F.when(F.col("fluido") == a, F.col("lamina_mm"))).alias("evap_agua_mm"),
-            F.max(F.when(F.col("fluido") == s, F.col("lamina_mm"))).alias("evap_salmoura_mm"),
-            F.max(F.when(F.col("tipo_evento") == "RETIRADA", 1).otherwise(0)).alias("teve_retirada"))
+        films = dict(zip(spec.BASIN_MEMBERS, ("evap_agua_mm", "evap_salmoura_mm")))
+        wide = facts.pivot_values(self.fact_evap, ["data"], "fluido", "lamina_mm", films,
+                                  F.max((F.col("tipo_evento") == "RETIRADA").cast("int")).alias("teve_retirada"))
+        return wide
 
     @cached_property
     def fact_level(self) -> DataFrame:
-        return self._maybe_publish("fact_level", facts.fact_consecutive(
+        return facts.fact_consecutive(
             self.silver_levels, "cristalizador", "data_medicao", "nivel", "flag_zerada",
-            spec.EVENT_THRESHOLD, scope=spec.LEVEL_SCOPE))
+            spec.EVENT_THRESHOLD, scope=spec.LEVEL_SCOPE)
 
     @cached_property
     def windows(self) -> DataFrame:
@@ -216,7 +187,6 @@ class Model:
              .filter(F.col("data_medicao_anterior").isNotNull() & ~F.col("flag_evento"))
              .select("cristalizador", "data_medicao", "data_medicao_anterior", "dias_corridos",
                      "variacao", "crescimento", "flag_base_zerada"))
-        start, end = spec.LEVEL_SCOPE
         # both daily drivers, each joined into the calendar of the analysis range
         w = windows.attribute_windows(w, [self.rain_day, self.evap_day], [
             Agg("sum", "chuva_volume_mm", "chuva_mm"),
@@ -226,48 +196,36 @@ class Model:
             Agg("sum", "evap_agua_total_mm", "evap_agua_mm"),
             Agg("sum", "evap_salmoura_total_mm", "evap_salmoura_mm"),
             Agg("sum", "dias_retirada_janela", "teve_retirada"),
-        ], start, end)
-        rain_days, basin_days = self._driver_days()
-        return self._maybe_publish("windows", windows.with_coverage(
-            w, {"cobertura_pluviometrica_ok": rain_days, "cobertura_bacia_ok": basin_days},
-            "data_medicao"))
-
-    def _driver_days(self) -> tuple[DataFrame, DataFrame]:
-        """Days on which each driver delivered, for the coverage flags (F8).
-
-        From written silver tables when given or published; otherwise straight from the rows
-        that build them (a one-column scan with a partial max, no re-aggregation).
-        """
-        s0, s1 = spec.LEVEL_SCOPE
-        if self._publish or ("rain" in self._silver and "basins" in self._silver):
-            rain = self.silver_rain.filter(F.col("milimetros").isNotNull()) \
-                .select(F.col("data_registro").alias("d"))
-            basin = self.silver_basins.filter(
-                (F.col("bacia") == spec.BASIN_SCOPE)
-                & F.col("data_registro").between(F.lit(s0).cast("date"), F.lit(s1).cast("date"))) \
-                .select(F.col("data_registro").alias("d"))
-            return rain, basin
-        li = self.table("lineitem")
-        rain = (li.filter((F.col("l_shipdate") < ntz(spec.RAIN_END)) & F.col("l_quantity").isNotNull())
-                .select(F.to_date("l_shipdate").alias("d")))
-        basin = (li.filter((F.col("l_returnflag") == spec.BASIN_SCOPE)
-                           & (F.col("l_shipdate") >= ntz(s0)) & (F.col("l_shipdate") < ntz(_next_day(s1))))
-                 .select(F.to_date("l_shipdate").alias("d")))
-        return rain, basin
+            Agg("count", "dias_bacia_janela", "teve_retirada"),
+        ])
+        return windows.with_coverage(
+            w, {"cobertura_pluviometrica_ok": self.silver_rain.filter(F.col("milimetros").isNotNull())
+                .select("data_registro"),
+                "cobertura_bacia_ok": self.pairs.select("data")}, "data_medicao")
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return self._maybe_publish("monthly", stats.fact_monthly(self.windows))
-
-    def _maybe_publish(self, name: str, df: DataFrame) -> DataFrame:
-        return self._published(name, df) if self._publish else df
-
-    def _published(self, name: str, df: DataFrame) -> DataFrame:
-        """Write ``df`` once to a fresh folder under the checkpoint folder and read it back."""
-        base = ensure_checkpoint_dir(self.spark).rstrip("/")
-        path = f"{base}/strata-published/{uuid.uuid4().hex}/{name}"
-        df.write.mode("errorifexists").parquet(path)
-        return self.spark.read.parquet(path)
+        """F9 on the attributed windows; rain measures are NULL in uncovered months."""
+        m = stats.Mean
+        return stats.monthly_rollup(self.windows, "data_medicao", [
+            m("variacao_media_cm", "variacao", 3, "decimal(14,3)"),
+            m("dias_corridos_medio", "dias_corridos", 1, "decimal(8,1)"),
+            m("chuva_volume_mm", "chuva_volume_mm", 1, "decimal(12,1)", where_covered=True),
+            m("chuva_dias_registrados", "chuva_dias_registrados", 1, "decimal(8,1)", where_covered=True),
+            m("chuva_intensidade_mm_dia", "chuva_volume_mm", 2, "decimal(12,2)", "chuva_dias_registrados", True),
+            m("chuva_max_dia_mm", "chuva_max_dia_mm", 1, "decimal(12,1)", where_covered=True),
+            m("dias_lidos_janela", "dias_lidos_janela", 1, "decimal(8,1)", where_covered=True),
+            m("evaporacao_agua_mm_dia", "evap_agua_total_mm", 2, "decimal(12,2)", "dias_corridos"),
+            m("evaporacao_salmoura_mm_dia", "evap_salmoura_total_mm", 2, "decimal(12,2)", "dias_corridos"),
+            m("dias_retirada_janela", "dias_retirada_janela", 1, "decimal(8,1)"),
+            m("dias_bacia_janela", "dias_bacia_janela", 1, "decimal(8,1)"),
+        ], "cobertura_pluviometrica_ok", {
+            "cristalizadores": F.count(F.lit(1)),
+            "variacao_desvio_cm": F.round(F.stddev_samp(F.col("variacao").cast("double")), 3).cast("decimal(14,3)"),
+            "medicoes_pos_colheita": F.count_if("flag_base_zerada"),
+            "cobertura_pluviometrica_ok": F.max("cobertura_pluviometrica_ok"),
+            "cobertura_bacia_ok": F.max("cobertura_bacia_ok"),
+        })
 
     @cached_property
     def yearly(self) -> DataFrame:

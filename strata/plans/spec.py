@@ -3,21 +3,20 @@
 Fixed values: every parameter below is part of the query definitions (and of the oracle
 SQL); changing one changes the answers.
 
-level series   orders: entity o_custkey, date o_orderdate, level o_totalprice; one row per
-               (customer, day) keeping the newest submission (highest o_orderkey).
-driver series  lineitem summed per (supplier, ship day); supplier = station. Delivered up
-               to RAIN_END (exclusive), so the last months of the scope are uncovered.
+level series   lineitem: entity l_suppkey, date l_shipdate, level l_extendedprice; one row per
+               (supplier, day) keeping the newest submission (highest order and line).
+driver series  orders summed per (customer, order day); customer = station. Orders end some
+               months before the shipments, so the last level windows are uncovered.
 paired series  lineitem per (returnflag, ship day): two members whose placed / removed
                columns are exclusive (sign of a net quantity) plus a density for one.
 """
 
 # level series
-LEVEL_SCOPE = ("1995-01-01", "2001-08-31")
-EVENT_THRESHOLD = 200000.0          # change < -threshold is an event (strict)
-ZERO_FLOOR = 10000.0                # level below this counts as a zero level
+LEVEL_SCOPE = ("1995-01-01", "2001-12-31")
+EVENT_THRESHOLD = 50000.0           # change < -threshold is an event (strict)
+ZERO_FLOOR = 2000.0                 # level below this counts as a zero level
 
 # driver series
-RAIN_END = "2001-06-01"             # first day not delivered
 SUSPECT_MOD, SUSPECT_REM = 10, 5    # suspect stations: key % 10 = 5
 SUSPECT_NOTE = "Ratio to the other stations drops in the last years: suspected calibration drift."
 

@@ -37,15 +37,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; set a scratch one only when none is configured.
+    """Return the session's checkpoint folder; set a scratch one only in a local session without any.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; without it
+    this raises, since a folder of one machine would be invisible to the others.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="strata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

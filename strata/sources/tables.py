@@ -1,4 +1,4 @@
-"""Driver tables (one Parquet file per table under an ``sf`` folder)."""
+"""Driver tables (one Parquet file or folder per table under an ``sf`` folder)."""
 
 from __future__ import annotations
 
@@ -13,23 +13,7 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, rebalance: bool = True) -> DataFrame:
-    """Parquet scan; column pruning and filter pushdown come from Catalyst.
-
-    ``rebalance``: a scan with fewer input splits than the session's parallelism (a small
-    table written as one row group yields one task) is spread round-robin over
-    ``defaultParallelism`` partitions, so parsing, explodes and partial aggregates before
-    the first shuffle are not single-threaded. Pruned columns and pushed filters still
-    reach the scan (they are placed below the exchange). At cluster scale a table has far
-    more splits than cores and the scan is returned as is: no extra shuffle.
-    """
-    df = spark.read.parquet(table_path(sf_dir, name))
-    if rebalance:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()  # plans the scan; runs no job
-        except Exception:  # e.g. a Spark Connect session has no RDD view: keep the scan
-            return df
-        if splits < cores:
-            return df.repartition(cores)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan; column pruning and filter pushdown come from Catalyst, split sizes from
+    ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(table_path(sf_dir, name))

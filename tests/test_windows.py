@@ -10,7 +10,6 @@ from strata.operators.windows import Agg
 
 AGGS = [Agg("sum", "s", "v"), Agg("count_pos", "p", "v"), Agg("max", "mx", "v"),
         Agg("count_rows", "r"), Agg("count", "n", "v"), Agg("sum", "s2", "u")]
-START, END = "2020-01-01", "2020-12-31"
 
 
 def _frames(spark, seed):
@@ -28,6 +27,8 @@ def _frames(spark, seed):
         wins.append((i, prev, d0 + dt.timedelta(days=b)))
     wins += [(1000, dt.date(2019, 12, 31), dt.date(2020, 1, 1)),   # first day of range
              (1001, dt.date(2020, 12, 30), dt.date(2020, 12, 31))]  # last day of range
+    wins += [(1002, dt.date(1871, 3, 1), dt.date(2020, 2, 1)), (1003, dt.date(2020, 6, 1), dt.date(2160, 1, 1)),
+             (1004, dt.date(2020, 5, 9), dt.date(2020, 5, 2)), (1005, dt.date(1990, 1, 1), dt.date(1990, 2, 1))]
     d = spark.createDataFrame(daily, "data date, v double, u int")
     w = spark.createDataFrame(wins, "id int, data_medicao_anterior date, data_medicao date")
     return w, d
@@ -41,7 +42,7 @@ def _norm(rows):
 def test_rewrite_equals_literal(spark):
     for seed in (1, 2):
         w, d = _frames(spark, seed)
-        got = W.attribute_windows(w, d, AGGS, START, END).collect()
+        got = W.attribute_windows(w, d, AGGS).collect()
         want = W.attribute_windows_literal(w, d, AGGS).collect()
         assert _norm(got) == _norm(want)
 
@@ -58,7 +59,7 @@ def test_window_edges(spark):
     aggs = [Agg("sum", "s", "v"), Agg("count_pos", "p", "v"), Agg("max", "mx", "v"),
             Agg("count_rows", "r")]
     got = {r["id"]: (r["s"], r["p"], r["mx"], r["r"])
-           for r in W.attribute_windows(w, d, aggs, START, END).collect()}
+           for r in W.attribute_windows(w, d, aggs).collect()}
     assert float(got[1][0]) == 0.0 and got[1][1:] == (0, 0.0, 1)
     assert got[2] == (None, 0, None, 0)
     assert got[3] == (None, 0, None, 0)
