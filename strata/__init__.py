@@ -11,7 +11,6 @@ functions  scalar column expressions (locale parsing, labels, row-wise stats)
 operators  profiling, data quality, dedup, dimensions, facts, window attribution,
            statistics and analytical views
 plans      the mapping of the driver's tables onto the operators (query registry)
-streaming  intentionally empty: the modelled workload is full-refresh batch
 """
 
 __version__ = "0.1.0"

@@ -27,9 +27,10 @@ def parse_number(col: str | Column, dtype: str = "double") -> Column:
 
     Under ANSI mode a malformed value raises at run time (cast, not try_cast).
     """
-    clean = F.trim(_c(col))
-    return F.when(clean.isin(*MISSING_TOKENS), F.lit(None)).otherwise(
-        F.regexp_replace(clean, ",", ".").cast(dtype))
+    text = F.translate(F.trim(_c(col)), ",", ".")
+    for token in MISSING_TOKENS:
+        text = F.nullif(text, F.lit(token))
+    return text.cast(dtype)
 
 
 def try_parse_number(col: str | Column, dtype: str = "double") -> Column:
@@ -114,24 +115,3 @@ def pair_state(placed: str | Column, removed: str | Column) -> Column:
     return (F.when(_c(removed).isNotNull(), F.lit(PAIR_REMOVED))
              .when(_c(placed).isNotNull(), F.lit(PAIR_PLACED))
              .otherwise(F.lit(PAIR_NONE)))
-
-
-def snake_case(name: str) -> str:
-    """B8 helper: 'DATA REGISTRO' / 'DataRegistro' -> 'data_registro'."""
-    out, prev_lower = [], False
-    for ch in name.strip():
-        if ch in " -.":
-            out.append("_")
-            prev_lower = False
-            continue
-        if ch.isupper() and prev_lower:
-            out.append("_")
-        out.append(ch.lower())
-        prev_lower = ch.islower() or ch.isdigit()
-    return "".join(out)
-
-
-def rename_snake(df, mapping: dict[str, str] | None = None):
-    """Project and rename to lower snake case (explicit mapping wins)."""
-    mapping = mapping or {}
-    return df.select(*[F.col(c).alias(mapping.get(c, snake_case(c))) for c in df.columns])

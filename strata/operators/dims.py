@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.profile import ACCURACY
 from strata.operators.scalars import attach
 
 # Portuguese month names, January first.
@@ -41,13 +42,6 @@ def dim_calendar(days: DataFrame, season=(2, 5), scope: tuple[str, str] | None =
         in_scope.alias("no_recorte_analise"))
 
 
-def dim_calendar_range(spark: SparkSession, start: str, end: str, **kw) -> DataFrame:
-    """D1 with literal bounds."""
-    bounds = spark.range(1).select(F.lit(start).cast("date").alias("inicio"),
-                                   F.lit(end).cast("date").alias("fim"))
-    return dim_calendar(calendar_days(bounds), **kw)
-
-
 def dim_month(calendar: DataFrame) -> DataFrame:
     """Month grain rolled up from the day calendar, so attributes conform."""
     return calendar.groupBy("ano_mes").agg(
@@ -63,11 +57,11 @@ TERCILE_LABELS = ("PEQUENO", "MEDIO", "GRANDE")
 
 
 def dim_entity_terciles(df: DataFrame, key: str, attr: str, attr_type: str = "decimal(14,2)",
-                        accuracy: int = 100000) -> DataFrame:
+                        accuracy: int = ACCURACY) -> DataFrame:
     """D3: max(attr) per entity, classed by approximate terciles over the entities.
 
-    The cut points are a one-row aggregate over the entities (bounded memory through
-    ``accuracy``; exact while the number of entities is below it), attached by broadcast.
+    The cut points are a one-row aggregate over the entities, attached by broadcast: bounded
+    memory, ranks off by at most 1/accuracy.
     ``attr`` is reported as a decimal and scaled by 10,000 (hectares -> m2).
     """
     base = df.groupBy(key).agg(F.max(attr).alias("_a"))
@@ -89,14 +83,16 @@ def dim_entity_flag(df: DataFrame, key: str, suspect: Column, note: str) -> Data
                         F.when(F.col("flag_suspeita"), F.lit(note))))
 
 
+# The two members, their labels and whether their density is measured.
+FLUIDS = [("AGUA_DOCE", "Água doce", False), ("SALMOURA", "Salmoura", True)]
+
+
 def dim_fluid(spark: SparkSession) -> DataFrame:
     """Constant dimension of the two paired members with their physical attributes.
 
     Area of a 1 m diameter circle: round(pi * 0.5^2, 4) = 0.7854 m2.
     """
     area = F.round(F.pi() * F.pow(F.lit(0.5), F.lit(2)), 4).cast("decimal(6,4)")
-    rows = spark.createDataFrame(
-        [("AGUA_DOCE", "Água doce", False), ("SALMOURA", "Salmoura", True)],
-        "fluido string, descricao string, mede_densidade boolean")
+    rows = spark.createDataFrame(FLUIDS, "fluido string, descricao string, mede_densidade boolean")
     return rows.select("fluido", "descricao", F.lit(1.0).cast("decimal(4,2)").alias("diametro_m"),
                        area.alias("area_m2"), "mede_densidade")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +13,20 @@ class LoadGuardError(RuntimeError):
     pass
 
 
+def open_sources(names: list[str], open_one) -> dict[str, DataFrame]:
+    """A10: every expected source as a frame, or one error that lists all that cannot be opened.
+    Opening reads names and schemas only; nothing is written before this has passed."""
+    found, missing = {}, []
+    for name in names:
+        try:
+            found[name] = open_one(name)
+        except AnalysisException as e:
+            missing.append(f"{name} ({e.getCondition()})")
+    if missing:
+        raise LoadGuardError(f"expected sources not found: {missing}")
+    return found
+
+
 def missing_sources(landed: DataFrame, expected: list[str], file_col: str = "arquivo_origem"
                     ) -> DataFrame:
     """A10: expected file names that are absent from the landed table (left anti join)."""
@@ -34,12 +49,13 @@ def assert_not_empty(df: DataFrame, name: str = "source"):
 
 
 def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """Rows in vs rows out per table, with an ``integro`` flag."""
-    rows = [src.agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("registros_origem"))
-            .join(dst.agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("registros_destino")),
-                  "tabela")
-            for name, (src, dst) in pairs.items()]
-    out = reduce(lambda a, b: a.unionByName(b), rows)
+    """Rows in vs rows out per table, with an ``integro`` flag: tagged counts, one row per
+    side and table, put side by side by a tiny aggregate."""
+    sides = [df.agg(F.lit(name).alias("tabela"), F.lit(side).alias("lado"), F.count("*").alias("n"))
+             for name, pair in pairs.items() for side, df in enumerate(pair)]
+    n = lambda side: F.max(F.when(F.col("lado") == side, F.col("n")))
+    out = reduce(DataFrame.unionByName, sides).groupBy("tabela").agg(
+        n(0).alias("registros_origem"), n(1).alias("registros_destino"))
     return out.withColumn("integro", F.col("registros_origem") == F.col("registros_destino"))
 
 

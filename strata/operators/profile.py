@@ -1,28 +1,38 @@
 """Column profiling.
 
-The reference profiles with one wide aggregate (5 expressions x n columns, n distinct
-counts) collected to the driver, or with one job per column. Here every profile is one
-DataFrame end to end: the table is exploded to (column, value) once, aggregated by
-(column, value) with map-side combine, then by column. A column with a single hot value
-or a huge number of distinct values is spread over reducers by the (column, value) key.
+Every profile is one wide aggregate with map-side partials, turned into one row per column by
+``stack``. Only distinct counts need a shuffle of values; they travel as 16-byte digests, so
+long texts never enter an exchange, and a hot value is one row per map task.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.clean import MISSING_TOKENS, try_parse_number
 
+#: Accuracy of every approximate quantile of the library: ranks are off by at most 1/ACCURACY of the
+#: rows, at any size, with a sketch of a bounded size.
+ACCURACY = 1_000_000
 
-class EmptyTableError(ValueError):
-    pass
 
+def per_column(df: DataFrame, cols: list[str], measures: dict) -> DataFrame:
+    """One row per column (``coluna``) with the aggregates ``measures``: name -> f(column name)."""
+    if not cols:
+        raise ValueError(f"no column to profile among {df.columns}")
+    one = df.agg(*[f(c).alias(f"m{i}_{j}") for i, c in enumerate(cols) for j, f in enumerate(measures.values())])
+    rows = ", ".join(", ".join([f"'{c}'", *[f"m{i}_{j}" for j in range(len(measures))]]) for i, c in enumerate(cols))
+    return one.selectExpr(f"stack({len(cols)}, {rows}) AS (coluna, {', '.join(measures)})")
 
-def _long(df: DataFrame, cols: list[str]) -> DataFrame:
-    pairs = [F.struct(F.lit(c).alias("coluna"), F.col(c).cast("string").alias("valor"))
-             for c in cols]
-    return df.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.coluna", "_p.valor")
+
+def text_of(c: str) -> Column:
+    return F.col(c).cast("string")
+
+
+def filled(x: Column) -> Column:
+    return x.isNotNull() & ~F.trim(x).isin(*MISSING_TOKENS)
 
 
 def pct(part: Column, whole: Column, digits: int) -> Column:
@@ -31,87 +41,71 @@ def pct(part: Column, whole: Column, digits: int) -> Column:
                    .cast("decimal(20,0)"), digits)
 
 
-def profile_columns(df: DataFrame, cols: list[str] | None = None,
-                    require_rows: bool = True) -> DataFrame:
+def distinct_texts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(coluna, distintos): distinct texts per column, counted on 128-bit digests."""
+    marks = F.array(*[F.struct(F.lit(c).alias("coluna"), F.unhex(F.md5(text_of(c))).alias("h")) for c in cols])
+    seen = df.select(F.inline(marks)).where("h IS NOT NULL").groupBy("coluna", "h").agg(F.lit(1).alias("x"))
+    return seen.groupBy("coluna").agg(F.count("*").alias("distintos"))
+
+
+def profile_columns(df: DataFrame, cols: list[str] | None = None, require_rows: bool = True) -> DataFrame:
     """One row per column.
 
     linhas, nulos, vazios_ou_hifen (trimmed value in '', '-'), preenchido_pct (1 dp),
     distintos (distinct untrimmed text, NULL excluded, tokens included),
-    menor / maior (lexicographic min / max of the trimmed text).
+    menor / maior (lexicographic min / max of the trimmed text). With ``require_rows`` the
+    result of a table without rows raises when it is read.
     """
     cols = cols or df.columns
-    if require_rows and df.isEmpty():
-        raise EmptyTableError("empty table: nothing to profile")
-    per_value = (_long(df, cols).groupBy("coluna", "valor")
-                 .agg(F.count(F.lit(1)).alias("n")))
-    v, n = F.col("valor"), F.col("n")
-    trimmed = F.trim(v)
-    total = F.sum(n)
-    nulls = F.sum(F.when(v.isNull(), n).otherwise(0))
-    tokens = F.sum(F.when(v.isNotNull() & trimmed.isin(*MISSING_TOKENS), n).otherwise(0))
-    return per_value.groupBy("coluna").agg(
-        total.cast("bigint").alias("linhas"),
-        nulls.cast("bigint").alias("nulos"),
-        tokens.cast("bigint").alias("vazios_ou_hifen"),
-        pct(total - nulls - tokens, total, 1).cast("decimal(4,1)").alias("preenchido_pct"),
-        F.count(v).alias("distintos"),
-        F.min(trimmed).alias("menor"),
-        F.max(trimmed).alias("maior"),
-    )
+    wide = per_column(df, cols, {
+        "linhas": lambda c: F.count("*"),
+        "nulos": lambda c: F.count_if(F.col(c).isNull()),
+        "vazios_ou_hifen": lambda c: F.count_if(F.col(c).isNotNull() & ~filled(text_of(c))),
+        "menor": lambda c: F.min(F.trim(text_of(c))),
+        "maior": lambda c: F.max(F.trim(text_of(c)))})
+    n = F.col("linhas")
+    if require_rows:
+        wide = wide.withColumn("linhas", F.when(n > 0, n).otherwise(F.raise_error(F.lit("table without rows"))))
+    present = n - F.col("nulos") - F.col("vazios_ou_hifen")
+    return wide.join(distinct_texts(df, cols), "coluna", "left").select(
+        "coluna", "linhas", "nulos", "vazios_ou_hifen", pct(present, n, 1).cast("decimal(4,1)").alias("preenchido_pct"),
+        F.coalesce("distintos", F.lit(0)).cast("bigint").alias("distintos"), "menor", "maior")
 
 
 def numeric_columns(df: DataFrame, cols: list[str] | None = None,
                     threshold: float = 0.9) -> DataFrame:
     """Per column, filled values, values that parse as numbers, and whether the column
-    qualifies (filled > 0 and parsed / filled >= threshold). One aggregate pass."""
-    cols = cols or df.columns
-    filled = ~F.trim(F.col("valor")).isin(*MISSING_TOKENS) & F.col("valor").isNotNull()
-    numeric = filled & try_parse_number(F.col("valor")).isNotNull()
-    agg = (_long(df, cols).groupBy("coluna")
-           .agg(F.count_if(filled).alias("preenchidos"), F.count_if(numeric).alias("numericos")))
-    return agg.withColumn(
-        "numerica", (F.col("preenchidos") > 0)
-        & (F.col("numericos") >= F.lit(threshold) * F.col("preenchidos")))
+    qualifies (filled > 0 and parsed / filled >= threshold)."""
+    wide = per_column(df, cols or df.columns, {
+        "preenchidos": lambda c: F.count_if(filled(text_of(c))),
+        "numericos": lambda c: F.count_if(filled(text_of(c)) & try_parse_number(F.col(c)).isNotNull())})
+    have, parsed = F.col("preenchidos"), F.col("numericos")
+    return wide.withColumn("numerica", (have > 0) & (parsed >= F.lit(threshold) * have))
 
 
-def numeric_column_names(df: DataFrame, threshold: float = 0.9) -> list[str]:
-    """P3 as a list (a handful of rows reach the driver)."""
-    return [r["coluna"] for r in numeric_columns(df, threshold=threshold)
-            .filter("numerica").select("coluna").collect()]
+def profile_numeric(df: DataFrame, cols: list[str], accuracy: int = ACCURACY) -> DataFrame:
+    """Count / mean / stddev / min / quartiles / max per column; text is parsed tolerantly.
 
+    Unknown columns are skipped; none left raises. Quartiles have bounded memory (``ACCURACY``).
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
 
-def profile_numeric(df: DataFrame, cols: list[str], accuracy: int = 100000) -> DataFrame:
-    """Tolerant parse, then count / mean / stddev / min / quartiles / max per column.
+    def number(c: str) -> Column:
+        return F.col(c).cast("double") if isinstance(kinds[c], T.NumericType) else try_parse_number(F.col(c))
 
-    Unknown columns are skipped; none left raises. Quartiles use percentile_approx
-    (bounded memory; exact while n <= accuracy).
-    """
-    present = [c for c in cols if c in df.columns]
-    if not present:
-        raise ValueError(f"none of the requested columns exist; available: {df.columns}")
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("coluna"), try_parse_number(F.col(c)).alias("x"))
-        for c in present])).alias("_p")).select("_p.coluna", "_p.x")
-    x = F.col("x")
-    q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-    return (long.groupBy("coluna").agg(
-        F.count(x).alias("contagem"),
-        F.round(F.avg(x), 4).cast("decimal(20,4)").alias("media"),
-        F.round(F.stddev_samp(x), 4).cast("decimal(20,4)").alias("desvio"),
-        F.min(x).alias("minimo"), q.alias("_q"), F.max(x).alias("maximo"))
-        .select("coluna", "contagem", "media", "desvio", "minimo",
-                F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"),
-                F.col("_q")[2].alias("p75"), "maximo"))
+    quart = lambda k: lambda c: F.percentile_approx(number(c), [0.25, 0.5, 0.75], accuracy)[k]
+    return per_column(df, [c for c in cols if c in kinds], {
+        "contagem": lambda c: F.count(number(c)),
+        "media": lambda c: F.round(F.avg(number(c)), 4).cast("decimal(20,4)"),
+        "desvio": lambda c: F.round(F.stddev_samp(number(c)), 4).cast("decimal(20,4)"),
+        "minimo": lambda c: F.min(number(c)), "p25": quart(0), "p50": quart(1), "p75": quart(2),
+        "maximo": lambda c: F.max(number(c))})
 
 
 def top_values(df: DataFrame, col: str, n: int = 10) -> DataFrame:
     """Most frequent trimmed values, ties broken by the value (NULL first)."""
-    if col not in df.columns:
-        raise ValueError(f"column {col} not found; available: {df.columns}")
-    return (df.groupBy(F.trim(F.col(col).cast("string")).alias("valor"))
-            .agg(F.count(F.lit(1)).alias("ocorrencias"))
-            .orderBy(F.desc("ocorrencias"), F.asc_nulls_first("valor"))
-            .limit(n))
+    seen = domain_counts(df, F.trim(text_of(col))).withColumnRenamed("registros", "ocorrencias")
+    return seen.sort(F.col("ocorrencias").desc(), F.col("valor").asc_nulls_first()).limit(n)
 
 
 def completeness(df: DataFrame, cols: list[str]) -> DataFrame:

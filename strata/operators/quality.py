@@ -24,60 +24,53 @@ from pyspark.sql import functions as F
 RESENT, CONFLICT = "REENVIO", "CONFLITO DE VALOR"
 
 
-def _max_of(cols: list[Column]) -> Column:
-    # greatest() needs two or more arguments; one measure is used as is.
-    return cols[0] if len(cols) == 1 else F.greatest(*cols)
+def submissions(df: DataFrame, keys: list[str], distinct: dict[str, str], times: str | None = None) -> DataFrame:
+    """Rows per business key (``lancamentos``), the distinct raw texts of each column of
+    ``distinct`` (output name -> column; NULL is no value, '12,5' and '12.5' are two), and the first
+    and last time."""
+    stats = {out: F.countDistinct(F.col(c).cast("string")) for out, c in distinct.items()}
+    if times:
+        stats |= {"primeiro_lancamento": F.min(times), "ultimo_lancamento": F.max(times)}
+    return df.groupBy(*keys).agg(F.count("*").alias("lancamentos"), *[x.alias(out) for out, x in stats.items()])
 
 
-def _key_stats(df: DataFrame, keys: list[str], measures: list[str],
-               id_col: str | None, ts_col: str | None) -> DataFrame:
-    aggs = [F.count(F.lit(1)).alias("lancamentos")]
-    if id_col:
-        aggs.append(F.countDistinct(F.col(id_col).cast("string")).alias("protocolos"))
-    if ts_col:
-        aggs += [F.min(F.col(ts_col)).alias("primeiro_lancamento"),
-                 F.max(F.col(ts_col)).alias("ultimo_lancamento")]
-    # Distinct over the raw text: NULL is ignored, '12,5' and '12.5' are two values.
-    aggs += [F.countDistinct(F.col(m).cast("string")).alias(f"distintos_{m}") for m in measures]
-    return df.groupBy(*keys).agg(*aggs)
+def contradicts(measures: list[str]) -> Column:
+    """Some measure of a key has several texts."""
+    return reduce(Column.__or__, [F.col(f"distintos_{m}") > 1 for m in measures])
+
+
+def _per_measure(measures: list[str]) -> dict[str, str]:
+    return {f"distintos_{m}": m for m in measures}
 
 
 def duplicate_report(df: DataFrame, keys: list[str], measures: list[str],
                      id_col: str | None = None, ts_col: str | None = None) -> DataFrame:
     """Q1: business keys with more than one row, classified REENVIO / CONFLITO DE VALOR."""
-    maxd = _max_of([F.col(f"distintos_{m}") for m in measures])
-    return (_key_stats(df, keys, measures, id_col, ts_col)
-            .filter(F.col("lancamentos") > 1)
-            .withColumn("classificacao",
-                        F.when(maxd > 1, F.lit(CONFLICT)).otherwise(F.lit(RESENT))))
+    named = ({"protocolos": id_col} if id_col else {}) | _per_measure(measures)
+    again = submissions(df, keys, named, ts_col).where("lancamentos > 1")
+    return again.withColumn("classificacao", F.when(contradicts(measures), CONFLICT).otherwise(RESENT))
 
 
-def duplicate_values(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    """Q1 detail: the distinct raw values behind each duplicated key, one row each.
+def duplicate_values(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Q1 detail: the distinct raw values behind each duplicated key, one row each, for measures as
+    well as protocols and submission times.
 
-    Long form of the reference's per-key value sets (key, column, value, occurrences).
+    Long form (key, column, value, occurrences): no group holds a set of unbounded size.
     """
-    dup_keys = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    stacked = df.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(m).alias("coluna"), F.col(m).cast("string").alias("valor"))
-        for m in measures])).alias("_kv")).select(*keys, "_kv.coluna", "_kv.valor")
-    return (stacked.filter(F.col("valor").isNotNull())
-            .groupBy(*keys, "coluna", "valor").agg(F.count(F.lit(1)).alias("ocorrencias"))
-            .join(dup_keys, keys, "left_semi"))
+    repeated = df.groupBy(*keys).count().where("count > 1").select(*keys)
+    cells = F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(c).cast("string").alias("valor")) for c in columns])
+    return (df.select(*keys, F.inline(cells)).where("valor IS NOT NULL")
+            .groupBy(*keys, "coluna", "valor").agg(F.count("*").alias("ocorrencias"))
+            .join(repeated, keys, "left_semi"))
 
 
 def duplicate_summary(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     """Q2 scoreboard in one aggregate pass over the per-key statistics."""
-    maxd = _max_of([F.col(f"distintos_{m}") for m in measures])
-    per_key = _key_stats(df, keys, measures, None, None).withColumn("_maxd", maxd)
-    n = F.col("lancamentos")
-    return per_key.agg(
-        F.sum(n).cast("bigint").alias("registros"),
-        F.count(F.lit(1)).alias("chaves_distintas"),
-        (F.sum(n) - F.count(F.lit(1))).cast("bigint").alias("lancamentos_excedentes"),
-        F.count_if((n > 1) & (F.col("_maxd") <= 1)).alias("chaves_reenvio"),
-        F.count_if((n > 1) & (F.col("_maxd") > 1)).alias("chaves_conflito"),
-    )
+    rows, twice, bad = F.col("lancamentos"), F.col("lancamentos") > 1, contradicts(measures)
+    return submissions(df, keys, _per_measure(measures)).agg(
+        F.sum(rows).alias("registros"), F.count("*").alias("chaves_distintas"),
+        F.sum(rows - 1).alias("lancamentos_excedentes"),
+        F.count_if(twice & ~bad).alias("chaves_reenvio"), F.count_if(twice & bad).alias("chaves_conflito"))
 
 
 def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -114,16 +107,14 @@ def date_gaps(df: DataFrame, entity: str, date: str) -> DataFrame:
     """Q6 generalised: per entity, dates inside its own first..last range on which some
     other entity has a row and this one has none.
 
-    For two entities this is "present in A, absent in B" both ways. Built as an explode of
-    each entity's own range, a semi join with the observed dates and an anti join with the
-    entity's observed (entity, date) pairs; all three are equi-joins on date keys.
+    The next date of an entity (``lead``) gives its gaps as ranges; only true gaps are expanded
+    to days, and those semi join the dates that anyone observed.
     """
-    obs = df.select(entity, date).distinct()
-    all_dates = obs.select(date).distinct()
-    ranges = obs.groupBy(entity).agg(F.min(date).alias("_lo"), F.max(date).alias("_hi"))
-    days = ranges.select(entity, F.explode(F.sequence("_lo", "_hi")).alias(date))
-    return (days.join(all_dates, date, "left_semi")
-            .join(obs, [entity, date], "left_anti"))
+    seen = df.select(entity, date).distinct()
+    after = F.lead(date).over(Window.partitionBy(entity).orderBy(date))
+    gaps = seen.withColumn("_next", after).where(F.datediff("_next", date) > 1)
+    days = gaps.select(entity, F.explode(F.sequence(F.date_add(date, 1), F.date_sub("_next", 1))).alias(date))
+    return days.join(seen.select(date).distinct(), date, "left_semi").select(entity, date)
 
 
 def date_gaps_pair(df: DataFrame, entity: str, date: str, a, b) -> DataFrame:
@@ -202,15 +193,28 @@ def check_conformed(fine: DataFrame, coarse: DataFrame, key: str, cols: list[str
     return f.join(c, key).filter(diff).agg(*_check_row(name, F.count(F.lit(1))))
 
 
+def check_matches(df: DataFrame, other: DataFrame, key: dict[str, str], value: str, other_value: str,
+                  name: str) -> DataFrame:
+    """Q10: ``value`` must equal what ``other`` holds under ``key`` (column -> its column); a key
+    without a row there is a violation as well, a NULL key is none."""
+    o = other.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(key.values())], F.col(other_value).alias("_v"))
+    on = reduce(Column.__and__, [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(key)])
+    asked = df.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in key]))
+    found = asked.join(o, on, "left")
+    return found.agg(*_check_row(name, F.count_if(~F.col(value).eqNullSafe(F.col("_v").cast(df.schema[value].dataType)))))
+
+
 def check_presence(df: DataFrame, cond: Column, name: str) -> DataFrame:
     """Q16: at least one row satisfies ``cond`` (violation = 1 when none does)."""
     return df.agg(*_check_row(name, F.when(F.count_if(cond) == 0, 1).otherwise(0)))
 
 
 def check_null_not_zero(df: DataFrame, covered: str, measures: list[str],
-                        name: str = "null_not_zero") -> DataFrame:
-    """Q15: a row without coverage must carry NULL measures (never 0)."""
-    bad = (~F.col(covered)) & reduce(lambda a, b: a | b, [F.col(m).isNotNull() for m in measures])
+                        name: str = "null_not_zero", other: str | None = None) -> DataFrame:
+    """Q15: a row without coverage must carry NULL measures (never 0), and must be covered by the
+    ``other`` driver where one is named."""
+    wrong = [F.col(m).isNotNull() for m in measures] + ([~F.col(other)] if other else [])
+    bad = ~F.col(covered) & reduce(Column.__or__, wrong)
     return df.agg(*_check_row(name, F.count_if(bad)))
 
 

@@ -1,81 +1,108 @@
 """Full-refresh layer job: staging -> bronze -> silver -> gold, written as Parquet.
 
-The reference runs four notebooks in a fixed order; this is the same flow as one job
-over the driver's tables. Every layer is written to ``<base>/<layer>/<table>`` and the next
-layer reads what was written, which cuts the lineage at each layer (a lost executor
-recomputes from the last written layer, not from the raw files). ``base`` defaults to a
-folder under the session's ``spark.checkpoint.dir`` (the shared folder on a cluster).
-
-Guards run before writes (expected sources, empty input), reconciliation after the bronze
-write, and the quality gates before gold is published; each raises with the full list.
+One job in a fixed order. Every layer is written to ``<base>/<layer>/<table>`` and the next layer
+is built from what was written: bronze holds text, silver parses, corrects and deduplicates
+that text, gold reads silver. So lineage ends at each layer, and a lost executor costs the
+current layer only. ``base`` defaults to a folder under the session's ``spark.checkpoint.dir``
+(the shared folder on a cluster).
+
+Nothing is written before every expected source has been opened and found to hold rows. Counts
+are reconciled after bronze; the gates of silver and of gold run before their layer is
+published, all checks but ``REPORT_ONLY`` block, and fact rows pass the write-time rules on their way to the sink.
+Each failure raises with the full list, and the layers published earlier stay as they were.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators import guards, quality
 from strata.plans.measurement import Model
 from strata.session import ensure_checkpoint_dir
-from strata.sources.landing import (as_text, read_layer, stamp, stamp_bronze, stamp_layer,
-                                    write_layer)
+from strata.sources.landing import as_text, publish_view, read_layer, stamp_bronze, stamp_layer, write_layer
+from strata.sources.tables import read_table
 
 STAGED = ("orders", "lineitem", "customer", "supplier", "nation", "region")
-
-GOLD = ("calendar", "dim_month", "stations", "fluids", "fact_rain", "fact_evap", "fact_level",
+LINEAGE = ("data_ingestao", "origem", "arquivo_origem", "data_carga_bronze", "origem_tabela")
+SILVER = {"levels": "silver_levels", "rain": "silver_rain", "basins": "silver_basins", "submissions": "dirty_dedup"}
+GOLD = ("calendar", "dim_month", "stations", "fluids", "customers", "fact_rain", "fact_evap", "fact_level",
         "monthly", "yearly", "climatology")
+#: Reported by ``quality_checks`` but not blocking: a limit of evaporation pans, which daily sums of
+#: the driver's quantities outgrow.
+REPORT_ONLY = {"range_film_60"}
+VIEWS = ("minmax_global", "minmax_inverted", "wide_to_long", "band_view", "seasonal_view")
+
+
+def write_rules(table: str) -> dict[str, Column]:
+    """Write-time rules of the gold facts (a NULL passes)."""
+    c = F.col
+    return {"fact_rain": {"reading_not_negative": c("milimetros") >= 0},
+            "fact_level": {"level_not_negative": c("nivel") >= 0, "days_positive": c("dias_corridos") >= 1},
+            "fact_evap": {"density_20_30": c("densidade_be").between(20, 30)}}.get(table, {})
 
 
 def default_base(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + "/strata-layers"
 
 
-def run_layers(spark: SparkSession, sf_dir: str, base: str | None = None,
-               gate: bool = True) -> dict[str, str]:
-    """Write every layer; returns {layer.table: path}."""
+def typed(bronze: DataFrame, like: DataFrame) -> DataFrame:
+    """The text columns of a bronze table with the types of the source (a malformed text raises)."""
+    return bronze.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema])
+
+
+def silver_gate(silver: dict[str, DataFrame]) -> list[DataFrame]:
+    """Checks before silver is published: keys, parsed dates, signs."""
+    keys = {"levels": ["cristalizador", "data_medicao"], "rain": ["estacao", "data_registro"],
+            "basins": ["bacia", "data_registro"], "submissions": ["cristalizador", "data_registro"]}
+    dates = {"levels": "data_medicao", "rain": "data_registro", "basins": "data_registro", "submissions": "data_registro"}
+    out = [quality.check_unique(silver[t], k, f"unique_{t}") for t, k in keys.items()]
+    out += [quality.check_rules(silver[t], {f"date_parsed_{t}": F.col(d).isNotNull()}) for t, d in dates.items()]
+    return out + [quality.check_rules(silver["rain"], {"range_rain": quality.range_rule("milimetros", 0, 10_000_000)}),
+                  quality.check_rules(silver["levels"], {"range_level": quality.range_rule("nivel", 0, 10_000_000)})]
+
+
+def run_layers(spark: SparkSession, sf_dir: str, base: str | None = None, gate: bool = True,
+               view_prefix: str = "vw_") -> dict[str, str]:
+    """Writes every layer and registers the views; returns {layer.table: path or view name}."""
+    from strata.plans.registry import CHECKS, QUERY_OF, _check_frame
+
     base = base or default_base(spark)
-    m = Model(spark, sf_dir)
     written: dict[str, str] = {}
+    source = guards.open_sources(list(STAGED), lambda t: read_table(spark, sf_dir, t))
+    for t, df in source.items():
+        guards.assert_not_empty(df, t)
 
-    # staging: all-text copies with lineage (A1, A2), guarded
-    for t in STAGED:
-        src = m.table(t)
-        guards.assert_not_empty(src, t)
-        staged = stamp(as_text(src), "driver", f"{t}.parquet")
-        written[f"staging.{t}"] = write_layer(staged, base, "staging", t)
-    landed = None
-    for t in STAGED:
-        one = read_layer(spark, base, "staging", t).select("arquivo_origem")
-        landed = one if landed is None else landed.unionByName(one)
-    guards.assert_sources(landed, [f"{t}.parquet" for t in STAGED])
-
-    # bronze: staging + load metadata (A3), reconciled
+    # staging: all-text copies with lineage (A1, A2); bronze: staging + load metadata (A3)
     pairs = {}
-    for t in STAGED:
-        stg = read_layer(spark, base, "staging", t)
-        written[f"bronze.{t}"] = write_layer(stamp_bronze(stg, t), base, "bronze", t)
-        pairs[t] = (stg, read_layer(spark, base, "bronze", t))
+    for t, df in source.items():
+        written[f"staging.{t}"] = write_layer(as_text(df).withColumns({
+            "data_ingestao": F.current_timestamp(), "origem": F.lit("driver"), "arquivo_origem": F.lit(f"{t}.parquet")}),
+            base, "staging", t)
+        staged = read_layer(spark, base, "staging", t)
+        written[f"bronze.{t}"] = write_layer(stamp_bronze(staged, t), base, "bronze", t)
+        pairs[t] = (df, read_layer(spark, base, "bronze", t))
     guards.assert_reconciled(guards.reconcile(pairs))
 
-    # silver: typed, deduplicated series (B, Q4) read back from their own layer
-    silver = {"levels": m.silver_levels, "rain": m.silver_rain, "basins": m.silver_basins}
+    # silver: parsed from the bronze text, corrected, one row per key (B, Q4)
+    bronze = {t: typed(b.drop(*LINEAGE), source[t]) for t, (_, b) in pairs.items()}
+    m = Model(spark, sf_dir, tables=bronze)
+    silver = {t: getattr(m, name) for t, name in SILVER.items()}
+    if gate:
+        quality.run_checks(silver_gate(silver), "silver gate")
     for t, df in silver.items():
         written[f"silver.{t}"] = write_layer(stamp_layer(df, "silver"), base, "silver", t)
-    # gold reads the written silver layer (lineage cut), not the raw tables again
-    m = Model(spark, sf_dir, silver={t: read_layer(spark, base, "silver", t).drop("data_carga_silver")
-                                     for t in silver})
+    back = {t: read_layer(spark, base, "silver", t).drop("data_carga_silver") for t in SILVER}
 
-    # gold: gates first (Q17), then publish every table
+    # gold: every check first (Q17), then each table through its write-time rules
+    m = Model(spark, sf_dir, silver=back, tables=bronze)
     if gate:
-        from strata.plans.registry import CHECKS, _check_frame
-        quality.run_checks([_check_frame(m, *c) for c in CHECKS if _gate_blocking(c)], "gold gate")
+        quality.run_checks([_check_frame(m, *c) for c in CHECKS if c[0] not in REPORT_ONLY], "gold gate")
     for t in GOLD:
-        df: DataFrame = getattr(m, t)
+        df, rules = getattr(m, t), write_rules(t)
+        df = quality.enforce(df, rules) if rules else df
         written[f"gold.{t}"] = write_layer(stamp_layer(df, "gold"), base, "gold", t)
+    for v in VIEWS:
+        publish_view(QUERY_OF[v](m), view_prefix + v)
+        written[f"view.{v}"] = view_prefix + v
     return written
-
-
-def _gate_blocking(check) -> bool:
-    """Structural checks block publication; value-range checks are reported by the
-    ``quality_checks`` query (the driver's data is not the salt-works data)."""
-    return check[1] in ("unique", "fk", "conformed", "null_not_zero", "presence")

@@ -21,11 +21,13 @@ from strata.sources.tables import read_table
 
 
 class Model:
-    def __init__(self, spark: SparkSession, sf_dir: str, silver: dict[str, DataFrame] | None = None):
-        """``silver`` optionally supplies already written silver tables
+    def __init__(self, spark: SparkSession, sf_dir: str, silver: dict[str, DataFrame] | None = None,
+                 tables: dict[str, DataFrame] | None = None):
+        """``tables`` optionally supplies source tables (else they are read from ``sf_dir``).
+        ``silver`` optionally supplies already written silver tables
         (keys ``levels``, ``rain``, ``basins``); gold is then built from them."""
         self.spark, self.sf_dir = spark, sf_dir
-        self._tables: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = dict(tables or {})
         self._silver = silver or {}
 
     def table(self, name: str) -> DataFrame:
@@ -117,6 +119,11 @@ class Model:
             "salmoura_densidade")
 
     # ------------------------------------------------------------ dimensions
+    @cached_property
+    def customers(self) -> DataFrame:
+        """D3: customers by terciles of their balance."""
+        return dims.dim_entity_terciles(self.table("customer"), "c_custkey", "c_acctbal")
+
     @cached_property
     def calendar(self) -> DataFrame:
         """D1 over whole years covering the level and driver series."""

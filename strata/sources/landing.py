@@ -21,16 +21,26 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 
 def land_text(spark: SparkSession, path: str, columns: list[str], sep: str = ",",
-              header: bool = True) -> DataFrame:
-    """A1: read delimited text with an explicit all-string schema.
+              header: bool = True, multi_line: bool = False) -> DataFrame:
+    """A1: read delimited text, all columns as text.
 
-    Empty cells become NULL; a literal '-' stays text. The file is splittable, so the
-    scan is distributed (no single-process decode).
+    With a header, columns are found by their names in it, whatever their order; a missing one
+    raises. A record with more or fewer cells than the header raises when it is read. Empty
+    cells become NULL; a literal '-' stays text. ``multi_line`` allows line breaks inside quotes
+    (such a file is one split).
     """
-    return (spark.read.schema(text_schema(columns))
-            .option("header", header).option("sep", sep)
-            .option("mode", "PERMISSIVE").option("nullValue", None)
-            .csv(path))
+    reader = (spark.read.option("sep", sep).option("mode", "FAILFAST").option("multiLine", multi_line)
+              .option("escape", '"'))
+    if header:
+        names = reader.option("header", True).csv(path).columns          # reads the first line only
+        reader = reader.option("header", True).option("enforceSchema", False)
+    else:
+        names = columns
+    absent = [c for c in columns if c not in names]
+    if absent:
+        raise ValueError(f"{path}: columns {absent} are not among {names}")
+    whole = reader.schema(text_schema(names)).csv(path)
+    return whole.select(*columns)
 
 
 def as_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -31,6 +31,18 @@ def test_land_text_keeps_hyphen_and_nulls_empty(spark):
     assert "data_carga_silver" in landing.stamp_layer(bronze, "silver").columns
 
 
+def test_land_text_goes_by_the_header_and_is_strict(spark):
+    swapped = landing.land_text(spark, _csv("B,A\nb1,a1\n"), ["A", "B"])
+    assert [tuple(r) for r in swapped.collect()] == [("a1", "b1")]
+    quoted = landing.land_text(spark, _csv('A,B\n"x\ny",2\nz,3\n'), ["A", "B"], multi_line=True)
+    assert [tuple(r) for r in quoted.collect()] == [("x\ny", "2"), ("z", "3")]
+    for bad in ("A,B\n1,2,3\n", "A,B\n1\n"):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            landing.land_text(spark, _csv(bad), ["A", "B"]).collect()
+    with pytest.raises(ValueError, match="C"):
+        landing.land_text(spark, _csv("A,B\n1,2\n"), ["A", "C"])
+
+
 def test_guards(spark):
     landed = spark.createDataFrame([("a.csv",), ("b.csv",)], "arquivo_origem string")
     guards.assert_sources(landed, ["a.csv", "b.csv"])
