@@ -188,7 +188,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", car
 
 def op1_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
-    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
