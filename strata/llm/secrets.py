@@ -221,7 +221,7 @@ class Automaton:
         memo: dict[tuple, tuple] = {}
 
         def advance(k, threads, b):
-            """Threads of rule k after byte b, and whether one of them has matched."""
+            """Threads of rule k after byte b."""
             if (k, threads, b) in memo:
                 return memo[k, threads, b]
             g, start = graphs[k]
@@ -235,16 +235,13 @@ class Automaton:
                                 out.append(x)
                 return tuple(out)
 
-            matched = g.last in threads
-            new = go(threads)
-            if not matched:                        # no match yet: a younger thread starts here
-                new = new + tuple(x for x in go(start) if x not in new)
-            elif not new:                          # the match ended before this byte: start afresh
-                new = go(start)
-            if g.last in new:
-                # the match belongs to the oldest thread; those that need more bytes stay with it
-                own = _family(g, threads, start, b, matched)
-                new = own if own else new
+            # after a match no younger thread starts, until the match has ended and the rule starts afresh
+            running = g.last in threads and go(threads)
+            new: tuple[int, ...] = ()
+            for group in [(n,) for n in threads] + ([] if running else [start]):
+                new += tuple(x for x in go(group) if x not in new)
+                if g.last in new:                  # a match belongs to the oldest thread: the younger go
+                    break
             memo[k, threads, b] = new
             return new
 
@@ -325,20 +322,6 @@ class Automaton:
         return found
 
 
-def _family(g, threads, start, b, matched) -> tuple[int, ...]:
-    """What is left of the threads after byte b when one of them matches: the oldest thread that
-    matches and all older ones."""
-    out: list[int] = []
-    sources = list(threads) if any(g.moves[n] and b in g.moves[n][0] for n in threads) or not matched else []
-    for group in ([[n] for n in sources] + ([list(start)] if not matched or not sources else [])):
-        for n in group:
-            if g.moves[n] and b in g.moves[n][0]:
-                out += [x for x in g.closure([g.moves[n][1]]) if x not in out]
-        if g.last in out:
-            return tuple(out)
-    return tuple(out)
-
-
 def _minimised(table: np.ndarray, accept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Moore's refinement: states stay together while all their moves lead to the same blocks."""
     block = np.unique(accept, return_inverse=True)[1]
