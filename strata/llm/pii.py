@@ -49,9 +49,9 @@ SUPPORT = 3                     # documents in which term and entity meet
 GENERALISE, REMOVE = 0.75, 0.9
 
 
-def _fold(parts: Column, values: Column, base: Column) -> Column:
-    """Spans (s, e, v) of ``values`` that stand between the ``parts``, counted from ``base``."""
-    zero = F.struct(base.cast("int").alias("pos"),
+def _fold(parts: Column, values: Column) -> Column:
+    """Spans (s, e, v) of ``values`` that stand between the ``parts``."""
+    zero = F.struct(F.lit(0).alias("pos"),
                     F.expr("cast(array() as array<struct<s:int,e:int,v:string>>)").alias("out"))
 
     def step(acc, x):
@@ -68,11 +68,10 @@ def _spans_type() -> Column:
     return F.expr("cast(array() as array<struct<s:int,e:int,v:string>>)")
 
 
-def matches(text: Column, pattern: str, base: Column | None = None) -> Column:
+def matches(text: Column, pattern: Column) -> Column:
     """Leftmost non-overlapping matches as an array of (s, e, v): code points, end exclusive."""
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return F.when(F.size(values) > 0, _fold(F.split(text, pattern, -1), values,
-                                            F.lit(0) if base is None else base)).otherwise(_spans_type())
+    values = F.regexp_extract_all(text, pattern, F.lit(0))
+    return F.when(F.size(values) > 0, _fold(F.split(text, pattern, -1), values)).otherwise(_spans_type())
 
 
 def _digits(v: Column) -> Column:
@@ -109,7 +108,7 @@ def with_base_spans(df: DataFrame, text: str) -> DataFrame:
         found = F.regexp_extract_all(t, F.lit(PATTERNS[k]), F.lit(0))
         df = df.withColumn(f"_v_{k}", F.when(guard[k], found).otherwise(none) if k in guard else found)
     def valid_spans(i, k):
-        spans = F.when(F.size(f"_v_{k}") > 0, _fold(F.split(t, PATTERNS[k], -1), F.col(f"_v_{k}"), F.lit(0))
+        spans = F.when(F.size(f"_v_{k}") > 0, _fold(F.split(t, PATTERNS[k], -1), F.col(f"_v_{k}"))
                        ).otherwise(_spans_type())
         return F.transform(F.filter(spans, lambda x: _valid(k, x["v"])), lambda x: F.struct(
             x["s"].alias("s"), F.lit(i).alias("k"), x["e"].alias("e"), x["v"].alias("v")))
@@ -204,8 +203,10 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", carry=("doc_id",
     per = (entities(marked).join(flags, "entity").groupBy("_id", "term").agg(F.min("level").alias("level"))
            .groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "level"))).alias("levels")))
     some = some.join(per, "_id", "left")
-    terms = F.filter(matches(F.col("t"), TERM), lambda x: F.map_contains_key("levels", F.lower(x["v"])))
-    free = F.filter(terms, lambda x: ~F.exists("_spans", lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"])))
+    # terms are letters and digits, so they need no quoting in a pattern
+    own = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.map_keys("levels"), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    free = F.filter(matches(F.col("t"), own), lambda x: F.map_contains_key("levels", F.lower(x["v"])) & ~F.exists(
+        "_spans", lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"])))
     more = F.transform(free, lambda x: F.struct(x["s"].alias("s"), F.element_at("levels", F.lower(x["v"])).alias("k"),
                                                 x["e"].alias("e"), x["v"].alias("v")))
     full = some.withColumn("spans", F.when(F.col("levels").isNull(), F.col("_spans")).otherwise(
