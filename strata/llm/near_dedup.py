@@ -4,12 +4,14 @@
    holds ``floor(1 - log_b(x_i))`` of the smallest exponential value x_i over the set,
    truncated to 0..Q+1. Registers of a union are the maxima, so sketches merge.
 2. Rows with equal sets form a class; only one representative per class goes on.
-3. Registers are banded. Each bucket links its members to two leaders (a star, no pairs), the
+3. Registers are banded. Each bucket links its members to its smallest id (a star, no pairs), the
    pairs are filtered by a joint maximum-likelihood estimate of the similarity from the
    register comparison and the exact set sizes, and confirmed on the full shingle sets.
-4. Connected components follow from the confirmed links. Where a bucket still holds several
-   components, every row outside the bucket's largest component meets every row of another
-   component, in blocks, on the sketches; survivors are confirmed on the full sets.
+4. Connected components follow from the confirmed links. In buckets of several components, the
+   rows outside the largest one try one member of it; where components remain apart,
+   every such row meets every row of the other components, in blocks, on the sketches;
+   survivors are confirmed on the full sets: singly, or in blocks against a whole component
+   or a whole cell where they would be many.
 
 Buckets have no cap. A link of similarity >= 0.75 is missed only if all 32 bands of four
 registers differ (below 5e-6 at 0.75) or the estimate is off by over six standard deviations.
@@ -41,6 +43,8 @@ BANDS = M // BAND
 BASE, RATE, Q = 1.001, 20.0, (1 << 16) - 2
 SIGMAS = 6
 BLOCK = 512                  # rows of a bucket block compared at once
+SET_BLOCK = 128              # full sets of a block
+FEW = 2                      # likely pairs of a row with one component that are confirmed singly
 #: Lowest estimate that can belong to a linked pair: six standard deviations below 0.75.
 LEAST = 0.75 - SIGMAS * math.sqrt(0.75 * 0.25 / M)
 
@@ -223,19 +227,40 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return labels
 
 
+def labelled(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """(bucket, id, comp) of the bucket rows; a row without links is its own component."""
+    return rows.join(comp, "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp"))
+
+
+def mixed(members: DataFrame) -> DataFrame:
+    """Buckets of several components: rows ``n``, largest component ``main`` and its rows ``n_main``."""
+    per = members.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    return (per.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("k"),
+                                      F.max(F.struct("n", "comp")).alias("top")).where("k > 1")
+            .select("bucket", "n", F.col("top.comp").alias("main"), F.col("top.n").alias("n_main")))
+
+
+def second_star(members: DataFrame) -> DataFrame:
+    """Pairs of each row outside its bucket's largest component with one member of that, drawn by hash."""
+    rows = members.join(mixed(members).select("bucket", "main"), "bucket")
+    lead = (rows.where("comp = main").groupBy("bucket")
+            .agg(F.min_by("id", F.xxhash64("bucket", "id")).alias("l")))
+    return (rows.where("comp <> main").join(lead, "bucket")
+            .select(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b")).distinct())
+
+
 def cross_blocks(members: DataFrame, reps: DataFrame) -> DataFrame:
-    """Likely pairs (a, b) of different components in one bucket, over all rows of the bucket.
+    """What is likely to be linked across components in one bucket, over all rows of the bucket, as
+    CELL_ROWS: pairs (a, b); (a, comp) where a row is like more than FEW members of a component;
+    the rows of a cell, with its key, where its likely pairs outnumber them.
 
     ``members``: (bucket, id, comp). Rows outside the bucket's largest component (guests) meet
     every row of the bucket (home) in cells of a block of homes and a block of guests, at most
-    about BLOCK rows each, so no task gathers a bucket and only likely pairs leave a cell.
+    about BLOCK rows each, so no task gathers a bucket, and what leaves a cell is
+    in proportion to its rows.
     """
-    per = members.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-    size = (per.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("k"),
-                                      F.max(F.struct("n", "comp")).alias("top")).where("k > 1")
-            .select("bucket", F.col("top.comp").alias("main"),
-                    F.ceil(F.col("n") / BLOCK).cast("int").alias("hs"),
-                    F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("gs")))
+    size = mixed(members).select("bucket", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("hs"),
+                                 F.ceil((F.col("n") - F.col("n_main")) / BLOCK).cast("int").alias("gs"))
     rows = members.join(size, "bucket").withColumn("guest", F.col("comp") != F.col("main"))
     h = F.xxhash64("id")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -255,6 +280,7 @@ def cross_blocks(members: DataFrame, reps: DataFrame) -> DataFrame:
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), "<u2").reshape(-1, M)
         edge = np.flatnonzero((np.diff(col["bucket"]) != 0) | (np.diff(col["hb"]) != 0)
                               | (np.diff(col["gb"]) != 0)) + 1
+        cell_of = np.searchsorted(edge, np.arange(len(visits)), side="right")
         found = []
         for a, b in zip([0, *edge.tolist()], [*edge.tolist(), len(visits)]):
             m = a + int(np.count_nonzero(~visits[a:b]))
@@ -275,24 +301,122 @@ def cross_blocks(members: DataFrame, reps: DataFrame) -> DataFrame:
             x, y = sig[i], sig[j]
             ok = estimate((x > y).sum(axis=1), (x < y).sum(axis=1),
                           col["n_shingles"][i], col["n_shingles"][j]) >= LEAST
-            a, b = col["id"][i[ok]], col["id"][j[ok]]
-            yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
+            i, j = i[ok], j[ok]
+            if not len(i):
+                continue
+            to = np.column_stack((col["id"][j], col["comp"][i]))
+            whole, at, n = np.unique(to, axis=0, return_inverse=True, return_counts=True)
+            few, whole = n[at.ravel()] <= FEW, whole[n > FEW]
+            yield cell_rows(a=whole[:, 0], comp=whole[:, 1])
+            i, j = i[few], j[few]
+            # a cell of many small components: its rows go on, not its pairs
+            for cell in np.unique(cell_of[j]):
+                x, y = i[cell_of[j] == cell], j[cell_of[j] == cell]
+                rows = np.concatenate((np.unique(x), np.unique(y)))
+                if len(x) <= len(rows):
+                    a, b = col["id"][x], col["id"][y]
+                    yield cell_rows(a=np.minimum(a, b), b=np.maximum(a, b))
+                else:
+                    yield cell_rows(a=col["id"][rows], comp=col["comp"][rows], bucket=col["bucket"][rows],
+                                    hb=col["hb"][rows], gb=col["gb"][rows], visits=visits[rows])
+
+    run = whole_cells(("bucket", "hb", "gb"), likely_pairs)
+    return cells.mapInArrow(run, CELL_ROWS).distinct()
+
+
+CELL_ROWS = "a long, b long, comp long, bucket long, hb int, gb int, visits boolean"
+
+
+def cell_rows(**cols) -> pa.RecordBatch:
+    """Rows of CELL_ROWS with nulls in the columns that are not given."""
+    kinds = dict(a=pa.int64(), b=pa.int64(), comp=pa.int64(), bucket=pa.int64(), hb=pa.int32(), gb=pa.int32(),
+                 visits=pa.bool_())
+    n = len(cols["a"])
+    return pa.record_batch([pa.array(np.ascontiguousarray(cols[c]), k) if c in cols else pa.nulls(n, k)
+                            for c, k in kinds.items()], list(kinds))
+
+
+def whole_cells(keys: tuple[str, ...], process):
+    """A batch function that gives ``process`` tables of whole cells from rows sorted by ``keys``."""
     def run(batches):
         rest = None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             t = pa.Table.from_batches([batch])
             t = (t if rest is None else pa.concat_tables([rest, t])).combine_chunks()
-            key = [t.column(c).to_numpy() for c in ("bucket", "hb", "gb")]
-            last = np.flatnonzero((key[0] != key[0][-1]) | (key[1] != key[1][-1]) | (key[2] != key[2][-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
+            last = np.zeros(t.num_rows, bool)
+            for c in keys:
+                v = t.column(c).to_numpy()
+                last |= v != v[-1]
+            cut = np.flatnonzero(last)
+            cut = int(cut[-1]) + 1 if len(cut) else 0
             if cut:
-                yield from likely_pairs(t.slice(0, cut).combine_chunks())
+                yield from process(t.slice(0, cut).combine_chunks())
             rest = t.slice(cut)
         if rest is not None and rest.num_rows:
-            yield from likely_pairs(rest.combine_chunks())
+            yield from process(rest.combine_chunks())
 
-    return cells.mapInArrow(run, "a long, b long").distinct()
+    return run
+
+
+def linked_to_component(tasks: DataFrame, comp: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) of each task (a, comp): a row against all members of a component, on full sets.
+
+    One link to a component is enough, as its members hang together already. Members and
+    rows meet in cells of at most about SET_BLOCK each; a cell holds their sets and returns
+    links only, so neither rows nor time grow with pairs that are alike but not linked.
+    """
+    size = (comp.join(tasks.select("comp").distinct(), "comp").groupBy("comp").agg(F.count("*").alias("n"))
+            .join(tasks.groupBy("comp").agg(F.count("*").alias("m")), "comp")
+            .select("comp", F.ceil(F.col("n") / SET_BLOCK).cast("int").alias("hs"),
+                    F.ceil(F.col("m") / SET_BLOCK).cast("int").alias("gs")))
+    h = F.xxhash64("id")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    home = (comp.join(size, "comp").select("comp", "id", F.pmod(h, "hs").cast("int").alias("hb"), "gs")
+            .select("comp", "id", "hb", every("gs").alias("gb"), F.lit(False).alias("visits")))
+    guests = (tasks.select("comp", F.col("a").alias("id")).join(size, "comp")
+              .select("comp", "id", F.pmod(h, "gs").cast("int").alias("gb"), "hs")
+              .select("comp", "id", every("hs").alias("hb"), "gb", F.lit(True).alias("visits")))
+    cells = home.unionByName(guests).withColumn("own", F.when(F.col("visits"), -1).otherwise(F.col("comp")))
+    return linked_in_cells(cells, ("comp", "hb", "gb"), sets)
+
+
+def linked_in_cells(cells: DataFrame, keys: tuple[str, ...], sets: DataFrame) -> DataFrame:
+    """Links (a, b) between the rows at home in a cell and its guests, on full sets: for each guest
+    one per component (``own``) other than its own. Only links leave a cell."""
+    whole = cells.join(sets, "id").repartition(*keys).sortWithinPartitions(*keys, "visits", "id")
+
+    def links(t):
+        ids, own = t.column("id").to_numpy(), t.column("own").to_numpy()
+        visits = t.column("visits").to_numpy(zero_copy_only=False)
+        at = np.column_stack([t.column(c).to_numpy() for c in keys])
+        edge = (np.flatnonzero((np.diff(at, axis=0) != 0).any(axis=1)) + 1).tolist()
+        raw = t.column("shingles").combine_chunks()
+        out = []
+        for s, e in zip([0, *edge], [*edge, len(ids)]):
+            m = s + int(np.count_nonzero(~visits[s:e]))
+            if m == s or m == e:
+                continue
+            held = [np.frombuffer(raw[i].as_buffer(), np.uint64) for i in range(s, m)]
+            sizes = np.array([len(x) for x in held])
+            values = np.concatenate(held)
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], np.repeat(np.arange(m - s), sizes)[order]
+            for g in range(m, e):
+                x = np.frombuffer(raw[g].as_buffer(), np.uint64)
+                lo, hi = np.searchsorted(values, x, "left"), np.searchsorted(values, x, "right")
+                n = hi - lo
+                place = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+                both = np.bincount(owner[place], minlength=m - s)
+                hit = np.flatnonzero((THRESHOLD_DEN * both >= THRESHOLD_NUM * (sizes + len(x) - both))
+                                     & (own[s:m] != own[g]))
+                for k in hit[np.unique(own[s:m][hit], return_index=True)[1]]:
+                    out.append((int(min(ids[g], ids[s + k])), int(max(ids[g], ids[s + k]))))
+        yield pa.record_batch([pa.array([x[0] for x in out], pa.int64()),
+                               pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
+
+    return whole.mapInArrow(whole_cells(keys, links), "a long, b long").distinct()
 
 
 # ---------------------------------------------------------------- the operator
@@ -311,22 +435,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = scratch.table(classes, "reps")
     rows = scratch.table(buckets(reps), "buckets")
 
-    # star links to two leaders of each bucket: the smallest id, and the smallest hash
-    lead = rows.groupBy("bucket").agg(F.min("id").alias("l1"), F.min_by("id", F.xxhash64("bucket", "id")).alias("l2"))
-    star = (rows.join(lead, "bucket")
-            .select("id", F.explode(F.array_distinct(F.array("l1", "l2"))).alias("l")).where("id <> l")
-            .select(F.least("id", "l").alias("a"), F.greatest("id", "l").alias("b")).distinct())
+    # star links of every bucket to its smallest id
+    lead = rows.groupBy("bucket").agg(F.min("id").alias("a"))
+    star = rows.join(lead, "bucket").where("id <> a").select("a", F.col("id").alias("b")).distinct()
     pairs = scratch.table(likely(star, reps), "pairs")
     sets = shingle_sets(docs, rows, scratch, id_col, text_col)
     links = scratch.table(confirmed(pairs, sets), "links")
     comp = components(links, scratch, "first")
 
-    members = rows.join(comp, "id", "left").select(
-        "bucket", "id", F.coalesce("comp", "id").alias("comp"))
-    seen = pairs.select("a", "b")
-    more = scratch.table(cross_blocks(scratch.table(members, "members"), reps)
-                         .join(seen, ["a", "b"], "left_anti"), "more")
-    extra = scratch.table(confirmed(more, sets), "extra")
+    # those still outside the largest component of a bucket: to one member of that component
+    members = scratch.table(labelled(rows, comp), "members")
+    near = scratch.table(likely(second_star(members), reps).join(pairs, ["a", "b"], "left_anti"), "near")
+    more = scratch.table(confirmed(near, sets), "more")
+    if not more.isEmpty():
+        links, pairs = links.union(more), pairs.union(near)
+        comp = components(links, scratch, "second")
+        members = scratch.table(labelled(rows, comp), "members-2")
+
+    # what is left of them: to every row of the bucket, block by block
+    rest = scratch.table(cross_blocks(members, reps), "rest")
+    single = rest.where("b is not null").select("a", "b").join(pairs, ["a", "b"], "left_anti")
+    tasks = rest.where("b is null and bucket is null").select("a", "comp")
+    dense = rest.where("bucket is not null").select("bucket", "hb", "gb", "visits", F.col("a").alias("id"),
+                                                    F.col("comp").alias("own"))
+    extra = scratch.table(confirmed(single, sets).union(linked_to_component(tasks, comp, sets))
+                          .union(linked_in_cells(dense, ("bucket", "hb", "gb"), sets)).distinct(), "extra")
     if not extra.isEmpty():
         comp = components(links.union(extra), scratch, "last")
 
@@ -352,6 +485,14 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays (the one with the smallest id)."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """One document of each group of near-duplicates stays (the one with the smallest id); of
+    repeated rows one stays as well. Rows without an id cannot be told apart: all stay if one does."""
+    scratch = Scratch(spark, "near-dedup-stage")
+    kept = scratch.table(near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")), "kept")
+    counted = kept.groupBy("_kept").agg(F.count("*").alias("_rows"))
+    repeated = counted.where("_rows > 1").select("_kept")
+    same = docs["doc_id"].eqNullSafe(counted["_kept"])
+    if repeated.isEmpty():
+        return docs.join(counted.select("_kept"), same, "left_semi")
+    once = docs.join(counted.where("_rows = 1").select("_kept"), same, "left_semi")
+    return once.unionAll(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))

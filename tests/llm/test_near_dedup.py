@@ -62,7 +62,10 @@ def test_edges(spark, edge_rows, no_rows):
     assert [(r.component_id, r.kept) for r in got if r.doc_id is None and r.n_shingles] == [(4, False)]
     assert all(r.component_id == r.doc_id and r.kept for r in got if r.n_shingles == 0)
     assert near_duplicates(no_rows).collect() == []
-    assert stage(spark, edge_rows, None).columns == edge_rows.columns
+    staged = stage(spark, edge_rows, None)
+    assert staged.columns == edge_rows.columns
+    # one row of the repeated (4, "one two"); rows without an id stay
+    assert sorted((r.doc_id or 0) for r in staged.collect()) == [0, 0, 1, 2, 3, 4, 7, 8, 9]
 
 
 def test_sketches_merge_and_estimate():
