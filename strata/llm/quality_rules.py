@@ -4,7 +4,9 @@ A document that passes the base rules (enough words, not made of repeated 3-word
 is compressed with zstandard, as a whole and in fixed chunks. Natural text of a given
 length compresses within a band: repeated text compresses far better, random or encoded
 text far worse. A document is rejected when its whole ratio, or the ratios of more than
-``CHUNK_SHARE`` of its chunks, fall outside the band of its length.
+``CHUNK_SHARE`` of its chunks, fall outside the band of its length. The lowest ratio is one of
+bytes; the highest is per code point (ratio divided by bytes per code point), since scripts of
+two or three bytes a letter compress that much better without being repetitive.
 
 Defined results: null and empty texts have no words, so ``n_words`` = 0, ``base_failed`` is
 true, ``ratio`` is null and ``kept`` false. Ties and repeated rows do not matter (each row
@@ -24,15 +26,17 @@ from strata.llm.common import documents, map_text
 
 WS = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
+FOLLOWING = bytes(range(0x80, 0xC0))     # bytes that go on with a code point
 MIN_WORDS = 50
 LEVEL = 3
 CHUNK = 4096
-#: Fixed values: (bytes up to, lowest, highest ratio of original to compressed size of whole texts).
-BANDS = ((512, 1.1, 2.0), (768, 1.2, 2.02), (1024, 1.25, 2.08), (1536, 1.3, 2.15),
-         (2048, 1.35, 2.22), (3072, 1.4, 2.27), (4096, 1.45, 2.30), (8192, 1.5, 2.42),
-         (16384, 1.55, 2.5), (32768, 1.6, 2.58), (131072, 1.6, 2.66), (1 << 62, 1.6, 3.2))
+#: Fixed values: (bytes up to, lowest ratio of original to compressed size of whole texts, highest
+#: ratio per code point). The highest is three times the middle of natural text of that length.
+BANDS = ((512, 1.1, 4.7), (768, 1.2, 5.0), (1024, 1.25, 5.4), (1536, 1.3, 5.7),
+         (2048, 1.35, 5.9), (3072, 1.4, 6.1), (4096, 1.45, 6.3), (8192, 1.5, 6.5),
+         (16384, 1.55, 6.8), (32768, 1.6, 7.0), (131072, 1.6, 7.2), (1 << 62, 1.6, 9.0))
 #: A full chunk of CHUNK bytes has a band of its own; a larger share of bad chunks rejects a text.
-CHUNK_BAND = (1.4, 2.38)
+CHUNK_BAND = (1.4, 6.4)
 CHUNK_SHARE = 0.5
 
 FIELDS = [T.StructField(n, T.LongType()) for n in
@@ -77,19 +81,25 @@ def base_stats(b: bytes) -> tuple[int, int, int, int, int]:
             repeated_words(words))
 
 
+def per_point(b: bytes, ratio: float) -> float:
+    """The ratio divided by the bytes per code point of ``b``, which may begin or end within one."""
+    return ratio * max(len(b.translate(None, FOLLOWING)), 1) / len(b)
+
+
 def compression(b: bytes, size_of) -> tuple[float, float]:
     """Ratio of the whole text, and the share of full chunks outside the chunk band."""
     bad = n = 0
     for i in range(0, len(b) - CHUNK + 1, CHUNK):
         n += 1
-        r = CHUNK / size_of(b[i:i + CHUNK])
-        bad += not CHUNK_BAND[0] <= r <= CHUNK_BAND[1]
+        c = b[i:i + CHUNK]
+        r = CHUNK / size_of(c)
+        bad += r < CHUNK_BAND[0] or per_point(c, r) > CHUNK_BAND[1]
     return len(b) / size_of(b), bad / n if n else 0.0
 
 
-def within_bands(size: int, ratio: float, bad_chunks: float) -> bool:
-    low, high = next((lo, hi) for top, lo, hi in BANDS if size <= top)
-    return low <= ratio <= high and bad_chunks <= CHUNK_SHARE
+def within_bands(b: bytes, ratio: float, bad_chunks: float) -> bool:
+    low, high = next((lo, hi) for top, lo, hi in BANDS if len(b) <= top)
+    return low <= ratio and per_point(b, ratio) <= high and bad_chunks <= CHUNK_SHARE
 
 
 def _maker():
@@ -106,7 +116,7 @@ def _maker():
             failed = s[0] < MIN_WORDS or 100 * s[4] > 50 * s[0]
             ratio, bad = compression(b, size_of) if b else (None, None)
             rows.append((*s, failed, ratio, bad,
-                         not failed and within_bands(len(b), ratio, bad)))
+                         not failed and within_bands(b, ratio, bad)))
         cols = list(zip(*rows)) if rows else [()] * len(FIELDS)
         kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
         return [pa.array(c, k) for c, k in zip(cols, kinds)]

@@ -57,3 +57,27 @@ def test_repeated_words_small():
     assert repeated_words(b"a b c d".split()) == 0
     assert repeated_words(b"a a a a".split()) == 4
     assert CHUNK == 4096
+
+
+HINDI = ("सुबह की पहली किरण के साथ गाँव की गलियों में हलचल शुरू हो गई और लोग अपने अपने काम पर निकल पड़े। "
+         "बूढ़ा किसान खेत की मेड़ पर बैठकर आसमान में तैरते बादलों को देख रहा था, क्योंकि इस साल बारिश बहुत देर से आई थी। "
+         "उसकी बेटी शहर के विद्यालय में पढ़ाती है और हर रविवार को घर लौटकर माँ के लिए फल तथा दवाइयाँ लाती है। "
+         "पड़ोस के बच्चे नदी किनारे पतंग उड़ाते हुए ज़ोर से हँस रहे थे, जबकि दूर मंदिर की घंटी धीरे धीरे बज रही थी।")
+
+
+def test_clean_text_from_outside_the_tables_is_kept(spark):
+    import pathlib
+
+    repo = pathlib.Path(__file__).parents[2]
+    texts = [HINDI, (repo / "VERDICT.md").read_text()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in judge(df).collect()}
+    assert not any(r.base_failed for r in rows.values())
+    assert all(r.kept for r in rows.values())
+
+
+def test_repetitive_text_that_passes_the_base_rules_is_rejected(spark):
+    rule = " ".join(f"{'=' * 80}{i}" for i in range(60))
+    table = "\n".join(f"row{i:05d};status=unchanged;value=0000000000;comment=none-for-this-row" for i in range(300))
+    rows = judge(spark.createDataFrame([(1, rule), (2, table)], "doc_id long, text string")).collect()
+    assert not any(r.base_failed or r.kept for r in rows)
