@@ -4,19 +4,18 @@ Everything is DataFrame functions: no Python runs on the executors.
 
 1. Base spans (email, ip, card, phone) come from regular expressions; offsets follow from the
    pieces between the matches.
-2. The corpus tells how strongly a term near an entity reveals it. With N documents, n(e) that
-   hold the entity, n(t) that hold the term anywhere and c(e, t) in which the term stands within
-   ``CONTEXT`` code points of the entity, the disclosure of t for e is the pointwise mutual
-   information as a share of the entity's information content:
+2. The corpus tells how strongly a term reveals an entity. With N documents, n(e) that hold the
+   entity, n(t) that hold the term and c(e, t) that hold both, wherever they stand, the disclosure
+   of t for e is the pointwise mutual information as a share of the entity's information content:
 
        disclosure = log(N c(e,t) / (n(e) n(t))) / log(N / n(e))
 
-   1 means that the term never occurs without the entity. Terms with c(e, t) >= ``SUPPORT`` are
-   removed from ``REMOVE`` up and generalised from ``GENERALISE`` up, wherever they occur in a
-   document that holds the entity.
+   1 means that the term never occurs without the entity. A term is a run of letters and digits of
+   any length. Terms with c(e, t) >= ``SUPPORT`` are removed from ``REMOVE`` up and generalised from
+   ``GENERALISE`` up, wherever they occur in a document that holds the entity.
 
-All counts cover all documents. Pairs (entity, term) are made only within the context of an
-entity, so their number grows with the number of entities.
+All counts cover all documents, whole. Pairs (entity, term) are made only for entities of at least
+``SUPPORT`` documents (c(e, t) <= n(e), so no other pair can count), once per document.
 
 Defined results: null and empty texts have no spans (the sanitised text stays null or empty).
 Repeated rows count as documents of their own and get equal results; rows without an id as
@@ -42,9 +41,7 @@ PATTERNS = {
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.|$)){4}$"
-TERM = r"[\p{L}\p{N}]++"
-TERM_LETTERS = 3                # shortest term
-CONTEXT = 80                    # code points on either side of an entity
+NO_TERM = r"[^\p{L}\p{N}]++"
 SUPPORT = 3                     # documents in which term and entity meet
 GENERALISE, REMOVE = 0.75, 0.9
 
@@ -141,40 +138,33 @@ def entities(marked: DataFrame) -> DataFrame:
             .distinct())
 
 
-def entity_terms(marked: DataFrame, text: str) -> DataFrame:
-    """(_id, entity, term) for the terms in the context of each base span."""
-    blank = replaced(F.col(text), F.col("_spans"),
-                     lambda x, pos: F.repeat(F.lit("\t"), x["e"] - F.greatest(x["s"], pos)))
-    one = marked.select("_id", blank.alias("m"), F.explode("_spans").alias("x"))
-    one = one.select("_id", F.concat_ws(":", F.col("x.k").cast("string"), F.lower("x.v")).alias("entity"), "m",
-                     F.greatest(F.col("x.s") - CONTEXT, F.lit(0)).alias("a"), F.col("x.s").alias("s"),
-                     F.col("x.e").alias("e"))
-    # a word cut by the edge of the context is not a term
-    left = F.when(F.col("a") > 0, F.regexp_replace(F.substring("m", F.col("a") + 1, F.col("s") - F.col("a")),
-                                                   r"^[\p{L}\p{N}]+", "")
-                  ).otherwise(F.substring("m", F.lit(1), F.col("s")))
-    right = F.substring("m", F.col("e") + 1, F.lit(CONTEXT))
-    right = F.when(F.length(right) == CONTEXT, F.regexp_replace(right, r"[\p{L}\p{N}]+$", "")).otherwise(right)
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.concat(left, F.lit("\t"), right)), F.lit(TERM), F.lit(0)))
-    return (one.select("_id", "entity", F.explode(words).alias("term"))
-            .where(F.length("term") >= TERM_LETTERS).distinct())
+def term_list(text: Column) -> Column:
+    """The distinct terms of a text."""
+    return F.filter(F.array_distinct(F.split(F.lower(text), NO_TERM)), lambda w: w != "")
 
 
 def term_counts(docs: DataFrame, text: str) -> DataFrame:
     """(h, n): number of documents that hold the term of hash h, over all documents."""
-    words = F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]++"))
-    return (docs.where(F.col(text).isNotNull()).select(F.explode(words).alias("term"))
-            .where(F.length("term") >= TERM_LETTERS)
+    return (docs.where(F.col(text).isNotNull()).select(F.explode(term_list(F.col(text))).alias("term"))
             .groupBy(F.xxhash64("term").alias("h")).agg(F.count("*").alias("n")))
 
 
+def entity_terms(marked: DataFrame, text: str) -> DataFrame:
+    """(entity, ne, term, c) of the entities and terms that meet in at least SUPPORT documents."""
+    found = entities(marked)
+    often = found.groupBy("entity").agg(F.count("*").alias("ne")).where(F.col("ne") >= SUPPORT)
+    held = (found.join(often, "entity").groupBy("_id")
+            .agg(F.collect_list(F.struct("entity", "ne")).alias("held")))       # entities of one document
+    return (marked.select("_id", text).join(held, "_id")
+            .select("held", F.explode(term_list(F.col(text))).alias("term"))
+            .select(F.explode("held").alias("x"), "term").select("x.entity", "x.ne", "term")
+            .groupBy("entity", "ne", "term").agg(F.count("*").alias("c")).where(F.col("c") >= SUPPORT))
+
+
 def disclosures(docs: DataFrame, marked: DataFrame, text: str) -> DataFrame:
     """(entity, term, level) of the terms to remove (4) or generalise (5)."""
-    near = entity_terms(marked, text)
-    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("c")).where(F.col("c") >= SUPPORT)
-    held = entities(marked).groupBy("entity").agg(F.count("*").alias("ne"))
     total = docs.agg(F.count("*").alias("total"))
-    joined = (pairs.join(held, "entity").withColumn("h", F.xxhash64("term"))
+    joined = (entity_terms(marked, text).withColumn("h", F.xxhash64("term"))
               .join(term_counts(docs, text), "h").crossJoin(F.broadcast(total)))
     info = F.log(F.col("total") / F.col("ne"))
     score = F.when(info > 0, F.log(F.col("total") * F.col("c") / (F.col("ne") * F.col("n"))) / info)

@@ -4,7 +4,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from strata.llm.pii import KINDS, find_personal_data, op9_pii, sanitised, stage
+from strata.llm.pii import (GENERALISE, KINDS, REMOVE, SUPPORT, disclosures, find_personal_data, op9_pii,
+                            sanitised, stage, with_base_spans)
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
             "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
@@ -68,6 +69,43 @@ def test_disclosing_terms_go_and_others_stay(spark):
     assert all(out[i] == t for i, t in rows if 100 <= i < 700) and out[700] == "another [IP] some words here"
 
 
+def test_terms_far_from_the_entity_and_short_ones_disclose_too(spark):
+    filler = " ".join(["some plain words stand in between here"] * 8)
+    rows = [(i, f"Dear Zorblax, {filler} x.y@z.com {filler} Qu 王芳") for i in range(4)]
+    rows += [(100 + i, f"Dear reader, {filler} or other tail {i}") for i in range(400)]
+    rows += [(700, f"Zorblax {filler} a@b.org"), (701, f"Vex {filler} c@d.org"), (702, f"Vex {filler} c@d.org")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in stage(spark, df, None).collect()}
+    # Zorblax: log(407 * 4 / (4 * 5)) / log(407 / 4) = 0.952; two documents are too few to tell (SUPPORT)
+    assert all(out[i] == f"Dear , {filler} [EMAIL] {filler}  " for i in range(4))
+    assert out[700] == f"Zorblax {filler} [EMAIL]" and out[701] == f"Vex {filler} [EMAIL]"
+    assert all(out[i] == t for i, t in rows if 100 <= i < 700)
+
+
+def test_disclosing_terms_against_brute_force(spark):
+    import math
+
+    rnd = random.Random(5)
+    names = [f"w{i}" for i in range(60)] + ["a", "é", "7"]
+    mails = [f"m{i}@h{i % 3}.org" for i in range(8)]
+    rows = [(i, " ".join(rnd.sample(names[:rnd.choice((8, 30, 63))], 6) + rnd.sample(mails, rnd.choice((0, 0, 1, 2)))
+                         + names[50:50 + i % 2 * 13])) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = [set(re.findall(r"[^\W_]+", t.lower())) for _, t in rows]
+    holds = [set(re.findall(r"\S+@\S+", t)) for _, t in rows]
+    want = set()
+    for e in mails:
+        with_e = [k for k in range(len(rows)) if e in holds[k]]
+        for t in set().union(*(terms[k] for k in with_e)):
+            c, n = sum(t in terms[k] for k in with_e), sum(t in x for x in terms)
+            score = math.log(len(rows) * c / (len(with_e) * n)) / math.log(len(rows) / len(with_e))
+            if c >= SUPPORT and score >= GENERALISE:
+                want.add((f"0:{e}", t, 4 if score >= REMOVE else 5))
+    marked = with_base_spans(df, "text").withColumn("_id", F.col("doc_id")).where(F.size("_spans") > 0)
+    got = [tuple(r) for r in disclosures(df, marked, "text").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
+
+
 def test_overlapping_spans_are_replaced_once(spark):
     df = spark.range(1).select(F.lit("ab0123456789yz").alias("t"), F.expr(
         "array(named_struct('s',2,'k',2,'e',8,'v',''), named_struct('s',4,'k',3,'e',6,'v',''), "
