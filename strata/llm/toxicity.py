@@ -90,7 +90,6 @@ def hidden_insults(text: str) -> tuple[int, int]:
 _WORD = re.compile(r"[^\W_]+")
 _CAPITALS = bytes(range(65, 91))
 _LETTERS = _CAPITALS + bytes(range(97, 123))
-_GAPS = re.compile(rb"(?:\b[A-Za-z][ .\-_]){3}[A-Za-z]\b")
 
 
 class Marks(dict):
@@ -120,11 +119,11 @@ def features(raw: bytes | None, marks: Marks) -> tuple[float, ...]:
         gap = np.minimum(np.abs(second[np.minimum(k, len(second) - 1)] - at), np.abs(second[np.maximum(k - 1, 0)] - at))
         near = int((gap <= NEAR).sum())
     hidden = mixed = 0
-    if len(b.translate(None, _SIGNS)) < len(b) or _GAPS.search(b):
+    if len(b.translate(None, _SIGNS)) < len(b) or _APART.search(text):
         hidden, mixed = hidden_insults(text)
     letters = len(b) - len(b.translate(None, _LETTERS))
     capitals = len(b) - len(b.translate(None, _CAPITALS))
-    caps = sum(1 for w in b.split() if len(w) > 2 and w.isupper()) if capitals > n else 0
+    caps = sum(1 for w in b.split() if len(w) > 2 and w.isupper()) if capitals else 0
     size = len(b)
     return (learned / n, math.log1p(learned), lexicon / n, math.log1p(lexicon), near / n, len(second) / n,
             hidden / n, math.log1p(hidden), capitals / max(letters, 1), caps / n, b.count(b"!") / size,

@@ -80,3 +80,17 @@ def test_toxic_features():
     assert f["lexicon"] == 1 / 7 and f["learned"] == 2 / 7 and f["near_second"] > 0
     assert hidden_insults("1d1ot m*ron i d i o t plain")[0] == 3
     assert features(None, marks) == features(b" \n", marks) == (0.0,) * len(toxicity.FEATURES)
+
+
+def test_features_do_not_depend_on_the_size_of_the_text():
+    marks = Marks()
+    f = lambda t: dict(zip(toxicity.FEATURES, features(t.encode(), marks)))
+    shouted = " ".join(["SHOUT"] * 30)
+    assert f(shouted)["capital_words"] == 1
+    assert f(" ".join(["lower"] * 1970) + " " + shouted)["capital_words"] == 30 / 2000
+
+
+@pytest.mark.parametrize("gap", " .-_")
+def test_insults_with_gaps_are_found(gap):
+    f = dict(zip(toxicity.FEATURES, features(f"what an {gap.join('idiot')} é said".encode(), Marks())))
+    assert f["hidden"] > 0
