@@ -7,7 +7,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from strata.plans.registry import ORACLE, QUERIES
 from strata.sources.tables import DRIVER_TABLES, table_path
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def test_entry_runs(spark):

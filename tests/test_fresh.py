@@ -8,7 +8,7 @@ from __spark_entry__ import queries
 from strata.plans.registry import QUERIES
 from strata.sources.tables import DRIVER_TABLES
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def test_changed_source_changes_the_answer(spark, tmp_path):

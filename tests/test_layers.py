@@ -14,7 +14,7 @@ from strata.plans.layers import GOLD, VIEWS, run_layers
 from strata.plans.measurement import Model
 from strata.sources.landing import read_layer
 
-from conftest import SF_SMALL
+from small_tables import SF_SMALL
 
 
 def _rows(df):
