@@ -32,3 +32,11 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
   UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a AS doc_id, MIN(b) AS component_id FROM reach GROUP BY 1) c USING (doc_id)"""
+
+
+EXACT_DEDUP = r"""
+WITH d AS (SELECT doc_id, coalesce(length(text), 0) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+  FROM documents),
+g AS (SELECT doc_id, norm, row_number() OVER w AS place, first_value(doc_id) OVER w AS keep_id, COUNT(*) OVER (PARTITION BY norm) AS group_size
+  FROM d WINDOW w AS (PARTITION BY norm ORDER BY n DESC, doc_id))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM g"""

@@ -1,13 +1,13 @@
 """Queries of the text operators: one ``opN_<name>`` each, over whole tables.
 
-Two have results that SQL can express (``ORACLE``). For the others it cannot, or not in reasonable
+Some have results that SQL can express (``ORACLE``). For the others it cannot, or not in reasonable
 time (learned models, span positions, zstandard, tokenizers, hashes that DuckDB lacks);
 ``tests/llm`` holds all of them against brute-force versions.
 """
 
 from __future__ import annotations
 
-from strata.llm import bpe, decontam, near_dedup, oracles, pii, quality_model, quality_rules, secrets, sharding, toxicity, warc
+from strata.llm import bpe, decontam, exact_dedup, near_dedup, oracles, pii, quality_model, quality_rules, secrets, sharding, toxicity, warc
 
 QUERIES = {
     "op1_decontam": decontam.op1_decontam,
@@ -20,6 +20,8 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_pii": pii.op9_pii,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_exact_dedup": exact_dedup.op11_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {"op1_decontam": oracles.DECONTAM, "op3_near_dedup": oracles.NEAR_DEDUP}
+ORACLE: dict[str, str] = {"op1_decontam": oracles.DECONTAM, "op3_near_dedup": oracles.NEAR_DEDUP,
+                          "op11_exact_dedup": oracles.EXACT_DEDUP}
