@@ -7,7 +7,7 @@ time (learned models, span positions, zstandard, tokenizers, hashes that DuckDB
 
 from __future__ import annotations
 
-from strata.llm import bpe, decontam, exact_dedup, merkle, near_dedup, oracles, pii, quality_model, quality_rules, secrets, sharding, toxicity, warc
+from strata.llm import bpe, decontam, exact_dedup, merkle, near_dedup, oracles, pii, quality_model, quality_rules, secrets, sharding, toxicity, warc, whitening
 
 QUERIES = {
     "op1_decontam": decontam.op1_decontam,
@@ -22,6 +22,7 @@ QUERIES = {
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_exact_dedup": exact_dedup.op11_exact_dedup,
     "op12_merkle": merkle.op12_merkle,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE: dict[str, str] = {"op1_decontam": oracles.DECONTAM, "op3_near_dedup": oracles.NEAR_DEDUP,
