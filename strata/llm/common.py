@@ -83,15 +83,23 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.held: dict[str, T.StructType] = {}
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"
         df.write.parquet(path)
+        self.held[name] = df.schema
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self, name: str, schema: T.StructType) -> None:
         """Frees the data of a table that is no longer read (leaves an empty one)."""
         self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{self.path}/{name}")
+        self.held.pop(name, None)
+
+    def clear(self) -> None:
+        """Frees every table of this folder."""
+        for name, schema in list(self.held.items()):
+            self.release(name, schema)
 
 
 def salt(col: Column, n: int = 32) -> Column:
@@ -110,3 +118,24 @@ def keyed_min(df: DataFrame, key: str, value: str, out: str, extend=lambda t: t)
     whole = extend(part.groupBy(key).agg(F.min("_m").alias(out)))
     back = part.select(key, "_salt").join(whole, key)
     return salted.join(back, [key, "_salt"], "left").drop("_salt")
+
+
+_BITS = 1 << 15                 # of one row of Spark's bitmap aggregates
+
+
+def bitmap(keys: DataFrame, key: Column, bits: int) -> DataFrame:
+    """(_bucket, _map): a bitmap of ``bits`` bits at most with the hashes of ``keys`` set, in rows of 4,096 bytes."""
+    slot = F.pmod(F.xxhash64(key), F.lit(bits))
+    return (keys.groupBy(F.floor(slot / _BITS).cast("int").alias("_bucket"))
+            .agg(F.bitmap_construct_agg(slot % _BITS).alias("_map")))
+
+
+def maybe_in(df: DataFrame, key: Column, made: DataFrame, bits: int) -> DataFrame:
+    """The rows of ``df`` whose key may be among those of ``made = bitmap(...)``: all that are, and a few
+    that are not. The bitmap is broadcast; its size is bounded by ``bits``, whatever the data."""
+    slot = F.pmod(F.xxhash64(key), F.lit(bits))
+    byte = F.conv(F.hex(F.substring("_map", (F.floor(F.col("_slot") % _BITS / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = df.withColumn("_slot", slot).withColumn("_bucket", F.floor(F.col("_slot") / _BITS).cast("int"))
+    return (held.join(F.broadcast(made), "_bucket")
+            .where(F.pmod(F.floor(byte / F.pow(F.lit(2), F.col("_slot") % 8)), F.lit(2)) == 1)
+            .drop("_slot", "_bucket", "_map"))

@@ -28,11 +28,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import Scratch, documents, salt
+from strata.llm.common import Scratch, bitmap, documents, maybe_in, salt
 
 BLANKS = r"[\x20\x09-\x0D]++"
 BITS = 1 << 27                  # of the bitmap of shared hashes: 16 MB at most
-_BUCKET = 1 << 15               # bits of one row of the bitmap aggregates
 
 
 def normalised(text: Column) -> Column:
@@ -44,23 +43,6 @@ def content_hash(norm: Column) -> Column:
     return F.unhex(F.md5(norm.cast("binary")))
 
 
-def _slot(h: Column, bits: int) -> Column:
-    return F.pmod(F.xxhash64(h), F.lit(bits))
-
-
-def shared_bitmap(shared: DataFrame, bits: int) -> DataFrame:
-    """(bucket, map): one row of 4,096 bytes for each bucket with a shared hash."""
-    slot = _slot(F.col("h"), bits)
-    return (shared.groupBy(F.floor(slot / _BUCKET).cast("int").alias("bucket"))
-            .agg(F.bitmap_construct_agg(slot % _BUCKET).alias("map")))
-
-
-def _is_set(bitmap: Column, slot: Column) -> Column:
-    at = slot % _BUCKET
-    byte = F.conv(F.hex(F.substring(bitmap, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.pmod(F.floor(byte / F.pow(F.lit(2), at % 8)), F.lit(2)) == 1
-
-
 def _best(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` with ``best`` (the first ``rank`` of their group) and ``group_size``."""
     salted = rows.withColumn("_salt", salt(F.col("rank.row")))
@@ -82,11 +64,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     # bytes inside the groups
     shared = narrow.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    bitmap = scratch.table(shared_bitmap(shared, BITS), "bitmap")
+    flagged = scratch.table(bitmap(shared, F.col("h"), BITS), "bitmap")
     hashes = texts.withColumn("h", hashed(F.col("norm")))
-    slot = _slot(F.col("h"), BITS)
-    maybe = (hashes.withColumn("bucket", F.floor(slot / _BUCKET).cast("int"))
-             .join(F.broadcast(bitmap), "bucket").where(_is_set(F.col("map"), slot)))
+    maybe = maybe_in(hashes, F.col("h"), flagged, BITS)
     distinct = maybe.select("h", "norm").groupBy("h", "norm").agg(F.count("*").alias("n"))
     collided = scratch.table(distinct.groupBy("h").agg(F.count("*").alias("texts")).where(F.col("texts") > 1).select("h"),
                              "collided")

@@ -488,7 +488,9 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays (the one with the smallest id); of
     repeated rows one stays as well. Rows without an id cannot be told apart: all stay if one does."""
     scratch = Scratch(spark, "near-dedup-stage")
-    kept = scratch.table(near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")), "kept")
+    inner = Scratch(spark, "near-dedup")
+    kept = scratch.table(near_duplicates(docs, scratch=inner).where("kept").select(F.col("doc_id").alias("_kept")), "kept")
+    inner.clear()                   # only the ids are read from here on
     counted = kept.groupBy("_kept").agg(F.count("*").alias("_rows"))
     repeated = counted.where("_rows > 1").select("_kept")
     same = docs["doc_id"].eqNullSafe(counted["_kept"])

@@ -120,3 +120,41 @@ def test_edges(spark, edge_rows, no_rows):
     assert find_personal_data(no_rows).collect() == []
     staged = stage(spark, edge_rows, None)
     assert staged.columns == edge_rows.columns and staged.count() == 10
+
+
+def test_hot_entity_and_many_terms(spark):
+    """One address in every text with many rare terms: only pairs that a document holds are looked at."""
+    rnd = random.Random(5)
+    rows = [(i, " ".join(f"w{rnd.randint(0, 120)}" for _ in range(20)) + " hot@x.org " + f"own{i // 4}") for i in range(400)]
+    rows += [(1000 + i, " ".join(f"w{rnd.randint(0, 120)}" for _ in range(20))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in stage(spark, df, None).collect()}
+    # own<n>: log(1000 * 4 / (400 * 4)) / log(1000 / 400) = 1; the others meet the address by chance
+    assert all(out[i].endswith("[EMAIL] ") and "w" in out[i] for i in range(400))
+    assert all(out[i] == t for i, t in rows if i >= 1000)
+
+
+def test_text_of_many_spans_in_linear_steps(spark):
+    one = "u{}@mail.example.org said 10.0.0.1 Zorb "
+    text = "".join(one.format(i) for i in range(6000))
+    rows = [(i, text + f" é{i}") for i in range(4)] + [(10 + i, "other words") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.k0: r for r in find_personal_data(df).collect()}
+    assert listing(got[0]) == brute(rows[0][1])
+    assert sum(KINDS[x.k] == "removed" and x.v == "Zorb" for x in got[0].spans) == 6000
+    out = {r.doc_id: r.text for r in stage(spark, df, None).collect()}
+    assert out[10] == "other words" and out[0].count("[EMAIL]") == 6000 and "Zorb" not in out[0]
+
+
+def test_running_and_cut(spark):
+    from strata.llm.pii import CHUNK, cut, pieces, running
+    n = 2 * CHUNK + 7
+    df = spark.range(1).select(F.sequence(F.lit(1), F.lit(n)).cast("array<long>").alias("x"),
+                               F.lit("añ\U0001F600" * CHUNK).alias("t"))
+    sums = df.select(running(F.col("x"), lambda a, b: a + b)).first()[0]
+    assert sums == [i * (i + 1) // 2 for i in range(1, n + 1)]
+    back = df.select(running(F.reverse("x"), F.greatest), running(F.array().cast("array<long>"), F.greatest)).first()
+    assert list(back[0]) == [n] * n and back[1] == []
+    t = "añ\U0001F600" * CHUNK
+    for s, e in [(0, 5), (CHUNK - 2, CHUNK + 2), (5, 3 * CHUNK), (7, 7), (CHUNK, 2 * CHUNK), (3 * CHUNK, 3 * CHUNK)]:
+        assert df.select(cut(pieces(F.col("t")), F.lit(s), F.lit(e))).first()[0] == t[s:e]
