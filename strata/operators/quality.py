@@ -222,6 +222,70 @@ def union_checks(checks: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), checks)
 
 
+#: Kinds that a table answers from one scan of its own (a dimension's members count as its scan).
+SHARED_KINDS = ("unique", "cardinality", "range", "rule", "null_not_zero", "presence", "fk")
+
+
+def _key_hash(cols: list[Column]) -> tuple[Column, Column]:
+    """128 bits of a key, equal for equal texts whatever the types of the columns."""
+    text = [c.cast("string") for c in cols]
+    return F.xxhash64(*text), F.xxhash64(F.lit(1), *text)
+
+
+def shared_gate(checks: list[tuple], table) -> DataFrame:
+    """(verificacao, violacoes) of many checks with one scan per table.
+
+    ``checks`` are (name, kind, table, args) of ``SHARED_KINDS``; ``table`` gives the frame of a name. Every row
+    of a table is turned into what its checks want to know of it: (check, side, key hash) for a
+    uniqueness key, a member or a foreign key, and one entry for each rule that it breaks. Entries of all tables
+    meet in one aggregation by (check, key), with map-side combine, so a foreign key sends each distinct value once per
+    task; a fact is read once for all of its keys, a dimension once for all facts. Keys are known by 128-bit hashes.
+    """
+    entries: dict[str, list[Column]] = {}
+
+    def add(name, check, key=None, side=0, when=None):
+        h = _key_hash(key) if key else (F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
+        e = F.struct(F.lit(check).alias("verificacao"), F.lit(side).alias("lado"), h[0].alias("h1"), h[1].alias("h2"))
+        entries.setdefault(name, []).append(e if when is None else F.when(when, e))
+
+    for name, kind, t, args in checks:
+        if kind == "unique":
+            add(t, name, [F.col(c) for c in args])
+        elif kind == "cardinality":
+            add(t, name, [F.col(args[0])], when=F.col(args[0]).isNotNull())
+        elif kind == "range":
+            add(t, name, when=~range_rule(*args))
+        elif kind == "rule":
+            add(t, name, when=~F.expr(args))
+        elif kind == "null_not_zero":
+            covered, measures, other = args
+            wrong = [F.col(x).isNotNull() for x in measures] + ([~F.col(other)] if other else [])
+            add(t, name, when=~F.col(covered) & reduce(Column.__or__, wrong))
+        elif kind == "presence":
+            add(t, name, when=F.col(args))
+        elif kind == "fk":
+            col, dim, dim_col = args
+            add(t, name, [F.col(col)])
+            add(dim, name, [F.col(dim_col)], side=1, when=F.col(dim_col).isNotNull())
+        else:
+            raise ValueError(kind)
+    told = [table(t).select(F.inline(F.array_compact(F.array(*es)))) for t, es in entries.items()]
+    keys = reduce(DataFrame.unionAll, told).groupBy("verificacao", "h1", "h2").agg(
+        F.count_if(F.col("lado") == 0).alias("n"), F.count_if(F.col("lado") == 1).alias("members"))
+    found = keys.groupBy("verificacao").agg(
+        F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated"), F.count_if(F.col("n") > 0).alias("distinct"),
+        F.sum(F.when(F.col("members") == 0, F.col("n"))).alias("orphans"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    wanted = told[0].sparkSession.createDataFrame(
+        [(name, kind, args[1] if kind == "cardinality" else None) for name, kind, _, args in checks],
+        "verificacao string, kind string, expected long")            # one row per check
+    kind = F.col("kind")
+    count = (F.when(kind == "unique", zero("repeated")).when(kind == "fk", zero("orphans"))
+             .when(kind == "cardinality", F.abs(zero("distinct") - F.col("expected")))
+             .when(kind == "presence", (zero("rows") == 0).cast("bigint")).otherwise(zero("rows")))
+    return wanted.join(found, "verificacao", "left").select("verificacao", count.cast("bigint").alias("violacoes"))
+
+
 class QualityGateError(RuntimeError):
     pass
 

@@ -1,15 +1,19 @@
 """Full-refresh layer job: staging -> bronze -> silver -> gold, written as Parquet.
 
-One job in a fixed order. Every layer is written to ``<base>/<layer>/<table>`` and the next layer
-is built from what was written: bronze holds text, silver parses, corrects and deduplicates
-that text, gold reads silver. So lineage ends at each layer, and a lost executor costs the
-current layer only. ``base`` defaults to a folder under the session's ``spark.checkpoint.dir``
-(the shared folder on a cluster).
+One job in a fixed order. Every layer is a ``Publication``: its tables are written as a new version,
+audited as written, and committed together; a layer that fails leaves the versions published
+before as they were, and nothing that is half written is ever visible. The next layer, and within gold the
+roll-ups and the views, are built from the written tables: bronze holds text, silver parses,
+corrects and deduplicates that text, gold facts read silver, roll-ups and views read gold. So
+lineage ends at each table, and a lost executor costs the current one only. ``base`` defaults to a folder
+under the session's ``spark.checkpoint.dir`` (the shared folder on a cluster).
 
 Nothing is written before every expected source has been opened and found to hold rows. Counts
-are reconciled after bronze; the gates of silver and of gold run before their layer is
-published, all checks but ``REPORT_ONLY`` block, and fact rows pass the write-time rules on their way to the sink.
-Each failure raises with the full list, and the layers published earlier stay as they were.
+and contents are reconciled after bronze. The gates of silver and of gold read the written version before it
+is committed; all checks but ``REPORT_ONLY`` block. Gold rows pass the write-time rules on their way to the
+sink: rows that break one go to the quarantine of the table in the same pass. With ``on_broken="raise"``
+such rows stop the job with the full list before gold is committed; with ``"quarantine"`` the good
+rows are published and the others can be read with the names of their rules.
 """
 
 from __future__ import annotations
@@ -20,12 +24,14 @@ from pyspark.sql import functions as F
 from strata.operators import guards, quality
 from strata.plans.measurement import Model
 from strata.session import ensure_checkpoint_dir
-from strata.sources.landing import as_text, publish_view, read_layer, stamp_bronze, stamp_layer, write_layer
+from strata.sources.landing import land_table, publish_view, stamp_bronze, stamp_layer
 from strata.sources.tables import read_table
+from strata.sources.versions import Publication
 
 STAGED = ("orders", "lineitem", "customer", "supplier", "nation", "region")
 LINEAGE = ("data_ingestao", "origem", "arquivo_origem", "data_carga_bronze", "origem_tabela")
 SILVER = {"levels": "silver_levels", "rain": "silver_rain", "basins": "silver_basins", "submissions": "dirty_dedup"}
+# In this order: what stands later reads the written tables before it.
 GOLD = ("calendar", "dim_month", "stations", "fluids", "customers", "fact_rain", "fact_evap", "fact_level",
         "monthly", "yearly", "climatology")
 #: Reported by ``quality_checks`` but not blocking: a limit of evaporation pans, which daily sums of
@@ -35,11 +41,16 @@ VIEWS = ("minmax_global", "minmax_inverted", "wide_to_long", "band_view", "seaso
 
 
 def write_rules(table: str) -> dict[str, Column]:
-    """Write-time rules of the gold facts (a NULL passes)."""
+    """The seven write-time rules of the gold tables (passing conditions; a NULL passes). Limits of summed
+    quantities leave room for larger tables than the driver's."""
     c = F.col
-    return {"fact_rain": {"reading_not_negative": c("milimetros") >= 0},
-            "fact_level": {"level_not_negative": c("nivel") >= 0, "days_positive": c("dias_corridos") >= 1},
-            "fact_evap": {"density_20_30": c("densidade_be").between(20, 30)}}.get(table, {})
+    return {"fact_rain": {"reading_0_10m": c("milimetros").between(0, 10_000_000)},
+            "fact_evap": {"density_20_30": c("densidade_be").between(20, 30),
+                          "film_1g": c("lamina_mm").between(-10**9, 10**9)},
+            "fact_level": {"level_not_negative": c("nivel").between(0, 10_000_000),
+                           "interval_1_400": c("dias_corridos").between(1, 400)},
+            "monthly": {"spread_0_10m": c("variacao_desvio_cm").between(0, 10_000_000)},
+            "customers": {"area_within_100k": c("c_acctbal").between(-100_000, 100_000)}}.get(table, {})
 
 
 def default_base(spark: SparkSession) -> str:
@@ -63,45 +74,53 @@ def silver_gate(silver: dict[str, DataFrame]) -> list[DataFrame]:
 
 
 def run_layers(spark: SparkSession, sf_dir: str, base: str | None = None, gate: bool = True,
-               view_prefix: str = "vw_") -> dict[str, str]:
-    """Writes every layer and registers the views; returns {layer.table: path or view name}."""
-    from strata.plans.registry import CHECKS, QUERY_OF, _check_frame
+               view_prefix: str = "vw_", on_broken: str = "raise") -> dict[str, str]:
+    """Writes and commits every layer and registers the views; returns {layer.table: path or view name}."""
+    from strata.plans.registry import QUERY_OF, gate_frame
 
+    if on_broken not in ("raise", "quarantine"):
+        raise ValueError(on_broken)
     base = base or default_base(spark)
     written: dict[str, str] = {}
     source = guards.open_sources(list(STAGED), lambda t: read_table(spark, sf_dir, t))
     for t, df in source.items():
         guards.assert_not_empty(df, t)
 
+    def publish(new: Publication):
+        new.commit()
+        written.update({f"{new.layer}.{e[0]}": new.path(e[0]) for e in new.entries})
+
     # staging: all-text copies with lineage (A1, A2); bronze: staging + load metadata (A3)
+    staging, raw = Publication(spark, base, "staging"), Publication(spark, base, "bronze")
     pairs = {}
     for t, df in source.items():
-        written[f"staging.{t}"] = write_layer(as_text(df).withColumns({
-            "data_ingestao": F.current_timestamp(), "origem": F.lit("driver"), "arquivo_origem": F.lit(f"{t}.parquet")}),
-            base, "staging", t)
-        staged = read_layer(spark, base, "staging", t)
-        written[f"bronze.{t}"] = write_layer(stamp_bronze(staged, t), base, "bronze", t)
-        pairs[t] = (df, read_layer(spark, base, "bronze", t))
-    guards.assert_reconciled(guards.reconcile(pairs))
+        staged = staging.write(land_table(df, "driver"), t)
+        pairs[t] = (df, raw.write(stamp_bronze(staged, t), t))
+    guards.assert_reconciled(guards.reconcile(pairs, {t: df.columns for t, df in source.items()}))
+    publish(staging)
+    publish(raw)
 
     # silver: parsed from the bronze text, corrected, one row per key (B, Q4)
     bronze = {t: typed(b.drop(*LINEAGE), source[t]) for t, (_, b) in pairs.items()}
     m = Model(spark, sf_dir, tables=bronze)
-    silver = {t: getattr(m, name) for t, name in SILVER.items()}
+    clean = Publication(spark, base, "silver")
+    back = {t: clean.write(stamp_layer(getattr(m, name), "silver"), t).drop("data_carga_silver") for t, name in SILVER.items()}
     if gate:
-        quality.run_checks(silver_gate(silver), "silver gate")
-    for t, df in silver.items():
-        written[f"silver.{t}"] = write_layer(stamp_layer(df, "silver"), base, "silver", t)
-    back = {t: read_layer(spark, base, "silver", t).drop("data_carga_silver") for t in SILVER}
+        quality.run_checks(silver_gate(back), "silver gate")
+    publish(clean)
 
-    # gold: every check first (Q17), then each table through its write-time rules
-    m = Model(spark, sf_dir, silver=back, tables=bronze)
-    if gate:
-        quality.run_checks([_check_frame(m, *c) for c in CHECKS if c[0] not in REPORT_ONLY], "gold gate")
+    # gold: each table through its write-time rules (A6, Q18), then every check on what was written (Q17)
+    last, gold = Publication(spark, base, "gold"), {}
     for t in GOLD:
-        df, rules = getattr(m, t), write_rules(t)
-        df = quality.enforce(df, rules) if rules else df
-        written[f"gold.{t}"] = write_layer(stamp_layer(df, "gold"), base, "gold", t)
+        m = Model(spark, sf_dir, silver=back, tables=bronze, gold=gold)
+        gold[t] = last.write(stamp_layer(getattr(m, t), "gold"), t, write_rules(t)).drop("data_carga_gold")
+    if last.refused and on_broken == "raise":
+        raise quality.QualityGateError(f"write-time rules broken: { {f'{t}.{r}': n for (t, r), n in last.refused.items()} }")
+    m = Model(spark, sf_dir, silver=back, tables=bronze, gold=gold)
+    if gate:
+        report = gate_frame(m)
+        quality.run_checks(report.where(~F.col("verificacao").isin(*REPORT_ONLY)), "gold gate")
+    publish(last)
     for v in VIEWS:
         publish_view(QUERY_OF[v](m), view_prefix + v)
         written[f"view.{v}"] = view_prefix + v

@@ -22,11 +22,13 @@ from strata.sources.tables import read_table
 
 class Model:
     def __init__(self, spark: SparkSession, sf_dir: str, silver: dict[str, DataFrame] | None = None,
-                 tables: dict[str, DataFrame] | None = None):
+                 tables: dict[str, DataFrame] | None = None, gold: dict[str, DataFrame] | None = None):
         """``tables`` optionally supplies source tables (else they are read from ``sf_dir``).
         ``silver`` optionally supplies already written silver tables
-        (keys ``levels``, ``rain``, ``basins``); gold is then built from them."""
+        (keys ``levels``, ``rain``, ``basins``); gold is then built from them. ``gold`` optionally
+        supplies written gold tables under their names here; whatever depends on them reads them."""
         self.spark, self.sf_dir = spark, sf_dir
+        self.__dict__.update(gold or {})        # a cached property that is set already
         self._tables: dict[str, DataFrame] = dict(tables or {})
         self._silver = silver or {}
 

@@ -1,7 +1,7 @@
 """Landing, lineage stamps and layer sinks.
 
-Layers are path prefixes (``<base>/<layer>/<table>``) holding Parquet. Every write is a
-full refresh (overwrite), which is what the modelled loads do.
+Layers hold Parquet tables in versions (``<base>/<layer>/<table>/<version>``). Every write is a
+full refresh, which is what the modelled loads do; it becomes visible by a commit (``versions``).
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.versions import Publication, read_published
+
 # Lineage column names of each layer.
 STAGING_LINEAGE = ("data_ingestao", "origem", "arquivo_origem")
 BRONZE_LINEAGE = ("data_carga_bronze", "origem_tabela")
@@ -75,28 +77,25 @@ def stamp_layer(df: DataFrame, layer: str) -> DataFrame:
     return df.withColumn(f"data_carga_{layer}", F.current_timestamp())
 
 
-def layer_path(base: str, layer: str, table: str) -> str:
-    return f"{base.rstrip('/')}/{layer}/{table}"
+def land_table(df: DataFrame, origem: str) -> DataFrame:
+    """A1 + A2 of a scanned table: all columns as text, with the name of the scanned file."""
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns], F.current_timestamp().alias("data_ingestao"),
+                     F.lit(origem).alias("origem"), F.col("_metadata.file_name").alias("arquivo_origem"))
 
 
 def write_layer(df: DataFrame, base: str, layer: str, table: str,
                 partition_by: list[str] | None = None) -> str:
-    """A5/A6 full-refresh sink: overwrite data and schema of one layer table.
-
-    Writes never target the path being read in the same job (callers read the previous
-    layer). Returns the written path.
-    """
-    path = layer_path(base, layer, table)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return path
+    """A5/A6 full-refresh sink of one table: a new version with its own data and schema, committed once
+    it is complete; a failed write leaves the former version as it was. Returns the written path."""
+    new = Publication(df.sparkSession, base, layer)
+    new.write(df, table, partition_by=partition_by)
+    new.commit()
+    return new.path(table)
 
 
 def read_layer(spark: SparkSession, base: str, layer: str, table: str) -> DataFrame:
-    """A8 table scan of a layer table."""
-    return spark.read.parquet(layer_path(base, layer, table))
+    """A8 scan of the last committed version of a layer table."""
+    return read_published(spark, base, layer, table)
 
 
 def publish_view(df: DataFrame, name: str) -> DataFrame:
@@ -105,6 +104,10 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def sample(df: DataFrame, n: int = 10) -> DataFrame:
-    """A LIMIT n sample (the limit is the feature)."""
-    return df.limit(n)
+def sample(df: DataFrame, n: int = 10, seed: int = 0) -> DataFrame:
+    """``n`` rows (the limit is the feature), the same ones on every run: those with the smallest
+    hashes of their whole content. Each task keeps its n smallest (top-n under the limit), so nothing is sorted
+    as a whole. Repeated rows have equal hashes and are taken together."""
+    text = F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in df.columns])
+    key = F.md5(F.concat(F.lit(f"{seed}|"), text).cast("binary"))
+    return df.withColumn("_place", key).orderBy("_place").limit(n).drop("_place")
