@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.profile import ACCURACY
-from strata.operators.scalars import attach
+from strata.operators.quantiles import exact_quantiles
 
 # Portuguese month names, January first.
 MONTH_NAMES = ["Janeiro", "Fevereiro", "Março", "Abril", "Maio", "Junho",
@@ -56,23 +55,20 @@ TERCILE_CUTS = (0.3333, 0.6667)
 TERCILE_LABELS = ("PEQUENO", "MEDIO", "GRANDE")
 
 
-def dim_entity_terciles(df: DataFrame, key: str, attr: str, attr_type: str = "decimal(14,2)",
-                        accuracy: int = ACCURACY) -> DataFrame:
-    """D3: max(attr) per entity, classed by approximate terciles over the entities.
+def dim_entity_terciles(df: DataFrame, key: str, attr: str, attr_type: str = "decimal(14,2)") -> DataFrame:
+    """D3: max(attr) per entity, classed by the exact terciles over the entities.
 
-    The cut points are a one-row aggregate over the entities, attached by broadcast: bounded
-    memory, ranks off by at most 1/accuracy.
     ``attr`` is reported as a decimal and scaled by 10,000 (hectares -> m2).
     """
     base = df.groupBy(key).agg(F.max(attr).alias("_a"))
-    cuts = base.agg(F.percentile_approx("_a", list(TERCILE_CUTS), accuracy).alias("_t"))
-    a, t = F.col("_a"), F.col("_t")
+    cuts = exact_quantiles(base, {"a": F.col("_a")}, list(TERCILE_CUTS))
+    a, t = F.col("_a"), [F.lit(cuts["a", p]).cast("double") for p in TERCILE_CUTS]
     ad = a.cast(attr_type)
-    return (attach(base, cuts).select(
+    return base.select(
         F.col(key), ad.alias(attr),
         (ad * F.lit(10000).cast("decimal(5,0)")).cast("decimal(18,2)").alias(f"{attr}_x10000"),
         F.when(a <= t[0], F.lit(TERCILE_LABELS[0])).when(a <= t[1], F.lit(TERCILE_LABELS[1]))
-        .otherwise(F.lit(TERCILE_LABELS[2])).alias("faixa")))
+        .otherwise(F.lit(TERCILE_LABELS[2])).alias("faixa"))
 
 
 def dim_entity_flag(df: DataFrame, key: str, suspect: Column, note: str) -> DataFrame:

@@ -12,10 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.clean import MISSING_TOKENS, try_parse_number
-
-#: Accuracy of every approximate quantile of the library: ranks are off by at most 1/ACCURACY of the
-#: rows, at any size, with a sketch of a bounded size.
-ACCURACY = 1_000_000
+from strata.operators.quantiles import exact_quantiles
 
 
 def per_column(df: DataFrame, cols: list[str], measures: dict) -> DataFrame:
@@ -83,22 +80,24 @@ def numeric_columns(df: DataFrame, cols: list[str] | None = None,
     return wide.withColumn("numerica", (have > 0) & (parsed >= F.lit(threshold) * have))
 
 
-def profile_numeric(df: DataFrame, cols: list[str], accuracy: int = ACCURACY) -> DataFrame:
+def profile_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count / mean / stddev / min / quartiles / max per column; text is parsed tolerantly.
 
-    Unknown columns are skipped; none left raises. Quartiles have bounded memory (``ACCURACY``).
+    Unknown columns are skipped; none left raises. Quartiles are exact values of the columns.
     """
     kinds = {f.name: f.dataType for f in df.schema}
+    cols = [c for c in cols if c in kinds]
 
     def number(c: str) -> Column:
         return F.col(c).cast("double") if isinstance(kinds[c], T.NumericType) else try_parse_number(F.col(c))
 
-    quart = lambda k: lambda c: F.percentile_approx(number(c), [0.25, 0.5, 0.75], accuracy)[k]
-    return per_column(df, [c for c in cols if c in kinds], {
+    quarts = exact_quantiles(df, {c: number(c) for c in cols}, [0.25, 0.5, 0.75]) if cols else {}
+    quart = lambda p: lambda c: F.lit(quarts[c, p]).cast("double")
+    return per_column(df, cols, {
         "contagem": lambda c: F.count(number(c)),
         "media": lambda c: F.round(F.avg(number(c)), 4).cast("decimal(20,4)"),
         "desvio": lambda c: F.round(F.stddev_samp(number(c)), 4).cast("decimal(20,4)"),
-        "minimo": lambda c: F.min(number(c)), "p25": quart(0), "p50": quart(1), "p75": quart(2),
+        "minimo": lambda c: F.min(number(c)), "p25": quart(0.25), "p50": quart(0.5), "p75": quart(0.75),
         "maximo": lambda c: F.max(number(c))})
 
 

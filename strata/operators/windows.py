@@ -3,26 +3,28 @@
 The literal form is a left join on ``d > prev AND d <= cur`` followed by a group by
 window. Without an equi-key Spark plans it as a broadcast nested loop join (windows x days).
 
-Here every window is answered by two equi-joins on an integer day index against one
-helper table with a row per day of the analysis span (not per driver row):
-
-* running sums / non-NULL counts / positive counts / row counts per measure, so
-  ``sum over (prev, cur] = P[cur] - P[prev]`` (NULL when no non-NULL value);
-* doubling maxima ``F[k][i] = max over (i, i + 2^k]`` and ``B[k][i] = max over
-  (i - 2^k, i]``, so ``max over (prev, cur] = greatest(F[k][prev], B[k][cur])`` with
-  ``k = floor(log2(cur - prev))`` (the two ranges overlap and cover the window).
-
-The helper covers the days from the first window start to the last window end (a one-row
-aggregate of the windows): its size is bounded by the calendar, never by the data volume
-(all days that a DATE can express are 3.7 million). There is one path for every size; whether
-the helper is broadcast is left to adaptive execution.
+Here the days are indexed in two steps of hash aggregates and equi-joins, without sorting them:
+
+* *nodes*: days are numbered since 1970; node (k, j) stands for the days ``j 2^k .. (j + 1) 2^k - 1`` and
+  holds the sum, counts and maximum of each measure over them. Levels reach to the longest window that the
+  DATE type can express; a day of the driver adds one row per level to a hash aggregate with map-side
+  combine, so the index is bounded by the calendar, never by the data;
+* *cover*: the distinct pairs (prev, cur) are taken first, however many windows share them. A pair of n days is the
+  disjoint union of at most 2 log2(n) nodes, found level by level from the pair alone; it joins them on
+  (k, j) and adds them up.
+
+Windows then join the result on their pair. Sums are exact decimals, so the order in which nodes meet
+does not matter. One path for every size; what is broadcast is left to adaptive execution, which
+knows the sizes.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.scalars import attach, product
@@ -42,43 +44,60 @@ class Agg:
     col: str | None = None
 
 
-def _dense(tables: list[DataFrame], date: str, cols: list[str], bounds: DataFrame) -> DataFrame:
-    """One row per day ``_i`` (days since 1970) of the one-row range ``bounds`` (lo, hi), with
-    each daily table's values (NULL = no row)."""
-    out = bounds.select(F.explode(F.sequence("lo", "hi")).alias(date))
-    for n, t in enumerate(tables):
-        out = out.join(t.select(date, *[c for c in cols if c in t.columns], F.lit(1).alias(f"_row{n}")),
-                       date, "left")
-    rows = [F.coalesce(F.col(f"_row{n}"), F.lit(0)) for n in range(len(tables))]
-    present = F.greatest(*rows) if len(rows) > 1 else rows[0]
-    return out.withColumn("_row", present).withColumn("_i", F.unix_date(date))
+def _days(tables: list[DataFrame], date: str, cols: list[str]) -> DataFrame:
+    """One row per day ``_i`` (days since 1970) that some table has, with the values of all."""
+    parts = []
+    for t in tables:
+        held = [F.col(c) if c in t.columns else F.lit(None).alias(c) for c in cols]
+        parts.append(t.select(F.unix_date(F.to_date(F.col(date))).alias("_i"), *held))
+    if len(parts) == 1:
+        return parts[0]
+    # one row per date in each table, so the maximum is the one value
+    return reduce(DataFrame.unionAll, parts).groupBy("_i").agg(*[F.max(c).alias(c) for c in cols])
 
 
-def _helper(dense: DataFrame, exprs: dict[str, Column], max_cols: list[str]) -> DataFrame:
-    """One row per day index ``_i`` of the calendar with
+def _measures(aggs: list[Agg], sum_type: str) -> dict[str, tuple[Column, Column]]:
+    """name -> (aggregate of a node over its days, aggregate of a window over its nodes)."""
+    out = {}
+    for a in aggs:
+        if a.kind == "sum":
+            out[f"sum_{a.col}"] = F.sum(F.col(a.col).cast(sum_type)), F.sum(f"sum_{a.col}")
+        elif a.kind == "max":
+            out[f"max_{a.col}"] = F.max(a.col), F.max(f"max_{a.col}")
+        elif a.kind == "count":
+            out[f"count_{a.col}"] = F.count(a.col), F.sum(f"count_{a.col}")
+        elif a.kind == "count_pos":
+            out[f"count_pos_{a.col}"] = F.count_if(F.col(a.col) > 0), F.sum(f"count_pos_{a.col}")
+        elif a.kind == "count_rows":
+            out["count_rows"] = F.count(F.lit(1)), F.sum("count_rows")
+        else:
+            raise ValueError(a.kind)
+    return out
+
+
+def _levels(lo: Column, hi: Column) -> Column:
+    """floor(log2(days)) of the days lo < .. <= hi: the bit length of their number, less one."""
+    return F.length(F.bin(hi - lo)) - 1
 
-    * ``P_<n>``: inclusive running sum of ``exprs[n]`` up to day ``_i`` (0 before any value);
-    * ``M_<c>``: array, element k = max of ``c`` over days ``_i + 1 .. _i + 2^k``, and behind
-      these the max over days ``_i - 2^k + 1 .. _i``.
 
-    Built by doubling (each level is one lead/lag of the previous one) in one ordered pass.
-    The window has no partition: it runs over calendar days, at most 3.7 million.
+def _cover(lo: Column, hi: Column) -> Column:
+    """The nodes (k, j) whose days make up ``(lo, hi]``, at most two per level.
+
+    Of the days ``[a, b)`` the nodes of level k that lie inside are numbered ``ceil(a / 2^k)`` to
+    ``floor(b / 2^k) - 1``. The first belongs to no larger node inside if its number is odd, the last if
+    the number after it is odd; they are taken, once if they are the same.
     """
-    line = Window.orderBy("_i")
-    upto = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = dense.select("_i", *[F.coalesce(F.sum(e).over(upto), F.lit(0)).alias(f"P_{n}")
-                               for n, e in exprs.items()],
-                       *[F.lead(c).over(line).alias(f"f{j}_0") for j, c in enumerate(max_cols)],
-                       *[F.col(c).alias(f"b{j}_0") for j, c in enumerate(max_cols)])
-    for k in range(1, LEVELS + 1) if max_cols else ():
-        step = 1 << (k - 1)
-        out = out.select("*", *[F.greatest(f"f{j}_{k - 1}", F.lead(f"f{j}_{k - 1}", step).over(line)).alias(f"f{j}_{k}")
-                                for j in range(len(max_cols))],
-                         *[F.greatest(f"b{j}_{k - 1}", F.lag(f"b{j}_{k - 1}", step).over(line)).alias(f"b{j}_{k}")
-                           for j in range(len(max_cols))])
-    return out.select("_i", *[f"P_{n}" for n in exprs], *[
-        F.array(*[f"{x}{j}_{k}" for x in "fb" for k in range(LEVELS + 1)]).alias(f"M_{c}")
-        for j, c in enumerate(max_cols)])
+    def at(k):
+        width = F.call_function("shiftleft", F.lit(1).cast("bigint"), k)
+        first = F.ceil((lo + 1) / width).cast("bigint")
+        end = F.floor((hi + 1) / width).cast("bigint")
+        odd = first.bitwiseAND(F.lit(1)) == 1
+        node = lambda j: F.struct(k.alias("k"), j.alias("j"))
+        left = F.when((first < end) & odd, node(first))
+        right = F.when((F.when(odd, first + 1).otherwise(first) < end) & (end.bitwiseAND(F.lit(1)) == 1), node(end - 1))
+        return F.array(left, right)
+
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), _levels(lo, hi)), at)))
 
 
 def attribute_windows(windows: DataFrame, daily: DataFrame | list[DataFrame], aggs: list[Agg],
@@ -91,53 +110,28 @@ def attribute_windows(windows: DataFrame, daily: DataFrame | list[DataFrame], ag
     start, get NULL sums/max and zero counts, like a left join that matches nothing.
     """
     tables = daily if isinstance(daily, list) else [daily]
-    cols = sorted({a.col for a in aggs if a.col})
-    bounds = windows.agg(F.min(F.least(prev, cur)).alias("lo"), F.max(F.greatest(prev, cur)).alias("hi"))
-    dense = _dense(tables, date, cols, bounds)
-
-    exprs: dict[str, Column] = {"_rows": F.coalesce(F.col("_row"), F.lit(0))}
-    for a in aggs:
-        if a.kind == "sum":
-            exprs[f"_s_{a.col}"] = F.col(a.col).cast(sum_type)
-            exprs[f"_n_{a.col}"] = F.when(F.col(a.col).isNotNull(), 1).otherwise(0)
-        elif a.kind == "count":
-            exprs[f"_n_{a.col}"] = F.when(F.col(a.col).isNotNull(), 1).otherwise(0)
-        elif a.kind == "count_pos":
-            exprs[f"_p_{a.col}"] = F.when(F.col(a.col) > 0, 1).otherwise(0)
-    max_cols = sorted({a.col for a in aggs if a.kind == "max"})
-    helper = _helper(dense, exprs, max_cols)
-
-    w = windows.withColumns({"_ip": F.unix_date(F.to_date(prev)), "_ic": F.unix_date(F.to_date(cur))})
-    ha, hb = helper.alias("_ha"), helper.alias("_hb")
-    w = (w.join(ha, F.col("_ip") == F.col("_ha._i"), "left")
-          .join(hb, F.col("_ic") == F.col("_hb._i"), "left"))
-    w = w.select(*windows.columns, "_ip", "_ic",
-                 *[F.col(f"_ha.P_{n}").alias(f"{n}__a") for n in exprs],
-                 *[F.col(f"_hb.P_{n}").alias(f"{n}__b") for n in exprs],
-                 *[F.col(f"_ha.M_{c}").alias(f"F_{c}") for c in max_cols],
-                 *[F.col(f"_hb.M_{c}").alias(f"B_{c}") for c in max_cols])
-
-    def diff(n):
-        return F.coalesce(F.col(f"{n}__b") - F.col(f"{n}__a"), F.lit(0))
-
-    valid = F.col(prev).isNotNull() & F.col(cur).isNotNull() & (F.col("_ic") > F.col("_ip"))
-    length = F.col("_ic") - F.col("_ip")
-    # floor(log2(length)) exactly: bit length of the binary text; element_at is 1-based
-    pos = F.length(F.bin(length))
-    outs = {}
+    measures = _measures(aggs, sum_type)
+    w = windows.withColumns({"_p": F.unix_date(F.to_date(prev)), "_c": F.unix_date(F.to_date(cur))})
+    # The distinct pairs. The hash (never null) looks at every column, so that this side reads the same columns
+    # as the windows themselves: Spark then shuffles the rows that windows are made of once, for both.
+    pairs = (w.where(F.col("_c") > F.col("_p")).groupBy("_p", "_c")
+             .agg(F.bit_or(F.xxhash64(*[F.col(f"`{c}`") for c in windows.columns])).alias("_all"))
+             .where(F.col("_all").isNotNull()).select("_p", "_c"))
+
+    # day numbers before 1970 shift like the others
+    days = _days(tables, date, sorted({a.col for a in aggs if a.col})).where(F.col("_i").isNotNull())
+    nodes = (days.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(LEVELS))))
+             .withColumn("j", F.expr("shiftright(cast(_i as bigint), k)"))
+             .groupBy("k", "j").agg(*[node.alias(n) for n, (node, _) in measures.items()]))
+    cover = pairs.select("_p", "_c", F.inline(_cover(F.col("_p"), F.col("_c"))))
+    found = (cover.join(nodes, ["k", "j"]).groupBy("_p", "_c")
+             .agg(*[whole.alias(n) for n, (_, whole) in measures.items()]))
+    outs = []
     for a in aggs:
-        if a.kind == "sum":
-            outs[a.out] = F.when(valid & (diff(f"_n_{a.col}") > 0), diff(f"_s_{a.col}"))
-        elif a.kind == "count":
-            outs[a.out] = F.when(valid, diff(f"_n_{a.col}")).otherwise(0).cast("bigint")
-        elif a.kind == "count_pos":
-            outs[a.out] = F.when(valid, diff(f"_p_{a.col}")).otherwise(0).cast("bigint")
-        elif a.kind == "count_rows":
-            outs[a.out] = F.when(valid, diff("_rows")).otherwise(0).cast("bigint")
-        elif a.kind == "max":
-            outs[a.out] = F.when(valid, F.greatest(F.element_at(F.col(f"F_{a.col}"), pos),
-                                                   F.element_at(F.col(f"B_{a.col}"), pos + F.lit(LEVELS + 1))))
-    return w.select(*windows.columns, *[outs[a.out].alias(a.out) for a in aggs])
+        got = F.col("_f." + (a.kind if a.kind == "count_rows" else f"{a.kind}_{a.col}"))
+        outs.append((got if a.kind in ("sum", "max") else F.coalesce(got, F.lit(0)).cast("bigint")).alias(a.out))
+    both = w.alias("_w").join(found.alias("_f"), ["_p", "_c"], "left")
+    return both.select(*[F.col(f"_w.{c}") for c in windows.columns], *outs)
 
 
 def attribute_windows_literal(windows: DataFrame, daily: DataFrame, aggs: list[Agg],
