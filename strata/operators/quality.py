@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.scalars import attach
+
 # Duplicate classes.
 RESENT, CONFLICT = "REENVIO", "CONFLITO DE VALOR"
 
@@ -93,38 +95,64 @@ def dedup_best(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+# ---------------------------------------------------------------- observed days as bits (Q5, Q6)
+
+def day_words(df: DataFrame, keys: list[str], date: str, *aggs: Column) -> DataFrame:
+    """The observed days of each key as bits: (keys, _word, _bits) with day ``64 _word + i`` (since 1970) as bit i,
+    and ``aggs`` per word. A key has a row per 64 days, combined on the map side, however many rows it has."""
+    day = F.unix_date(F.to_date(F.col(date))).cast("bigint")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(day, F.lit(64)).cast("int"))
+    return df.groupBy(*keys, F.floor(day / 64).cast("bigint").alias("_word")).agg(F.bit_or(bit).alias("_bits"), *aggs)
+
+
+def days_of(word: Column, bits: Column) -> Column:
+    """The dates whose bits are set, as an array."""
+    held = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("getbit", bits, i) == 1)
+    return F.transform(held, lambda i: F.date_from_unix_date((word * 64 + i).cast("int")))
+
+
 def coverage(df: DataFrame, entity: str, date: str, measure: str | None = None) -> DataFrame:
     """Q5: rows, distinct days, first/last date (and filled count) per entity."""
-    aggs = [F.count(F.lit(1)).alias("registros"),
-            F.countDistinct(date).alias("dias_distintos"),
-            F.min(date).alias("primeira_data"), F.max(date).alias("ultima_data")]
+    aggs = [F.count(F.lit(1)).alias("_n"), F.min(date).alias("_lo"), F.max(date).alias("_hi")]
+    if measure:
+        aggs.append(F.count(measure).alias("_m"))
+    whole = [F.sum("_n").alias("registros"), F.coalesce(F.sum(F.bit_count("_bits")), F.lit(0)).alias("dias_distintos"),
+             F.min("_lo").alias("primeira_data"), F.max("_hi").alias("ultima_data")]
     if measure:
-        aggs.append(F.count(measure).alias("preenchidos"))
-    return df.groupBy(entity).agg(*aggs)
+        whole.append(F.sum("_m").alias("preenchidos"))
+    return day_words(df, [entity], date, *aggs).groupBy(entity).agg(*whole)
 
 
 def date_gaps(df: DataFrame, entity: str, date: str) -> DataFrame:
     """Q6 generalised: per entity, dates inside its own first..last range on which some
     other entity has a row and this one has none.
 
-    The next date of an entity (``lead``) gives its gaps as ranges; only true gaps are expanded
-    to days, and those semi join the dates that anyone observed.
+    Both sides are words of 64 days: what anyone observed AND NOT what the entity did. Words that
+    the entity skips as a whole lie between two of its words (``lead``); only missing days are expanded.
     """
-    seen = df.select(entity, date).distinct()
-    after = F.lead(date).over(Window.partitionBy(entity).orderBy(date))
-    gaps = seen.withColumn("_next", after).where(F.datediff("_next", date) > 1)
-    days = gaps.select(entity, F.explode(F.sequence(F.date_add(date, 1), F.date_sub("_next", 1))).alias(date))
-    return days.join(seen.select(date).distinct(), date, "left_semi").select(entity, date)
+    own = day_words(df.where(F.col(date).isNotNull()), [entity], date, F.min(date).alias("_lo"), F.max(date).alias("_hi"))
+    all_ = day_words(df.where(F.col(date).isNotNull()), [], date).withColumnRenamed("_bits", "_all")
+    mine = Window.partitionBy(entity)
+    after = F.coalesce(F.lead("_word").over(mine.orderBy("_word")) - 1, F.col("_word"))
+    spread = (own.select(entity, "_word", "_bits", F.min("_lo").over(mine).alias("_lo"), F.max("_hi").over(mine).alias("_hi"),
+                         after.alias("_upto"))
+              .select(entity, "_lo", "_hi", F.explode(F.sequence("_word", "_upto")).alias("_w"), "_word", "_bits")
+              .select(entity, "_lo", "_hi", F.col("_w").alias("_word"), F.when(F.col("_w") == F.col("_word"), F.col("_bits")).otherwise(0).alias("_bits")))
+    missing = F.col("_all").bitwiseAND(F.bitwise_not("_bits"))
+    days = (spread.join(all_, "_word").where(missing != 0)
+            .select(entity, "_lo", "_hi", F.explode(days_of(F.col("_word"), missing)).alias("_day")))
+    return days.where(F.col("_day").between(F.col("_lo"), F.col("_hi"))).select(entity, F.col("_day").alias(date))
 
 
 def date_gaps_pair(df: DataFrame, entity: str, date: str, a, b) -> DataFrame:
-    """Q6 literal: dates present for entity ``a`` and absent for ``b``, and the reverse."""
-    da = df.filter(F.col(entity) == a).select(date).distinct()
-    db = df.filter(F.col(entity) == b).select(date).distinct()
-    return (da.join(db, date, "left_anti").select(F.lit(a).alias("presente_em"),
-                                                  F.lit(b).alias("ausente_em"), date)
-            .unionByName(db.join(da, date, "left_anti").select(
-                F.lit(b).alias("presente_em"), F.lit(a).alias("ausente_em"), date)))
+    """Q6 literal: dates present for entity ``a`` and absent for ``b``, and the reverse, from one scan."""
+    held = df.where(F.col(entity).isin(a, b) & F.col(date).isNotNull())
+    words = day_words(held, [entity], date).groupBy("_word").agg(
+        *[F.coalesce(F.bit_or(F.when(F.col(entity) == x, F.col("_bits"))), F.lit(0)).alias(n) for n, x in (("_a", a), ("_b", b))])
+    only = lambda x, y: days_of(F.col("_word"), F.col(x).bitwiseAND(F.bitwise_not(F.col(y))))
+    sides = F.array(F.struct(F.lit(a).alias("presente_em"), F.lit(b).alias("ausente_em"), only("_a", "_b").alias("_days")),
+                    F.struct(F.lit(b).alias("presente_em"), F.lit(a).alias("ausente_em"), only("_b", "_a").alias("_days")))
+    return words.select(F.inline(sides)).select("presente_em", "ausente_em", F.explode("_days").alias(date))
 
 
 def apply_corrections(df: DataFrame, rules: list[tuple[Column, str, Column]]) -> DataFrame:
@@ -137,6 +165,34 @@ def apply_corrections(df: DataFrame, rules: list[tuple[Column, str, Column]]) ->
     return df
 
 
+#: Columns of a rules table: order, {column: regular expression that its value must match}, target column,
+#: what to replace in it (a regular expression; NULL: the whole value) and by what.
+RULES = "ordem int, quando map<string,string>, alvo string, padrao string, novo string"
+MAX_RULES = 1000
+
+
+def apply_rule_table(df: DataFrame, rules: DataFrame, cols: list[str]) -> DataFrame:
+    """B11 with the rules as data (schema ``RULES``): rewrites the text columns ``cols`` of ``df``.
+
+    The rules become one ordered array, attached by broadcast (more than ``MAX_RULES`` raise), and are folded over
+    each row, so rule i sees the output of rules < i. A NULL value matches nothing. Rules on columns that are not in
+    ``cols`` never match.
+    """
+    order = F.array_sort(F.collect_list(F.struct("ordem", "alvo", "padrao", "novo", F.map_entries("quando").alias("quando"))))
+    one = rules.agg(F.when(F.count(F.lit(1)) > MAX_RULES, F.raise_error(F.lit(f"more than {MAX_RULES} rules"))).otherwise(order).alias("_rules"))
+    held = attach(df, one)
+    row = F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c))])
+
+    def step(acc, r):
+        value = F.element_at(acc, r["alvo"])
+        new = F.when(r["padrao"].isNull(), r["novo"]).otherwise(F.regexp_replace(value, r["padrao"], r["novo"]))
+        hit = F.forall(r["quando"], lambda q: F.coalesce(F.regexp_like(F.element_at(acc, q["key"]), q["value"]), F.lit(False)))
+        return F.when(hit, F.transform_values(acc, lambda k, v: F.when(k == r["alvo"], new).otherwise(v))).otherwise(acc)
+
+    done = held.withColumn("_row", F.aggregate("_rules", row, step))
+    return done.withColumns({c: F.element_at("_row", c) for c in cols}).drop("_row", "_rules")
+
+
 # ---------------------------------------------------------------- checks (Q7-Q18)
 
 def _check_row(name: str, violations: Column) -> list[Column]:
