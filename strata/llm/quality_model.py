@@ -59,8 +59,12 @@ def _buckets(h: np.ndarray, kind: int) -> np.ndarray:
     return ((h * _MIX) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def hashed(block: bytes):
-    """(buckets, first positions) of the words and n-grams of a block that begins and ends blank."""
+def hashed(block: bytes, at: np.ndarray):
+    """(buckets, first positions) of the words and n-grams of a block of parts, each between two blanks of its own.
+
+    The parts begin at the positions ``at``. No n-gram reaches over two blanks and no word is compared with
+    one of another part, so a part gets the same tokens whatever stands beside it.
+    """
     data = np.frombuffer(block, np.uint8)
     blank = _SPACE[data]
     n = len(data)
@@ -73,7 +77,8 @@ def hashed(block: bytes):
     word = (prefix[end] - prefix[start]) * back[start]
     yield _buckets(word, 0), start
     # a token of its own, as heavy as a word with its n-grams, where a word repeats the last one
-    again = np.repeat(start[1:][word[1:] == word[:-1]], REPEAT_WEIGHT)
+    part = np.searchsorted(at, start, side="right")
+    again = np.repeat(start[1:][(word[1:] == word[:-1]) & (part[1:] == part[:-1])], REPEAT_WEIGHT)
     yield _buckets(np.zeros(len(again), np.uint64), 1), again
     for k in NGRAMS:
         i = np.flatnonzero(blanks[k - 1:n] == blanks[1:n - k + 2]) if n >= k else np.empty(0, np.int64)
@@ -81,12 +86,14 @@ def hashed(block: bytes):
 
 
 def segments(texts: list[bytes | None]):
-    """Blocks of whole words of the texts, up to SEGMENT bytes: (block, its texts, first positions)."""
+    """Blocks of whole words of the texts, up to SEGMENT bytes: (block, the text of each part, first positions).
+
+    A text's parts depend on the text alone; the blocks that hold them depend on the batch."""
     parts, owner, size = [], [], 0
 
     def block():
-        at = np.cumsum([1] + [len(p) + 1 for p in parts])[:-1]
-        return b" " + b" ".join(parts) + b" ", np.array(owner), at
+        at = np.cumsum([0] + [len(p) + 2 for p in parts])[:-1]
+        return b"".join(b" " + p + b" " for p in parts), np.array(owner), at
 
     for k, t in enumerate(texts):
         t, i = t or b"", 0
@@ -107,7 +114,7 @@ def segments(texts: list[bytes | None]):
 
 def counts(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares."""
-    found = [b for block, _, _ in segments([text]) for b, _ in hashed(block)]
+    found = [b for block, _, at in segments([text]) for b, _ in hashed(block, at)]
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.float32)
     idx, n = np.unique(np.concatenate(found), return_counts=True)
@@ -159,11 +166,13 @@ def _maker(shared):
         def fn(texts):
             total, number = np.zeros(len(texts)), np.zeros(len(texts))
             for block, owner, at in segments(texts):
-                for idx, pos in hashed(block):
-                    who = owner[np.maximum(np.searchsorted(at, pos, side="right") - 1, 0)] if len(at) > 1 else \
-                        np.full(len(pos), owner[0])
-                    total += np.bincount(who, table[idx], len(texts))
-                    number += np.bincount(who, minlength=len(texts))
+                sums, tokens = np.zeros(len(at)), np.zeros(len(at))
+                for idx, pos in hashed(block, at):
+                    part = np.searchsorted(at, pos, side="right") - 1
+                    sums += np.bincount(part, table[idx], len(at))
+                    tokens += np.bincount(part, minlength=len(at))
+                np.add.at(total, owner, sums)           # part by part, in the order of the text
+                np.add.at(number, owner, tokens)
             z = total / np.maximum(number, 1) + bias
             return [pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))]
 

@@ -82,15 +82,16 @@ def quantiles(keys: np.ndarray, weights: np.ndarray, parts: int) -> np.ndarray:
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
-                  scratch: Scratch | None = None) -> DataFrame:
-    """doc_id, size, text_crc32, shard, slot for every row."""
+                  scratch: Scratch | None = None, row_col: str | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, shard, slot for every row, and ``uid``: the row's value of ``row_col``, a column
+    of different numbers, if one is named."""
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "sharding")
     text = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
     keyed = scratch.table(docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), (F.length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("h"),
-        F.monotonically_increasing_id().alias("uid")), "keys")
+        (F.col(f"`{row_col}`") if row_col else F.monotonically_increasing_id()).alias("uid")), "keys")
     all_ = keyed.agg(F.count("*").alias("n"), F.sum("size").alias("b")).first()
     n, total = all_.n, all_.b or 0
     ranges = int(min(max(RANGES[0], -(-n // RANGE_ROWS)), RANGES[1]))
@@ -125,18 +126,26 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id",
     middle = 2 * (F.col("bytes") + F.col("before")) + F.col("size")
     shard = F.least(F.floor(middle * shards / F.lit(2 * max(total, 1))), F.lit(shards - 1)).cast("int")
     placed = scratch.table(placed.select("doc_id", "size", "text_crc32", shard.alias("shard"),
-                                         (F.col("rows") + F.col("i")).alias("place")), "placed")
+                                         (F.col("rows") + F.col("i")).alias("place"), *(["uid"] if row_col else [])), "placed")
     first = placed.groupBy("shard").agg(F.min("place").alias("first"))       # one row per shard
     return placed.join(F.broadcast(first), "shard").select(
-        "doc_id", "size", "text_crc32", "shard", (F.col("place") - F.col("first")).cast("long").alias("slot"))
-
-
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str, id_col: str = "doc_id", slice_rows: int = 100_000) -> None:
-    """Writes the documents into one folder per shard, in slices of slots, so that no task holds a shard."""
-    at = assigned.select(F.col("doc_id").alias("_id"), "shard", "slot")
-    rows = docs.join(at, docs[id_col] == at["_id"]).drop("_id")
-    part = F.floor(F.col("slot") / slice_rows)
-    (rows.repartition("shard", part).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path))
+        "doc_id", "size", "text_crc32", "shard", (F.col("place") - F.col("first")).cast("long").alias("slot"),
+        *(["uid"] if row_col else []))
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
+                 slice_rows: int = 100_000) -> None:
+    """Writes the documents into one folder per shard (``_shard``, with their ``_slot``), in slices of slots, so that no
+    task holds a shard. Rows are known by a number that is written with them first, so rows without an id and
+    repeated rows are written as often as they occur."""
+    scratch = Scratch(docs.sparkSession, "shards")
+    rows = scratch.table(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    at = assign_shards(rows, shards, id_col, text_col, scratch, "_row").select(
+        F.col("uid").alias("_row"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
+    part = F.floor(F.col("_slot") / slice_rows)
+    (rows.join(at, "_row").drop("_row").repartition("_shard", part).sortWithinPartitions("_shard", "_slot")
+     .write.partitionBy("_shard").parquet(path))
+    scratch.clear()
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,6 +37,7 @@ from strata.llm.common import Scratch, documents, keyed_min
 SEGMENT_BYTES = 8192
 CHUNK_BYTES = 4096
 FILE_RECORDS = 2000
+PIECE = 1 << 16                             # bytes that are inflated at once
 CAPTURED = "1970-01-01T00:00:00Z"        # the tables have no capture time
 END = b"\r\n"
 
@@ -129,27 +130,59 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 # ---------------------------------------------------------------- reading
 
 def records(data: bytes):
-    """(fields by lower-case name, block) of every record of an uncompressed archive."""
+    """(fields by lower-case name, block, problem or None) of every record of an uncompressed archive; after a
+    damaged record the next one that can be found."""
     i = 0
     while (i := data.find(b"WARC/", i)) >= 0:
-        j = data.index(b"\r\n\r\n", i)
+        j = data.find(b"\r\n\r\n", i)
+        if j < 0:
+            yield {}, b"", "header ends early"
+            return
         fields = {}
         for line in data[i:j].split(END)[1:]:
             k, _, v = line.partition(b":")
-            fields[k.strip().lower().decode()] = v.strip().decode("utf-8", "replace")
-        n = int(fields["content-length"])
-        yield fields, data[j + 4:j + 4 + n]
+            fields[k.strip().lower().decode("utf-8", "replace")] = v.strip().decode("utf-8", "replace")
+        size = fields.get("content-length", "")
+        if not (size.isascii() and size.isdigit()):
+            yield fields, b"", "no content length"
+            i = j + 4
+            continue
+        n = int(size)
+        block = data[j + 4:j + 4 + n]
+        yield fields, block, None if len(block) == n else f"block ends after {len(block)} of {n} bytes"
         i = j + 4 + n
 
 
-def inflate(content: bytes) -> bytes:
-    """All members of a gzip file."""
-    out = []
-    while content[:2] == b"\x1f\x8b":
+def inflate(content: bytes) -> tuple[bytes, str | None]:
+    """(all members of a gzip file, or the content as it is; problem): of a damaged file what comes before the damage."""
+    out, at = [], 0
+    while content[at:at + 2] == b"\x1f\x8b":
         d = zlib.decompressobj(31)
-        out.append(d.decompress(content) + d.flush())
-        content = d.unused_data
-    return b"".join(out) or content
+        try:
+            while not d.eof and at < len(content):
+                out.append(d.decompress(content[at:at + PIECE]))
+                at = min(at + PIECE, len(content)) - len(d.unused_data)
+        except zlib.error as e:
+            return b"".join(out), f"damaged gzip file: {e}"
+        if not d.eof:
+            return b"".join(out), "gzip file ends early"
+    return (b"".join(out) if at else content), None
+
+
+def archive(content: bytes):
+    """Like ``records``, of a file; a file that cannot be read to its end gives a record with the problem."""
+    data, problem = inflate(content)
+    yield from records(data)
+    if problem:
+        yield {}, b"", problem
+
+
+def segment_number(fields: dict) -> int | None:
+    """The number of a segment; None for a record that is no segment, or one whose numbers are damaged."""
+    numbers = [fields.get(k) for k in ("warc-segment-number", "warc-segment-total-length")]
+    origin = fields.get("warc-segment-origin-id") or fields.get("warc-record-id")
+    good = numbers[0] is not None and origin is not None and all(x is None or x.isascii() and x.isdigit() for x in numbers)
+    return int(numbers[0]) if good else None
 
 
 ROW = "page_id string, record_type string, refers_to string, payload_digest string, payload_bytes long, problem string"
@@ -157,7 +190,7 @@ ROW = "page_id string, record_type string, refers_to string, payload_digest stri
 
 def page_row(fields: dict, block: bytes, problem: str | None = None) -> tuple:
     """The row of a page from the fields of its first record and its whole block."""
-    kind, want = fields["warc-type"], fields.get("warc-payload-digest", "").removeprefix("sha1:")
+    kind, want = fields.get("warc-type"), fields.get("warc-payload-digest", "").removeprefix("sha1:")
     refers = fields.get("warc-refers-to", "").removeprefix("<urn:page:").removesuffix(">") or None
     size, got = None, None
     if problem is None:
@@ -194,18 +227,18 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def whole(batches):
         for batch in batches:
             for content in batch.column("content"):
-                yield _batch([page_row(f, b) for f, b in records(inflate(content.as_py()))
-                              if "warc-segment-number" not in f], _ROW)
+                yield _batch([page_row(f, b, p) for f, b, p in archive(content.as_py())
+                              if p or segment_number(f) is None], _ROW)
 
     def segments(batches):
         for batch in batches:
             for content in batch.column("content"):
                 rows = []
-                for f, b in records(inflate(content.as_py())):
-                    if (n := f.get("warc-segment-number")) is None:
+                for f, b, p in archive(content.as_py()):
+                    if p or (n := segment_number(f)) is None:
                         continue
                     total = f.get("warc-segment-total-length")
-                    rows.append((f.get("warc-segment-origin-id") or f["warc-record-id"], int(n), total and int(total),
+                    rows.append((f.get("warc-segment-origin-id") or f["warc-record-id"], n, total and int(total),
                                  f.get("warc-payload-digest"), f.get("x-page-id"), b))
                 yield _batch(rows, _SEGMENT)
 

@@ -94,3 +94,43 @@ def test_features_do_not_depend_on_the_size_of_the_text():
 def test_insults_with_gaps_are_found(gap):
     f = dict(zip(toxicity.FEATURES, features(f"what an {gap.join('idiot')} é said".encode(), Marks())))
     assert f["hidden"] > 0
+
+
+def test_a_score_does_not_depend_on_the_batch():
+    """A row alone, beside any other row, repeated, and in another order gets the same score."""
+    table = np.random.default_rng(5).normal(size=1 << quality_model.BITS)
+
+    class Shared:
+        value = table, 0.1
+
+    fn = quality_model._maker(Shared)()
+    texts = [b"foo bar foo", b"foo bar foo", b"", None, b" \n", b"foo", b"foo foo", b"x y z", b"z", b"end with blank ", b" begin", b"a" * 50]
+    alone = [fn([t])[0][0].as_py() for t in texts]
+    assert alone[0] == alone[1] and alone[2] == alone[3] == alone[4]
+    rnd = random.Random(9)
+    for _ in range(30):
+        order = [rnd.randrange(len(texts)) for _ in range(15)]
+        assert [v.as_py() for v in fn([texts[i] for i in order])[0]] == [alone[i] for i in order]
+
+
+def test_long_texts_score_alike_alone_and_in_a_batch(monkeypatch):
+    monkeypatch.setattr(quality_model, "SEGMENT", 500)
+    test_a_score_does_not_depend_on_the_batch()
+    table = np.random.default_rng(6).normal(size=1 << quality_model.BITS)
+    fn = quality_model._maker(type("Shared", (), {"value": (table, 0.0)}))()
+    long = " ".join(f"w{i % 37} w{i % 37}" for i in range(900)).encode()
+    assert fn([long])[0][0] == fn([b"short", long, b"w1"])[0][1]
+
+
+def test_mixed_words_in_linear_time():
+    import re
+    import time
+
+    literal = re.compile(r"[a-z]+[013457@$*][a-z013457@$*]*|[013457@$]+[a-z*][a-z013457@$*]*")
+    rnd = random.Random(12)
+    for _ in range(3000):
+        text = "".join(rnd.choice("ab01*@2 -\u00e9") for _ in range(rnd.randint(0, 14)))
+        assert hidden_insults(text)[1] == len(literal.findall(text)), text
+    began = time.process_time()
+    features(b"x" * 2_000_000 + b" 1 " + b"0" * 1_000_000, Marks())
+    assert time.process_time() - began < 20

@@ -51,7 +51,13 @@ def test_edges(spark, edge_rows, no_rows):
     assert len(rows) == 10 and {(r.size, r.text_crc32) for r in rows if r.doc_id in (1, 2)} == {(1, 0)}
 
 
-def test_written_shards(spark, tmp_path):
+def test_written_shards(spark, tmp_path, edge_rows):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    write_shards(docs, assign_shards(docs), str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == docs.count()
+    write_shards(docs, str(tmp_path / "out"))
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == docs.count() and out.select("_shard", "_slot").distinct().count() == docs.count()
+    assert sorted(map(str, out.select(*docs.columns).collect())) == sorted(map(str, docs.collect()))
+    # repeated rows and rows without an id, as often as they occur
+    write_shards(edge_rows.unionAll(edge_rows), str(tmp_path / "edges"), shards=3)
+    got = spark.read.parquet(str(tmp_path / "edges")).select(*edge_rows.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, edge_rows.collect() * 2))

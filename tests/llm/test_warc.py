@@ -77,4 +77,30 @@ def test_framing():
     for n in (0, 1, 4095, 4096, 4097, 20_000):
         assert unchunked(chunked(b"k" * n)) == b"k" * n
     parts = list(records(b"".join(r + b"\r\n\r\n" for r in page_records("0.0", "1", None, b"p" * 500, None, 100))))
-    assert [f.get("warc-segment-number") for f, _ in parts] == [str(i + 1) for i in range(len(parts))]
+    assert [f.get("warc-segment-number") for f, _, _ in parts] == [str(i + 1) for i in range(len(parts))]
+
+
+def test_damaged_files_give_rows(spark, tmp_path):
+    import gzip
+
+    good = b"".join(r + b"\r\n\r\n" for i in range(3) for r in page_records(f"0.{i}", str(i), "u", bytes([97 + i]) * 40, None))
+    packed = gzip.compress(good)
+    records_of = [r for r in good.split(b"WARC/1.")][1:]
+    cut = good[:good.rindex(b"Content-Length")]                       # ends inside the HTTP header of the last record
+    files = {"flipped": packed[:len(packed) // 2] + bytes([packed[len(packed) // 2] ^ 255]) + packed[len(packed) // 2 + 1:],
+             "short": packed[:-20], "members": gzip.compress(good[:0]) + packed + gzip.compress(good),
+             "header": b"WARC/1." + records_of[0][:30], "cut": cut,
+             "length": good.replace(b"Content-Length", b"Content-Size", 1), "number": good.replace(b"WARC-Type", b"WARC-Segment-Number: x\r\nWARC-Type", 1),
+             "type": good.replace(b"WARC-Type", b"WARC-Tipe", 1)}
+    got = {}
+    for name, data in files.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.gz").write_bytes(data)
+        got[name] = read_archives(spark, str(tmp_path / name)).collect()
+    assert any("gzip" in (r.problem or "") for r in got["flipped"])
+    assert any("early" in (r.problem or "") for r in got["short"])
+    assert [r.problem for r in got["members"]] == [None] * 6
+    assert [r.problem for r in got["header"]] == ["header ends early"]
+    assert got["cut"][-1].problem and [r.problem for r in got["cut"][:2]] == [None, None]
+    assert sum(r.problem == "no content length" for r in got["length"]) == 1 and sum(r.problem is None for r in got["length"]) == 2
+    assert len(got["number"]) == len(got["type"]) == 3
