@@ -65,7 +65,8 @@ FEATURES = ("learned", "learned_log", "lexicon", "lexicon_log", "near_second", "
 _PUNCT = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 _TO_SPACE = bytes(32 if b in _PUNCT else b for b in range(256))
 _SIGNS = b"0123456789@$*"
-_RUN = re.compile(r"[a-z013457@$*]+")
+# looked for at the beginning of a run of these characters only, never from within one
+_MIXED = re.compile(r"(?<![a-z013457@$*])\**+(?:[a-z]++[013457@$*]|[013457@$]++[a-z*])[a-z013457@$*]*+")
 _APART = re.compile(r"(?<![^\s])(?:[a-z][ .\-_]){3,}[a-z](?![^\s.,!?;:])")
 _BY_LENGTH: dict[int, list[str]] = {}
 for _w in sorted(LEXICON):
@@ -75,10 +76,8 @@ for _w in sorted(LEXICON):
 def hidden_insults(text: str) -> tuple[int, int]:
     """(insults behind signs, masks or gaps; words that mix letters and signs) of a lower-case text."""
     hits = mixed = 0
-    for w in _RUN.findall(text):         # each run once, then looked at as a whole
+    for w in _MIXED.findall(text):
         w = w.lstrip("*")
-        if not w or w.isalpha() or not w.strip("013457@$"):
-            continue
         mixed += 1
         if "*" in w:
             plain = w.translate(LEET)
