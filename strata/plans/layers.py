@@ -26,11 +26,15 @@ from strata.plans.measurement import Model
 from strata.session import ensure_checkpoint_dir
 from strata.sources.landing import land_table, publish_view, stamp_bronze, stamp_layer
 from strata.sources.tables import read_table
-from strata.sources.versions import Publication
+from strata.sources.versions import Layout, Publication
 
 STAGED = ("orders", "lineitem", "customer", "supplier", "nation", "region")
 LINEAGE = ("data_ingestao", "origem", "arquivo_origem", "data_carga_bronze", "origem_tabela")
 SILVER = {"levels": "silver_levels", "rain": "silver_rain", "basins": "silver_basins", "submissions": "dirty_dedup"}
+#: Key and order of the silver tables that later windows and aggregations read by entity (W1-W3): stored
+#: bucketed and sorted. Basins are two members, too few to spread over buckets.
+CO_LOCATED = {"levels": ("cristalizador", "data_medicao"), "rain": ("estacao", "data_registro"),
+              "submissions": ("cristalizador", "data_registro")}
 # In this order: what stands later reads the written tables before it.
 GOLD = ("calendar", "dim_month", "stations", "fluids", "customers", "fact_rain", "fact_evap", "fact_level",
         "monthly", "yearly", "climatology")
@@ -74,8 +78,11 @@ def silver_gate(silver: dict[str, DataFrame]) -> list[DataFrame]:
 
 
 def run_layers(spark: SparkSession, sf_dir: str, base: str | None = None, gate: bool = True,
-               view_prefix: str = "vw_", on_broken: str = "raise") -> dict[str, str]:
-    """Writes and commits every layer and registers the views; returns {layer.table: path or view name}."""
+               view_prefix: str = "vw_", on_broken: str = "raise", buckets: int | None = None) -> dict[str, str]:
+    """Writes and commits every layer and registers the views; returns {layer.table: path or view name}.
+
+    ``buckets`` of the co-located silver tables (default: the session's shuffle partitions).
+    """
     from strata.plans.registry import QUERY_OF, gate_frame
 
     if on_broken not in ("raise", "quarantine"):
@@ -104,7 +111,10 @@ def run_layers(spark: SparkSession, sf_dir: str, base: str | None = None, gate:
     bronze = {t: typed(b.drop(*LINEAGE), source[t]) for t, (_, b) in pairs.items()}
     m = Model(spark, sf_dir, tables=bronze)
     clean = Publication(spark, base, "silver")
-    back = {t: clean.write(stamp_layer(getattr(m, name), "silver"), t).drop("data_carga_silver") for t, name in SILVER.items()}
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid = {t: Layout(*by, n) for t, by in CO_LOCATED.items()}
+    back = {t: clean.write(stamp_layer(getattr(m, name), "silver"), t, layout=laid.get(t)).drop("data_carga_silver")
+            for t, name in SILVER.items()}
     if gate:
         quality.run_checks(silver_gate(back), "silver gate")
     publish(clean)

@@ -10,21 +10,39 @@ A table written with rules is parted in the same pass: good rows under ``aceito=
 break a rule under ``aceito=false`` together with the names of those rules. Rows written and rows
 refused, per rule, are counted by the write itself (``Observation``), not by another scan.
 
+A table written with a ``Layout`` is bucketed by its key and sorted within the buckets (one file each), so that
+windows, aggregations and joins on the key need no shuffle. Spark keeps bucketing in the catalog: the files
+are an external table of the session, declared again from the commit log by whoever reads the
+version. Without that declaration they are plain Parquet files.
+
 One writer per layer at a time (a full refresh is one job); readers may come and go.
 """
 
 from __future__ import annotations
 
 import uuid
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-LOG = "seq long, at timestamp, table string, version string, columns string, rows long, refused long, retired boolean"
+LOG = "seq long, at timestamp, table string, version string, columns string, rows long, refused long, retired boolean, layout string"
 ACCEPTED, BROKEN = "aceito", "regras_violadas"
 
 
+class Layout(NamedTuple):
+    """Buckets by ``key``, sorted by ``key`` and ``sort`` within them. Rows of one key lie in one file, so the
+    key must have many values and a bounded number of rows for each (one a day, say)."""
+
+    key: str
+    sort: str
+    buckets: int
+
+    def clause(self) -> str:
+        return f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`, `{self.sort}`) INTO {self.buckets} BUCKETS"
+
+
 def _log_path(base: str, layer: str) -> str:
     return f"{base.rstrip('/')}/commits/{layer}"
 
@@ -58,10 +76,20 @@ class Publication:
         return f"{self.base}/{self.layer}/{table}/{self.version}"
 
     def write(self, df: DataFrame, table: str, rules: dict[str, Column] | None = None,
-              partition_by: list[str] | None = None) -> DataFrame:
+              partition_by: list[str] | None = None, layout: Layout | None = None) -> DataFrame:
         """Writes ``df`` and returns what was written (the accepted rows); visible to others after ``commit``."""
         rules = rules or {}
+        if layout and (rules or partition_by):
+            raise ValueError("a layout goes with neither rules nor partitions")
         seen = Observation()
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        if layout:
+            # one task per bucket, by the same hash, so that a bucket is one file
+            name = _declare(self.spark, self.path(table), columns, layout.clause())
+            rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+            rows.repartition(layout.buckets, F.col(f"`{layout.key}`")).write.insertInto(name)
+            self.entries.append((table, self.version, columns, seen.get["rows"], 0, False, layout.clause()))
+            return _read(self.spark, self.path(table), columns, layout.clause())
         broken = broken_rules(rules) if rules else F.expr("cast(array() as array<string>)")
         counts = [F.count(F.lit(1)).alias("rows"), F.count_if(F.size(BROKEN) > 0).alias("refused")]
         counts += [F.count_if(F.array_contains(BROKEN, name)).alias(f"r{i}") for i, name in enumerate(rules)]
@@ -72,8 +100,7 @@ class Publication:
         for i, name in enumerate(rules):
             if got[f"r{i}"]:
                 self.refused[table, name] = got[f"r{i}"]
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-        self.entries.append((table, self.version, columns, got["rows"] - got["refused"], got["refused"], False))
+        self.entries.append((table, self.version, columns, got["rows"] - got["refused"], got["refused"], False, None))
         return _read(self.spark, self.path(table), columns)
 
     def commit(self) -> None:
@@ -88,17 +115,28 @@ def _append(spark: SparkSession, base: str, layer: str, entries: list[tuple]) ->
      .coalesce(1).write.mode("append").json(_log_path(base, layer)))
 
 
-def _read(spark: SparkSession, path: str, columns: str, accepted: bool = True) -> DataFrame:
+def _declare(spark: SparkSession, path: str, columns: str, layout: str) -> str:
+    """The session's external table over the bucketed files of a version; its name."""
+    layer, table, version = path.rsplit("/", 3)[1:]
+    name = f"strata_{layer}_{table}_{version}"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING parquet {layout} "
+              f"LOCATION '{path}/{ACCEPTED}=true'")
+    return name
+
+
+def _read(spark: SparkSession, path: str, columns: str, layout: str | None = None, accepted: bool = True) -> DataFrame:
+    if layout and accepted:
+        return spark.table(f"`{_declare(spark, path, columns, layout)}`")
     whole = spark.read.schema(f"{columns}, {BROKEN} array<string>, {ACCEPTED} boolean").parquet(path)
     rows = whole.where(F.col(ACCEPTED) == accepted)
     return rows.drop(ACCEPTED, BROKEN) if accepted else rows.drop(ACCEPTED)
 
 
-def current(spark: SparkSession, base: str, layer: str) -> dict[str, tuple[str, str]]:
-    """{table: (path, columns)} of the last committed versions."""
+def current(spark: SparkSession, base: str, layer: str) -> dict[str, tuple[str, str, str | None]]:
+    """{table: (path, columns, layout)} of the last committed versions."""
     last = (commit_log(spark, base, layer).where("not retired").groupBy("table")
-            .agg(F.max_by(F.struct("version", "columns"), "seq").alias("v")))
-    return {r["table"]: (f"{base.rstrip('/')}/{layer}/{r['table']}/{r['v'].version}", r["v"].columns)
+            .agg(F.max_by(F.struct("version", "columns", "layout"), "seq").alias("v")))
+    return {r["table"]: (f"{base.rstrip('/')}/{layer}/{r['table']}/{r['v'].version}", r["v"].columns, r["v"].layout)
             for r in last.collect()}            # one row per table
 
 
@@ -108,7 +146,7 @@ def read_published(spark: SparkSession, base: str, layer: str, table: str, accep
     found = current(spark, base, layer)
     if table not in found:
         raise LookupError(f"{layer}.{table} was never published under {base}")
-    return _read(spark, *found[table], accepted)
+    return _read(spark, *found[table], accepted=accepted)
 
 
 def retire(spark: SparkSession, base: str, layer: str, keep: int = 2) -> int:
@@ -122,7 +160,9 @@ def retire(spark: SparkSession, base: str, layer: str, keep: int = 2) -> int:
             if (table, r["version"]) not in gone:
                 spark.createDataFrame([], r["columns"]).write.mode("overwrite").parquet(
                     f"{base.rstrip('/')}/{layer}/{table}/{r['version']}")
-                entries.append((table, r["version"], r["columns"], 0, 0, True))
+                if r["layout"]:
+                    spark.sql(f"DROP TABLE IF EXISTS `strata_{layer}_{table}_{r['version']}`")
+                entries.append((table, r["version"], r["columns"], 0, 0, True, r["layout"]))
     if entries:
         _append(spark, base, layer, entries)
     return len(entries)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.guards import LoadGuardError
 from strata.operators.quality import QualityGateError
+from strata.operators import quality
 from strata.plans import layers
 from strata.plans.layers import GOLD, VIEWS, run_layers
 from strata.plans.measurement import Model
@@ -47,6 +48,18 @@ def test_every_layer(spark, done):
     assert spark.table("vw_seasonal_view").count() > 0
 
 
+def test_silver_is_co_located_for_the_lag_and_keep_best(spark, done):
+    base, _ = done
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    silver = {t: read_layer(spark, base, "silver", t).drop("data_carga_silver") for t in layers.CO_LOCATED}
+    lag = Model(spark, SF_SMALL, silver=silver).fact_level
+    assert "Window" in plan(lag) and "Exchange" not in plan(lag)
+    assert _rows(lag) == _rows(Model(spark, SF_SMALL).fact_level)
+    again = quality.dedup_best(silver["submissions"], ["cristalizador", "data_registro"], [F.col("protocolo").desc()])
+    assert "Exchange" not in plan(again) and again.count() == silver["submissions"].count()
+    assert "Exchange" not in plan(quality.coverage(silver["rain"], "estacao", "data_registro"))
+
+
 def test_a_missing_or_empty_source_stops_before_any_write(spark, done, tmp_path):
     base, _ = done
     src = _copy(tmp_path)

@@ -1,11 +1,14 @@
 """Versioned publication: commits, half-written layers, quarantine, retirement, contents, samples."""
 
+import os
+
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators import guards, quality
 from strata.sources.landing import read_layer, sample, write_layer
-from strata.sources.versions import BROKEN, Publication, commit_log, current, read_published, retire
+from strata.sources.versions import ACCEPTED, BROKEN, Layout, Publication, commit_log, current, read_published, retire
 
 
 def test_a_write_killed_half_way_leaves_the_former_version(spark, tmp_path):
@@ -96,3 +99,40 @@ def test_shared_gate_equals_the_single_checks(spark):
                "null_not_zero": lambda: quality.check_null_not_zero(df, args[0], args[1], name, args[2])}[kind]()
         want[name] = one.first().violacoes
     assert got == want and want["fk_fact"] == 2 and want["u_fact"] == 1 and want["p_none"] == 1
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_laid_out_table_needs_no_shuffle_by_its_key(spark, tmp_path):
+    base = str(tmp_path)
+    rows = spark.range(3000).select((F.col("id") % 37).alias("k"), (F.col("id") * 7919 % 3000).alias("d"), F.col("id").alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([(None, 5, 1), (None, None, 2)], "k long, d long, v long"))
+    p = Publication(spark, base, "silver")
+    held = p.write(rows, "t", layout=Layout("k", "d", 8))
+    with pytest.raises(LookupError):
+        read_published(spark, base, "silver", "t")          # written, not committed
+    p.commit()
+    w = Window.partitionBy("k").orderBy("d", "v")
+    lag = lambda df: df.withColumn("before", F.lag("v").over(w))
+    want = sorted(map(str, lag(rows).collect()))
+    assert "Exchange" in _plan(lag(rows))
+    for df in (held, read_published(spark, base, "silver", "t")):
+        assert "Exchange" not in _plan(lag(df)) and sorted(map(str, lag(df).collect())) == want
+        assert "Exchange" not in _plan(df.groupBy("k").agg(F.sum("v")))
+    # another reader has only the log: the table is declared again from it
+    spark.sql(f"DROP TABLE `strata_silver_t_{p.version}`")
+    assert "Exchange" not in _plan(lag(read_published(spark, base, "silver", "t")))
+    assert commit_log(spark, base, "silver").first().rows == 3002
+    # each bucket is one file, and plain Parquet readers see the same rows
+    files = [f for f in os.listdir(f"{p.path('t')}/{ACCEPTED}=true") if f.endswith(".parquet")]
+    assert len(files) <= 8 and sorted(map(str, spark.read.schema("k long, d long, v long").parquet(f"{p.path('t')}/{ACCEPTED}=true").collect())) == sorted(map(str, rows.collect()))
+    assert read_published(spark, base, "silver", "t", accepted=False).count() == 0
+    with pytest.raises(ValueError):
+        p.write(rows, "u", {"v": F.col("v") > 0}, layout=Layout("k", "d", 8))
+    empty = Publication(spark, base, "silver")
+    assert empty.write(rows.limit(0), "t", layout=Layout("k", "d", 8)).count() == 0
+    empty.commit()
+    assert read_published(spark, base, "silver", "t").count() == 0
+    assert retire(spark, base, "silver", keep=1) == 1
