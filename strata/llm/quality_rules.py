@@ -1,12 +1,13 @@
 """Quality rules with compression bands (operator 10).
 
 A document that passes the base rules (enough words, not made of repeated 3-word windows)
-is compressed with zstandard, as a whole and in fixed chunks. Natural text of a given
-length compresses within a band: repeated text compresses far better, random or encoded
-text far worse. A document is rejected when its whole ratio, or the ratios of more than
-``CHUNK_SHARE`` of its chunks, fall outside the band of its length. The lowest ratio is one of
-bytes; the highest is per code point (ratio divided by bytes per code point), since scripts of
-two or three bytes a letter compress that much better without being repetitive.
+is compressed with zstandard, as a whole and in fixed chunks (the last one ends with the text and
+overlaps the one before). Natural text of a given length compresses within a band: repeated text compresses
+far better, random or encoded text far worse. A document is rejected when its whole ratio falls outside the
+band of its length, or when ``NOISE_SHARE`` or more of its chunks lie below the chunk band or more
+than ``REPEAT_SHARE`` above it. The lowest ratio is one of bytes; the highest is per code point (ratio divided
+by bytes per code point), since scripts of two or three bytes a letter compress that much better
+without being repetitive.
 
 Defined results: null and empty texts have no words, so ``n_words`` = 0, ``base_failed`` is
 true, ``ratio`` is null and ``kept`` false. Ties and repeated rows do not matter (each row
@@ -31,18 +32,20 @@ MIN_WORDS = 50
 LEVEL = 3
 CHUNK = 4096
 #: Fixed values: (bytes up to, lowest ratio of original to compressed size of whole texts, highest
-#: ratio per code point). The highest is three times the middle of natural text of that length.
-BANDS = ((512, 1.1, 4.7), (768, 1.2, 5.0), (1024, 1.25, 5.4), (1536, 1.3, 5.7),
-         (2048, 1.35, 5.9), (3072, 1.4, 6.1), (4096, 1.45, 6.3), (8192, 1.5, 6.5),
-         (16384, 1.55, 6.8), (32768, 1.6, 7.0), (131072, 1.6, 7.2), (1 << 62, 1.6, 9.0))
-#: A full chunk of CHUNK bytes has a band of its own; a larger share of bad chunks rejects a text.
-CHUNK_BAND = (1.4, 6.4)
-CHUNK_SHARE = 0.5
+#: ratio per code point). The lowest lies between encoded noise and the densest technical prose of that
+#: length, the highest is three times the middle of natural text.
+BANDS = ((384, 1.1, 4.7), (512, 1.2, 4.7), (768, 1.3, 5.0), (1024, 1.35, 5.4), (1536, 1.4, 5.7),
+         (2048, 1.45, 5.9), (3072, 1.5, 6.1), (4096, 1.52, 6.3), (8192, 1.55, 6.5),
+         (16384, 1.6, 6.8), (32768, 1.6, 7.0), (131072, 1.6, 7.2), (1 << 62, 1.6, 9.0))
+#: The band of a chunk of CHUNK bytes, and the shares of chunks below it that rejects and above it that is kept.
+CHUNK_BAND = (1.5, 6.4)
+NOISE_SHARE, REPEAT_SHARE = 0.25, 0.5
 
 FIELDS = [T.StructField(n, T.LongType()) for n in
           ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")] + [
     T.StructField("base_failed", T.BooleanType()), T.StructField("ratio", T.DoubleType()),
-    T.StructField("bad_chunks", T.DoubleType()), T.StructField("kept", T.BooleanType())]
+    T.StructField("noisy_chunks", T.DoubleType()), T.StructField("repetitive_chunks", T.DoubleType()),
+    T.StructField("kept", T.BooleanType())]
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -86,20 +89,25 @@ def per_point(b: bytes, ratio: float) -> float:
     return ratio * max(len(b.translate(None, FOLLOWING)), 1) / len(b)
 
 
-def compression(b: bytes, size_of) -> tuple[float, float]:
-    """Ratio of the whole text, and the share of full chunks outside the chunk band."""
-    bad = n = 0
-    for i in range(0, len(b) - CHUNK + 1, CHUNK):
+def compression(b: bytes, size_of) -> tuple[float, float, float]:
+    """Ratio of the whole text, and the shares of its chunks below and above the chunk band.
+
+    The last chunk ends with the text; a text shorter than a chunk has none.
+    """
+    low = high = n = 0
+    for i in range(0, len(b) if len(b) >= CHUNK else 0, CHUNK):
         n += 1
-        c = b[i:i + CHUNK]
+        at = min(i, len(b) - CHUNK)
+        c = b[at:at + CHUNK]
         r = CHUNK / size_of(c)
-        bad += r < CHUNK_BAND[0] or per_point(c, r) > CHUNK_BAND[1]
-    return len(b) / size_of(b), bad / n if n else 0.0
+        low += r < CHUNK_BAND[0]
+        high += per_point(c, r) > CHUNK_BAND[1]
+    return len(b) / size_of(b), low / max(n, 1), high / max(n, 1)
 
 
-def within_bands(b: bytes, ratio: float, bad_chunks: float) -> bool:
+def within_bands(b: bytes, ratio: float, noisy: float, repetitive: float) -> bool:
     low, high = next((lo, hi) for top, lo, hi in BANDS if len(b) <= top)
-    return low <= ratio and per_point(b, ratio) <= high and bad_chunks <= CHUNK_SHARE
+    return low <= ratio and per_point(b, ratio) <= high and noisy < NOISE_SHARE and repetitive <= REPEAT_SHARE
 
 
 def _maker():
@@ -114,11 +122,10 @@ def _maker():
             b = t or b""
             s = base_stats(b)
             failed = s[0] < MIN_WORDS or 100 * s[4] > 50 * s[0]
-            ratio, bad = compression(b, size_of) if b else (None, None)
-            rows.append((*s, failed, ratio, bad,
-                         not failed and within_bands(b, ratio, bad)))
+            pressed = compression(b, size_of) if b else (None, None, None)
+            rows.append((*s, failed, *pressed, not failed and within_bands(b, *pressed)))
         cols = list(zip(*rows)) if rows else [()] * len(FIELDS)
-        kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
+        kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
         return [pa.array(c, k) for c, k in zip(cols, kinds)]
 
     return fn
