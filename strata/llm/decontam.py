@@ -10,10 +10,12 @@ Normal form: ASCII letters lower-cased; a word is a run of ASCII letters, digits
 non-ASCII characters. Patterns and texts carry a space at both ends, so only whole words
 match.
 
-The benchmark is a stated item set. Its distinct windows are spread over blocks whose
-normalised size is at most ``BLOCK_BYTES`` (the size is summed by Spark before anything is
-collected); there is one automaton, and one scan, per block, and blocks meet as unions of
-hits, so a larger benchmark costs more scans, never more memory.
+The benchmark is a stated item set. Its distinct (window, item) pairs are spread by hash over blocks of
+about ``BLOCK_BYTES`` (the size is summed by Spark before anything is collected), so a window that very
+many items share is spread as well. The driver holds one block at a time and broadcasts it; there is
+one automaton, and one scan, per block, and blocks meet as unions of hits. With several blocks
+what a scan found is written before the next one begins, so that no task holds two automata: a larger
+benchmark costs more scans, never more memory.
 
 Defined results: null and empty texts have no words: ``n_words`` = ``n_hit`` = ``n_items`` = 0,
 not contaminated. Null or empty items have no window. Repeated rows and items are judged
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import documents, map_text
+from strata.llm.common import Scratch, documents, map_text
 
 WINDOW = 13
 SHARE = 20                       # contaminated: 20 * n_hit >= n_words
@@ -61,24 +64,35 @@ def windows_of(text: bytes | None) -> set[bytes]:
 
 
 def windows(bench: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(window, item_ids as strings) of the distinct windows of the benchmark."""
+    """The distinct (window, item as string) pairs of the benchmark."""
     out = [T.StructField("windows", T.ArrayType(T.BinaryType()))]
 
     def make():
         return lambda texts: [pa.array([sorted(windows_of(t)) for t in texts], pa.list_(pa.binary()))]
 
     made = map_text(bench, text_col, [id_col], out, make).toDF("item", "windows")
-    return (made.select(F.col("item").cast("string").alias("item"), F.explode("windows").alias("window"))
-            .groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items")))
+    return made.select(F.explode("windows").alias("window"), F.col("item").cast("string").alias("item")).distinct()
 
 
-def window_blocks(found: DataFrame) -> list[list[tuple[bytes, list[str]]]]:
-    """The windows in blocks of at most about BLOCK_BYTES, collected block by block."""
-    size = found.agg(F.sum(F.length("window") + 16 * (1 + F.size("items"))).alias("n")).first().n or 0
+def window_blocks(pairs: DataFrame) -> Iterator[tuple[bool, list[tuple[bytes, list[str]]]]]:
+    """(last one?, windows with their items) of one block after the other, each of about BLOCK_BYTES.
+
+    The pairs of a block lie together in cached batches, which the other blocks' reads skip.
+    """
+    entry = F.length("window") + 16 + F.coalesce(F.length("item"), F.lit(0))
+    size = pairs.agg(F.sum(entry).alias("n")).first().n or 0
     k = -(-size // BLOCK_BYTES) or 1
-    dealt = found.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(k)))
-    return [[(bytes(r.window), list(r["items"])) for r in dealt.where(F.col("block") == b).collect()]
-            for b in range(k)]
+    dealt = pairs.withColumn("block", F.pmod(F.xxhash64("window", "item"), F.lit(k)).cast("int"))
+    if k > 1:
+        dealt = dealt.repartition("block").sortWithinPartitions("block")
+    dealt = dealt.persist()
+    try:
+        for b in range(k):
+            rows = (dealt.where(F.col("block") == b).groupBy("window")
+                    .agg(F.array_sort(F.collect_set("item")).alias("items")).collect())
+            yield b == k - 1, [(bytes(r.window), list(r["items"])) for r in rows]
+    finally:
+        dealt.unpersist()
 
 
 def automaton(block):
@@ -128,9 +142,6 @@ def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", car
                   item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """``carry`` columns, then n_words, n_hit, n_items, items_sha256, contaminated, item_ids and
     the code point spans of the hit passages."""
-    found = windows(bench, item_col, item_text).persist()
-    blocks = window_blocks(found)
-    found.unpersist()
     carry, sc = list(carry), docs.sparkSession.sparkContext
     kept = list(dict.fromkeys([*carry, text_col]))
     cur, masks = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(kept)]), []
@@ -150,12 +161,18 @@ def decontaminate(docs: DataFrame, bench: DataFrame, text_col: str = "text", car
 
         return make
 
-    for i, block in enumerate(blocks[1:]):
+    scratch, before = Scratch(docs.sparkSession, "decontam"), None
+    for i, (last, block) in enumerate(window_blocks(windows(bench, item_col, item_text))):
+        shared = sc.broadcast(block)            # at most about BLOCK_BYTES
+        if last:
+            break
         names = cur.columns
-        cur = map_text(cur, text, names, part, partial(sc.broadcast(block))).toDF(
-            *names, f"m{i}", f"i{i}")
+        cur = scratch.table(map_text(cur, text, names, part, partial(shared)).toDF(
+            *names, f"m{i}", f"i{i}"), f"scan{i}")
+        if before:
+            scratch.release(*before)
+        before = f"scan{i}", cur.schema
         masks += [f"m{i}", f"i{i}"]
-    shared = sc.broadcast(blocks[0])
 
     def make():
         machine = automaton(shared.value)
