@@ -4,13 +4,17 @@ Every whole text becomes a short vector of rates (``FEATURES``): density of a le
 and of word beginnings learned from the labels, their hits near a second-person word, the
 same after undoing obfuscations (digits and signs for letters, letters apart, masked letters),
 capitals, punctuation. The learned beginnings are those whose documents are toxic far beyond chance
-(log-likelihood ratio), counted by Spark over the training sample. Gradient-boosted trees on the
-logistic loss are fitted in numpy to a bounded sample of labelled rows; isotonic regression on
-rows set apart from that sample turns the trees' margins into probabilities.
+(log-likelihood ratio), counted by Spark. Gradient-boosted trees on the logistic loss are fitted in numpy;
+isotonic regression turns the trees' margins into probabilities.
 
-The features are computed once, from the whole texts, and written (one narrow row per document);
-the sample and the scores come from there. The sample has at most ``TRAIN_ROWS`` rows of each
-class, chosen by a hash of the id.
+A bounded sample of labelled rows is dealt into parts by a hash of the id. Part 0 calibrates and
+teaches nothing else, so calibration sees margins of texts that no other step has seen. The other parts teach
+the beginnings and the trees, crosswise: a row that trains trees has its learned features from the beginnings
+that the other parts taught, so they are as strong as on new texts. All texts are
+scored with the beginnings that parts 1 to ``FOLDS`` taught together.
+
+Features come from whole texts. The sample has at most ``TRAIN_ROWS`` rows of each class, chosen by
+a hash of the id; what is learned from it is broadcast, and every text is scored in one pass.
 
 Defined results: null, empty and blank texts have all features 0 and are scored like any other.
 Rows without an id are scored and never held out. Repeated rows get equal scores. An empty
@@ -41,7 +45,7 @@ CERTAIN, LIFT = 24.0, 8.0        # least log-likelihood ratio and least lift of
 KNOWN_WORDS = 300_000            # words whose verdict a task keeps before it starts afresh
 NEAR = 8                         # words between an insult and a second person
 TREES, DEPTH, SHRINK, BINS, LEAF = 60, 3, 0.2, 32, 8.0
-CALIBRATION = 4                  # every fourth row of the sample calibrates
+FOLDS = 3                        # parts of the sample that teach; one more of equal size calibrates
 
 #: Common insults, plainly and by language.
 LEXICON = frozenset("""
@@ -132,21 +136,32 @@ def features(raw: bytes | None, marks: Marks) -> tuple[float, ...]:
             (size - len(b.translate(None, _PUNCT))) / size, mixed / n, math.log1p(n))
 
 
-def learned_beginnings(docs: DataFrame, chosen: DataFrame) -> list[str]:
-    """Beginnings of words (whole words as ``=word``) that mark toxic documents of the sample."""
+def part_of(doc_id: Column) -> Column:
+    """The part of the sample, 0 to FOLDS, that a row belongs to: by a hash of its id (not the one that picks the sample)."""
+    return F.pmod(F.xxhash64(F.lit("part"), doc_id), F.lit(FOLDS + 1)).cast("int")
+
+
+def beginning_counts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(part, stem, a, b): toxic and other documents of each part with a word of that beginning (whole words as ``=word``)."""
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]++"))
-    rows = (docs.where("text is not null").join(F.broadcast(chosen), "doc_id")     # at most 2 * TRAIN_ROWS
-            .select("y", words.alias("words")))
+    rows = (docs.where("text is not null").join(F.broadcast(chosen.where("part > 0")), "doc_id")     # at most 2 * TRAIN_ROWS
+            .select("part", "y", words.alias("words")))
     cut = lambda k: F.transform(F.filter("words", lambda w: F.length(w) >= k),
                                 lambda w: F.substring(w, F.lit(1), F.lit(k)))
     whole = F.transform(F.filter("words", lambda w: F.length(w) >= 3), lambda w: F.concat(F.lit("="), w))
     keys = F.array_distinct(F.concat(*[cut(k) for k in STEMS], whole))
-    found = (rows.select("y", F.explode(keys).alias("stem")).groupBy("stem")
-             .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")))
-    size = chosen.agg(F.coalesce(F.sum("y"), F.lit(0)).alias("n1"), F.count("*").alias("n")).first()
+    return (rows.select("part", "y", F.explode(keys).alias("stem")).groupBy("part", "stem")
+            .agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")))
+
+
+def learned_beginnings(counts: DataFrame, chosen: DataFrame, without: int = 0) -> list[str]:
+    """Beginnings that mark toxic documents among the parts that teach, but for the part ``without``."""
+    use = (F.col("part") > 0) & (F.col("part") != without)
+    size = chosen.where(use).agg(F.coalesce(F.sum("y"), F.lit(0)).alias("n1"), F.count("*").alias("n")).first()
     n1, n0 = size.n1, size.n - size.n1
     if not n1 or not n0:
         return []
+    found = counts.where(use).groupBy("stem").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     a, b, share = F.col("a"), F.col("b"), n1 / (n1 + n0)
     term = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
     ratio = 2 * (term(a, (a + b) * share) + term(b, (a + b) * (1 - share)))
@@ -261,21 +276,26 @@ class Model:
 
 # ---------------------------------------------------------------- the operator
 
-def dense_features(docs: DataFrame, learned: list[str], text_col: str = "text", carry=("doc_id",)) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(learned)       # at most LEARNED words
+def dense_features(docs: DataFrame, learned: dict[int, list[str]], text_col: str = "text", carry=("doc_id",),
+                   part: str | None = None) -> DataFrame:
+    """``carry`` and the features; the beginnings are those of the row's ``part`` (a column of ``carry``), or of 0."""
+    shared = docs.sparkSession.sparkContext.broadcast(learned)       # at most LEARNED words for each part
 
     def make():
-        marks = Marks(shared.value)
-
-        def fn(texts):
-            rows = np.array([features(t, marks) for t in texts], float).reshape(-1, len(FEATURES))
-            if len(marks) > KNOWN_WORDS:
-                marks.clear()
+        marks = {k: Marks(v) for k, v in shared.value.items()}
+
+        def fn(texts, parts=None):
+            rows = np.array([features(t, marks[k]) for t, k in zip(texts, parts or [0] * len(texts))],
+                            float).reshape(-1, len(FEATURES))
+            for m in marks.values():
+                if len(m) > KNOWN_WORDS:
+                    m.clear()
             return [pa.array(rows[:, i]) for i in range(len(FEATURES))]
 
         return fn
 
-    return map_text(docs, text_col, carry, [T.StructField(f, T.DoubleType()) for f in FEATURES], make)
+    return map_text(docs, text_col, carry, [T.StructField(f, T.DoubleType()) for f in FEATURES], make,
+                    also=[part] if part else [])
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -283,12 +303,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """doc_id, held_out, score, predicted and the features for every row of ``docs``."""
     named = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     scratch = scratch or Scratch(docs.sparkSession, "toxicity")
-    chosen = scratch.table(train_sample(labels, "toxic", PARTS, HELD, TRAIN_ROWS), "chosen")
-    dense = scratch.table(dense_features(named, learned_beginnings(named, chosen)), "features")
-    rows = (dense.join(F.broadcast(chosen), "doc_id")            # at most 2 * TRAIN_ROWS narrow rows
-            .orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(2 * TRAIN_ROWS).toPandas())
+    chosen = scratch.table(train_sample(labels, "toxic", PARTS, HELD, TRAIN_ROWS)
+                           .withColumn("part", part_of(F.col("doc_id"))), "chosen")     # at most 2 * TRAIN_ROWS narrow rows
+    counts = scratch.table(beginning_counts(named, chosen), "counts")
+    learned = {k: learned_beginnings(counts, chosen, without=k) for k in range(FOLDS + 1)}
+    sample = dense_features(named.join(F.broadcast(chosen), "doc_id"), learned, carry=("doc_id", "y", "part"), part="part")
+    rows = sample.orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(2 * TRAIN_ROWS).toPandas()
     x, y = rows[list(FEATURES)].to_numpy(float).reshape(-1, len(FEATURES)), rows["y"].to_numpy(float)
-    shared = docs.sparkSession.sparkContext.broadcast(Model(x, y, np.arange(len(y)) % CALIBRATION == 0))
+    shared = docs.sparkSession.sparkContext.broadcast(Model(x, y, (rows["part"] == 0).to_numpy(bool)))
+    dense = dense_features(named, {0: learned[0]})
 
     def run(batches):
         model = shared.value

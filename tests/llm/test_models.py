@@ -3,10 +3,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strata.llm import quality_model, toxicity
 from strata.llm.quality_model import counts, op4_quality_model, score_quality
-from strata.llm.toxicity import Marks, Trees, features, hidden_insults, isotonic, op6_toxicity, score_toxicity
+from strata.llm.toxicity import FOLDS, Marks, Trees, features, hidden_insults, isotonic, op6_toxicity, part_of, score_toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -28,6 +29,27 @@ def test_held_out_accuracy(spark, query, label, parts, held, least):
         assert r.predicted == int(r.score >= (0.5 if parts == 3 else 0.3))
     test = [(label[r.doc_id], r.score) for r in rows if r.held_out and r.doc_id in label]
     assert auc(*zip(*test)) > least
+    if parts == 4:                                          # calibrated on rows that taught nothing
+        y, p = (np.array(v, float) for v in zip(*sorted(test, key=lambda t: t[1])))
+        error = sum(abs(p[k].mean() - y[k].mean()) * len(k) for k in np.array_split(np.arange(len(y)), 10)) / len(y)
+        assert error < 0.03
+
+
+def test_the_parts_of_the_toxicity_sample(spark):
+    docs = spark.createDataFrame([(i, f"zapper{'x' * (i % 5)} plain") for i in range(200)], "doc_id long, text string")
+    chosen = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("y"), part_of(F.col("doc_id")).alias("part"))
+    assert {r.part for r in chosen.collect()} == set(range(FOLDS + 1))
+    counts = toxicity.beginning_counts(docs, chosen)
+    got = {(r.part, r.stem): (r.a, r.b) for r in counts.collect()}
+    taught = {r.part: (r.a, r.b) for r in chosen.groupBy("part").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).collect()}
+    assert not any(k[0] == 0 for k in got)                  # calibration teaches nothing
+    for k in range(1, FOLDS + 1):
+        assert got[k, "zappe"] == got[k, "=plain"] == taught[k]
+    # a word of one part only is learned by all parts but that one
+    marked = docs.join(chosen, "doc_id").withColumn("text", F.expr("if(part = 1 and y = 1, 'quixotic words', text)")).select("doc_id", "text")
+    counts = toxicity.beginning_counts(marked, chosen)
+    assert "=quixotic" in toxicity.learned_beginnings(counts, chosen)
+    assert "=quixotic" not in toxicity.learned_beginnings(counts, chosen, without=1)
 
 
 @pytest.mark.parametrize("score, most", [(score_quality, quality_model), (score_toxicity, toxicity)])
