@@ -78,3 +78,16 @@ folds AS (SELECT doc_id, leaf, leaves.t, sha256(coalesce(proof, '')) AS proof_sh
     lambda x, s: {{'a': sha256(s.a || x.a || s.b), 'b': ''}}).a AS folded_root FROM leaves LEFT JOIN proofs USING (t, i))
 SELECT doc_id, leaf, s.digest AS subroot, (SELECT digest FROM top WHERE n = 1) AS root, proof_sha256, folded_root,
   folded_root = (SELECT digest FROM top WHERE n = 1) AS verified FROM folds JOIN subroots s USING (t)"""
+
+_BASE32 = string.ascii_uppercase + "234567"
+
+# five hexadecimal digits make up four of base32
+WARC = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, payload, sha1(payload) AS h, MIN(page_id) OVER (PARTITION BY payload) AS first FROM p)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  array_to_string([substr('{_BASE32}', 1 + ((CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS INTEGER) >> (15 - 5 * (i % 4))) & 31), 1)
+                   FOR i IN range(0, 32)], '') AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to, CAST(NULL AS VARCHAR) AS problem
+FROM d"""

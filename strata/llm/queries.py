@@ -25,5 +25,5 @@ QUERIES = {
     "op13_whitening": whitening.op13_whitening,
 }
 
-ORACLE: dict[str, str] = {"op1_decontam": oracles.DECONTAM, "op3_near_dedup": oracles.NEAR_DEDUP,
+ORACLE: dict[str, str] = {"op1_decontam": oracles.DECONTAM, "op3_near_dedup": oracles.NEAR_DEDUP, "op8_warc": oracles.WARC,
                           "op11_exact_dedup": oracles.EXACT_DEDUP, "op12_merkle": oracles.MERKLE}
