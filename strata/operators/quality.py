@@ -288,58 +288,96 @@ def _key_hash(cols: list[Column]) -> tuple[Column, Column]:
     return F.xxhash64(*text), F.xxhash64(F.lit(1), *text)
 
 
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _key(kinds: list[str], cols: list[str]) -> tuple[Column, Column]:
+    """Two numbers that tell the keys of ``cols``: the values themselves where all are whole numbers or dates and two at
+    most (``kinds``: the types on each side of the check), else a hash of the texts."""
+    if len(cols) > 2 or not all(k == "date" or k in _WHOLE for k in kinds):
+        return _key_hash([F.col(c) for c in cols])
+    value = lambda c, k: (F.unix_date(F.col(c)) if k == "date" else F.col(c)).cast("bigint")
+    own = [value(c, k) for c, k in zip(cols, kinds)]
+    return own[0], own[1] if len(own) > 1 else F.lit(0).cast("bigint")
+
+
 def shared_gate(checks: list[tuple], table) -> DataFrame:
     """(verificacao, violacoes) of many checks with one scan per table.
 
     ``checks`` are (name, kind, table, args) of ``SHARED_KINDS``; ``table`` gives the frame of a name. Every row
-    of a table is turned into what its checks want to know of it: (check, side, key hash) for a
+    of a table is turned into what its checks want to know of it: (check, side, key) for a
     uniqueness key, a member or a foreign key, and one entry for each rule that it breaks. Entries of all tables
     meet in one aggregation by (check, key), with map-side combine, so a foreign key sends each distinct value once per
-    task; a fact is read once for all of its keys, a dimension once for all facts. Keys are known by 128-bit hashes.
+    task; a fact is read once for all of its keys, a dimension once for all facts. Keys of one or two whole numbers
+    or dates stand for themselves, others are known by 128-bit hashes. Entries are generated by compiled code
+    and those that do not apply are filtered after it: a higher-order function here would be interpreted for every row.
+
+    A table that is only asked for unique keys is grouped by its own columns: its rows then stay where
+    a table built by the same key has them, instead of going through the exchange of the entries.
     """
+    frames = {t: table(t) for _, _, t, _ in checks}
+    frames.update({args[1]: table(args[1]) for _, kind, _, args in checks if kind == "fk" and args[1] not in frames})
+    kinds_of = {t: dict(df.dtypes) for t, df in frames.items()}
+    asked: dict[str, set[str]] = {}
+    for _, kind, t, args in checks:
+        asked.setdefault(t, set()).add(kind)
+        if kind == "fk":
+            asked.setdefault(args[1], set()).add("member")
     entries: dict[str, list[Column]] = {}
+    alone = []
+    none = (F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
 
-    def add(name, check, key=None, side=0, when=None):
-        h = _key_hash(key) if key else (F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
-        e = F.struct(F.lit(check).alias("verificacao"), F.lit(side).alias("lado"), h[0].alias("h1"), h[1].alias("h2"))
-        entries.setdefault(name, []).append(e if when is None else F.when(when, e))
+    def add(t, check, key=none, side=0, when=None):
+        e = F.struct(F.lit(check).alias("check"), F.lit(side).alias("lado"), key[0].alias("h1"), key[1].alias("h2"))
+        entries.setdefault(t, []).append(e if when is None else F.when(when, e))
 
-    for name, kind, t, args in checks:
+    for i, (name, kind, t, args) in enumerate(checks):
         if kind == "unique":
-            add(t, name, [F.col(c) for c in args])
+            if asked[t] == {"unique"}:
+                alone.append(frames[t].groupBy(*args).agg(F.count(F.lit(1)).alias("n"))
+                             .agg(F.lit(i).alias("check"), F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated"),
+                                  F.count(F.lit(1)).alias("distinct"), F.lit(0).cast("bigint").alias("orphans")))
+            else:
+                add(t, i, _key([kinds_of[t][c] for c in args], args))
         elif kind == "cardinality":
-            add(t, name, [F.col(args[0])], when=F.col(args[0]).isNotNull())
+            add(t, i, _key([kinds_of[t][args[0]]], [args[0]]), when=F.col(args[0]).isNotNull())
         elif kind == "range":
-            add(t, name, when=~range_rule(*args))
+            add(t, i, when=~range_rule(*args))
         elif kind == "rule":
-            add(t, name, when=~F.expr(args))
+            add(t, i, when=~F.expr(args))
         elif kind == "null_not_zero":
             covered, measures, other = args
             wrong = [F.col(x).isNotNull() for x in measures] + ([~F.col(other)] if other else [])
-            add(t, name, when=~F.col(covered) & reduce(Column.__or__, wrong))
+            add(t, i, when=~F.col(covered) & reduce(Column.__or__, wrong))
         elif kind == "presence":
-            add(t, name, when=F.col(args))
+            add(t, i, when=F.col(args))
         elif kind == "fk":
             col, dim, dim_col = args
-            add(t, name, [F.col(col)])
-            add(dim, name, [F.col(dim_col)], side=1, when=F.col(dim_col).isNotNull())
+            own, theirs = kinds_of[t][col], kinds_of[dim][dim_col]
+            both = "date" if own == theirs == "date" else "bigint" if own in _WHOLE and theirs in _WHOLE else "string"
+            add(t, i, _key([both], [col]))
+            add(dim, i, _key([both], [dim_col]), side=1, when=F.col(dim_col).isNotNull())
         else:
             raise ValueError(kind)
-    told = [table(t).select(F.inline(F.array_compact(F.array(*es)))) for t, es in entries.items()]
-    keys = reduce(DataFrame.unionAll, told).groupBy("verificacao", "h1", "h2").agg(
-        F.count_if(F.col("lado") == 0).alias("n"), F.count_if(F.col("lado") == 1).alias("members"))
-    found = keys.groupBy("verificacao").agg(
-        F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated"), F.count_if(F.col("n") > 0).alias("distinct"),
-        F.sum(F.when(F.col("members") == 0, F.col("n"))).alias("orphans"))
+    told = [frames[t].select(F.inline(F.array(*es))).where(F.col("check").isNotNull()) for t, es in entries.items()]
+    spark = next(iter(frames.values())).sparkSession
+    found = alone
+    if told:
+        keys = reduce(DataFrame.unionAll, told).groupBy("check", "h1", "h2").agg(
+            F.count_if(F.col("lado") == 0).alias("n"), F.count_if(F.col("lado") == 1).alias("members"))
+        found = [keys.groupBy("check").agg(
+            F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated"), F.count_if(F.col("n") > 0).alias("distinct"),
+            F.sum(F.when(F.col("members") == 0, F.col("n"))).alias("orphans")), *alone]
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    wanted = told[0].sparkSession.createDataFrame(
-        [(name, kind, args[1] if kind == "cardinality" else None) for name, kind, _, args in checks],
-        "verificacao string, kind string, expected long")            # one row per check
+    wanted = spark.createDataFrame(
+        [(i, name, kind, args[1] if kind == "cardinality" else None) for i, (name, kind, _, args) in enumerate(checks)],
+        "check int, verificacao string, kind string, expected long")            # one row per check
     kind = F.col("kind")
     count = (F.when(kind == "unique", zero("repeated")).when(kind == "fk", zero("orphans"))
              .when(kind == "cardinality", F.abs(zero("distinct") - F.col("expected")))
              .when(kind == "presence", (zero("rows") == 0).cast("bigint")).otherwise(zero("rows")))
-    return wanted.join(found, "verificacao", "left").select("verificacao", count.cast("bigint").alias("violacoes"))
+    return (wanted.join(reduce(DataFrame.unionByName, found), "check", "left")
+            .select("verificacao", count.cast("bigint").alias("violacoes")))
 
 
 class QualityGateError(RuntimeError):

@@ -31,6 +31,11 @@ class Model:
         self.__dict__.update(gold or {})        # a cached property that is set already
         self._tables: dict[str, DataFrame] = dict(tables or {})
         self._silver = silver or {}
+        self._written = bool(silver or gold)
+
+    def sharing(self) -> Model:
+        """The model for a query that reads the levels and their changes several times; this one if it has written tables."""
+        return self if self._written else SharedModel(self.spark, self.sf_dir, tables=self._tables)
 
     def table(self, name: str) -> DataFrame:
         """One scan definition per table (file listing and schema read once)."""
@@ -249,3 +254,20 @@ class Model:
     def climatology(self) -> DataFrame:
         return stats.compare_climatology(self.month_means, spec.BASE_YEARS, spec.STUDY_YEAR,
                                          season=spec.SEASON)
+
+
+class SharedModel(Model):
+    """Model for a query that reads the levels and their changes several times.
+
+    Both are frames that count some of their rows (``Dataset.observe``): neither filters nor the pruning of the
+    counted column pass that, so every reader wants the same of what lies below, and Spark
+    shuffles the levels once by (entity, day) and once by entity for all of them.
+    """
+
+    @cached_property
+    def silver_levels(self) -> DataFrame:
+        return super().silver_levels.observe("silver_levels", F.count(F.lit(1)).alias("linhas"))
+
+    @cached_property
+    def fact_level(self) -> DataFrame:
+        return super().fact_level.observe("fact_level", F.count_if("flag_base_zerada").alias("pos_zerada"))

@@ -104,3 +104,37 @@ def test_date_gaps(spark):
     assert got == [("A", d(2020, 1, 2))]
     pair = sorted(tuple(r) for r in Q.date_gaps_pair(df, "e", "data", "A", "B").collect())
     assert pair == [("A", "B", d(2020, 1, 1)), ("B", "A", d(2020, 1, 2)), ("B", "A", d(2020, 1, 4))]
+
+
+def test_gate_shuffles_the_levels_once(spark):
+    import re
+
+    from strata.plans.registry import QUERIES
+    from small_tables import SF_SMALL
+    gate = QUERIES["quality_checks"](spark, SF_SMALL)
+    gate.collect()
+    plan = gate._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    by = lambda keys: set(re.findall(rf"Exchange hashpartitioning\({keys}, 8\).*?plan_id=(\d+)", plan))
+    assert len(by(r"cristalizador#\d+L?, data_medicao#\d+")) == 1       # from the line items, for all readers
+    assert len(by(r"cristalizador#\d+L?")) == 1                         # for the lag, for all readers
+    assert "inline(array(" in plan and "inline(knownnotcontainsnull(filter(array(" not in plan       # compiled entries
+
+
+def test_shared_gate_keys_with_nulls_and_mixed_types(spark):
+    day = dt.date(2020, 1, 1)
+    t = spark.createDataFrame([(None, 5, "1", day), (5, None, "1", None), (5, 6, None, day), (5, 6, None, day), (None, None, "2", None),
+                               (None, None, "2", None)], "a int, b long, s string, d date")
+    dim = spark.createDataFrame([(5, "2", day), (5, None, None)], "k long, s string, d date")
+    tables = {"t": t, "dim": dim, "only": t}
+    checks = [("u_ab", "unique", "t", ["a", "b"]), ("u_sd", "unique", "t", ["s", "d"]), ("u_abd", "unique", "t", ["a", "b", "d"]),
+              ("only_ab", "unique", "only", ["a", "b"]), ("only_s", "unique", "only", ["s"]),
+              ("fk_number", "fk", "t", ("a", "dim", "k")), ("fk_text", "fk", "t", ("s", "dim", "s")), ("fk_day", "fk", "t", ("d", "dim", "d")),
+              ("fk_mixed", "fk", "t", ("s", "dim", "k")), ("members", "cardinality", "t", ("d", 3)), ("rule", "rule", "t", "b <> 6")]
+    got = {r.verificacao: r.violacoes for r in Q.shared_gate(checks, tables.get).collect()}
+    assert got == {"u_ab": 2, "u_sd": 2, "u_abd": 2, "only_ab": 2, "only_s": 3, "fk_number": 3, "fk_text": 4, "fk_day": 3,
+                   "fk_mixed": 6, "members": 2, "rule": 2}
+    alone = {r.verificacao: r.violacoes for r in Q.shared_gate(checks[3:5], tables.get).collect()}
+    assert alone == {"only_ab": 2, "only_s": 3}
+    empty = {k: v.limit(0) for k, v in tables.items()}
+    assert {r.verificacao: r.violacoes for r in Q.shared_gate(checks, empty.get).collect()} == {
+        c[0]: 3 if c[0] == "members" else 0 for c in checks}
