@@ -130,12 +130,21 @@ def bitmap(keys: DataFrame, key: Column, bits: int) -> DataFrame:
             .agg(F.bitmap_construct_agg(slot % _BITS).alias("_map")))
 
 
-def maybe_in(df: DataFrame, key: Column, made: DataFrame, bits: int) -> DataFrame:
-    """The rows of ``df`` whose key may be among those of ``made = bitmap(...)``: all that are, and a few
-    that are not. The bitmap is broadcast; its size is bounded by ``bits``, whatever the data."""
+def _bit(df: DataFrame, key: Column, made: DataFrame, bits: int, how: str) -> DataFrame:
+    """``df`` with ``_bit``: whether the hash of its key is set in ``made`` (null where a left join finds no row of it)."""
     slot = F.pmod(F.xxhash64(key), F.lit(bits))
     byte = F.conv(F.hex(F.substring("_map", (F.floor(F.col("_slot") % _BITS / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     held = df.withColumn("_slot", slot).withColumn("_bucket", F.floor(F.col("_slot") / _BITS).cast("int"))
-    return (held.join(F.broadcast(made), "_bucket")
-            .where(F.pmod(F.floor(byte / F.pow(F.lit(2), F.col("_slot") % 8)), F.lit(2)) == 1)
-            .drop("_slot", "_bucket", "_map"))
+    bit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.col("_slot") % 8)), F.lit(2)) == 1
+    return held.join(F.broadcast(made), "_bucket", how).withColumn("_bit", bit).drop("_slot", "_bucket", "_map")
+
+
+def maybe_in(df: DataFrame, key: Column, made: DataFrame, bits: int) -> DataFrame:
+    """The rows of ``df`` whose key may be among those of ``made = bitmap(...)``: all that are, and a few
+    that are not. The bitmap is broadcast; its size is bounded by ``bits``, whatever the data."""
+    return _bit(df, key, made, bits, "inner").where("_bit").drop("_bit")
+
+
+def surely_not_in(df: DataFrame, key: Column, made: DataFrame, bits: int) -> DataFrame:
+    """The other rows of ``df``, those that ``maybe_in`` leaves out."""
+    return _bit(df, key, made, bits, "left").where(~F.coalesce("_bit", F.lit(False))).drop("_bit")

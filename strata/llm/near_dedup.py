@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import Scratch, documents, keyed_min, map_text
+from strata.llm.common import Scratch, bitmap, documents, keyed_min, map_text, maybe_in, surely_not_in
 
 K = 5
 THRESHOLD_NUM, THRESHOLD_DEN = 75, 100
@@ -44,6 +44,7 @@ BASE, RATE, Q = 1.001, 20.0, (1 << 16) - 2
 SIGMAS = 6
 BLOCK = 512                  # rows of a bucket block compared at once
 SET_BLOCK = 128              # full sets of a block
+ID_BITS = 1 << 26            # of the bitmaps of ids, 8 MB
 FEW = 2                      # likely pairs of a row with one component that are confirmed singly
 #: Lowest estimate that can belong to a linked pair: six standard deviations below 0.75.
 LEAST = 0.75 - SIGMAS * math.sqrt(0.75 * 0.25 / M)
@@ -472,10 +473,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def shingle_sets(docs, rows, scratch, id_col, text_col) -> DataFrame:
-    """(id, shingles) of the rows that share a bucket, computed from the whole texts."""
-    ids = rows.select("id").distinct()
+    """(id, shingles) of the rows that share a bucket, computed from the whole texts. A bitmap of the
+    ids keeps most other texts out of the join."""
+    ids = scratch.table(rows.select("id").distinct(), "shared-ids")
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    texts = src.join(ids, "id", "left_semi")
+    made = scratch.table(bitmap(ids, F.col("id"), ID_BITS), "shared-bitmap")
+    near = maybe_in(src, F.col("id"), made, ID_BITS)
+    texts = near.join(ids, "id", "left_semi")
     made = map_text(texts, "text", ["id"], [T.StructField("shingles", T.BinaryType())], _set_maker)
     return scratch.table(made.groupBy("id").agg(F.any_value("shingles").alias("shingles")), "sets")
 
@@ -486,15 +490,21 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays (the one with the smallest id); of
-    repeated rows one stays as well. Rows without an id cannot be told apart: all stay if one does."""
+    repeated rows one stays as well. Rows without an id cannot be told apart: all stay if one does.
+
+    Of most ids one row stays, and nothing is to be done. Only the others are told by a join; a bitmap of them lets
+    every document that is surely none of them pass as it is read, so its text enters no shuffle.
+    """
     scratch = Scratch(spark, "near-dedup-stage")
     inner = Scratch(spark, "near-dedup")
-    kept = scratch.table(near_duplicates(docs, scratch=inner).where("kept").select(F.col("doc_id").alias("_kept")), "kept")
+    per = near_duplicates(docs, scratch=inner).groupBy(F.col("doc_id").alias("_id")).agg(F.count_if("kept").alias("_kept"))
+    odd = scratch.table(per.where("_kept <> 1"), "odd")
     inner.clear()                   # only the ids are read from here on
-    counted = kept.groupBy("_kept").agg(F.count("*").alias("_rows"))
-    repeated = counted.where("_rows > 1").select("_kept")
-    same = docs["doc_id"].eqNullSafe(counted["_kept"])
+    made = scratch.table(bitmap(odd, F.col("_id"), ID_BITS), "odd-bitmap")
+    others = maybe_in(docs, F.col("doc_id"), made, ID_BITS)
+    same = docs["doc_id"].eqNullSafe(odd["_id"])
+    once = surely_not_in(docs, F.col("doc_id"), made, ID_BITS).unionAll(others.join(odd, same, "left_anti"))
+    repeated = odd.where("_kept > 1")
     if repeated.isEmpty():
-        return docs.join(counted.select("_kept"), same, "left_semi")
-    once = docs.join(counted.where("_rows = 1").select("_kept"), same, "left_semi")
-    return once.unionAll(docs.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+        return once
+    return once.unionAll(others.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))

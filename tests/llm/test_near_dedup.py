@@ -1,7 +1,9 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from strata.llm.common import bitmap, maybe_in, surely_not_in
 from strata.llm.near_dedup import M, estimate, minima, near_duplicates, registers, shingles, stage
 
 
@@ -83,3 +85,49 @@ def test_sketches_merge_and_estimate():
         got = estimate(np.array([(p > q).sum()]), np.array([(p < q).sum()]), np.array([n]), np.array([n]))[0]
         errors.append(abs(got - j) / np.sqrt(j * (1 - j) / M))
     assert max(errors) < 4.5
+
+
+def test_stage_shuffles_only_the_texts_of_odd_ids(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("text", F.concat("text", F.lit(" end")))
+    docs.write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")        # as for a table of any size
+    try:
+        found = stage(spark, docs, "")
+        plan = found._jdf.queryExecution().sparkPlan()
+        assert plan.nodeName() == "Union"
+        first = plan.children().head().toString()       # what passes as it is read
+        assert "BroadcastHashJoin" in first and "SortMergeJoin" not in first
+        got = sorted(r.doc_id for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert got == sorted(d for d, _, _, kept in brute([(r.doc_id, r.text) for r in docs.collect()]) if kept)
+
+
+def test_stage_is_exact_when_the_bitmap_is_full(spark, monkeypatch):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(900)]
+    rows = [(i, " ".join(rnd.choices(words, k=40))) for i in range(60)]
+    rows += [(100 + i, rows[i][1]) for i in range(0, 60, 4)]        # copies that go
+    rows += [rows[1], rows[1], rows[2], (3, "another text " * 9), (None, None), (None, ""), (None, rows[5][1]), (70, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = [r for r in rows if r[0] is None or r[0] < 100]
+    want = sorted(map(str, [r for r in want if want.count(r) == 1] + [rows[1], rows[2]]))
+    for bits in (1 << 26, 8):
+        monkeypatch.setattr("strata.llm.near_dedup.ID_BITS", bits)
+        assert sorted(str(tuple(r)) for r in stage(spark, docs, "").collect()) == want
+
+
+def test_the_two_sides_of_a_bitmap(spark):
+    keys = spark.createDataFrame([(k,) for k in (*range(0, 3000, 7), None)], "k long")
+    rows = spark.range(5000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("x").alias("v"))
+    for bits in (1 << 26, 1 << 15, 64):
+        made = bitmap(keys, F.col("k"), bits)
+        may = {r.k for r in maybe_in(rows, F.col("k"), made, bits).collect()}
+        rest = surely_not_in(rows, F.col("k"), made, bits)
+        assert rest.columns == rows.columns and {None, *range(7, 3000, 7)} <= may
+        got = [r.k for r in rest.collect()]
+        assert len(got) + len(may) == 5000 and not may & set(got)
+    nothing = bitmap(keys.limit(0), F.col("k"), 1 << 26)
+    assert surely_not_in(rows, F.col("k"), nothing, 1 << 26).count() == 5000
