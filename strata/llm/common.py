@@ -130,21 +130,34 @@ def bitmap(keys: DataFrame, key: Column, bits: int) -> DataFrame:
             .agg(F.bitmap_construct_agg(slot % _BITS).alias("_map")))
 
 
-def _bit(df: DataFrame, key: Column, made: DataFrame, bits: int, how: str) -> DataFrame:
-    """``df`` with ``_bit``: whether the hash of its key is set in ``made`` (null where a left join finds no row of it)."""
+PIECE = 64                      # bytes of a row of ``pieces``
+
+
+def pieces(made: DataFrame) -> DataFrame:
+    """A bitmap in rows of PIECE bytes, empty ones left out: a join copies the row it meets for every
+    row of the other side, which for rows of 4,096 bytes is more than most texts have."""
+    n = _BITS // 8 // PIECE
+    parts = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(
+        (F.col("_bucket") * n + i).alias("_bucket"), F.substring("_map", i * PIECE + 1, F.lit(PIECE)).alias("_map")))
+    return made.select(F.inline(parts)).where(F.col("_map") != F.lit(bytes(PIECE)))
+
+
+def _bit(df: DataFrame, key: Column, made: DataFrame, bits: int, how: str, width: int) -> DataFrame:
+    """``df`` with ``_bit``: whether the hash of its key is set in ``made``, whose rows have ``width`` bits
+    (null where a left join finds no row of it)."""
     slot = F.pmod(F.xxhash64(key), F.lit(bits))
-    byte = F.conv(F.hex(F.substring("_map", (F.floor(F.col("_slot") % _BITS / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    held = df.withColumn("_slot", slot).withColumn("_bucket", F.floor(F.col("_slot") / _BITS).cast("int"))
+    byte = F.conv(F.hex(F.substring("_map", (F.floor(F.col("_slot") % width / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    held = df.withColumn("_slot", slot).withColumn("_bucket", F.floor(F.col("_slot") / width).cast("int"))
     bit = F.pmod(F.floor(byte / F.pow(F.lit(2), F.col("_slot") % 8)), F.lit(2)) == 1
     return held.join(F.broadcast(made), "_bucket", how).withColumn("_bit", bit).drop("_slot", "_bucket", "_map")
 
 
-def maybe_in(df: DataFrame, key: Column, made: DataFrame, bits: int) -> DataFrame:
-    """The rows of ``df`` whose key may be among those of ``made = bitmap(...)``: all that are, and a few
+def maybe_in(df: DataFrame, key: Column, made: DataFrame, bits: int, width: int = _BITS) -> DataFrame:
+    """The rows of ``df`` whose key may be among those of ``made = bitmap(...)`` (``pieces`` of it: ``width`` 8 PIECE): all that are, and a few
     that are not. The bitmap is broadcast; its size is bounded by ``bits``, whatever the data."""
-    return _bit(df, key, made, bits, "inner").where("_bit").drop("_bit")
+    return _bit(df, key, made, bits, "inner", width).where("_bit").drop("_bit")
 
 
-def surely_not_in(df: DataFrame, key: Column, made: DataFrame, bits: int) -> DataFrame:
+def surely_not_in(df: DataFrame, key: Column, made: DataFrame, bits: int, width: int = _BITS) -> DataFrame:
     """The other rows of ``df``, those that ``maybe_in`` leaves out."""
-    return _bit(df, key, made, bits, "left").where(~F.coalesce("_bit", F.lit(False))).drop("_bit")
+    return _bit(df, key, made, bits, "left", width).where(~F.coalesce("_bit", F.lit(False))).drop("_bit")

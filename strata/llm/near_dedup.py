@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import Scratch, bitmap, documents, keyed_min, map_text, maybe_in, surely_not_in
+from strata.llm.common import PIECE, Scratch, bitmap, documents, keyed_min, map_text, maybe_in, pieces, surely_not_in
 
 K = 5
 THRESHOLD_NUM, THRESHOLD_DEN = 75, 100
@@ -44,7 +44,7 @@ BASE, RATE, Q = 1.001, 20.0, (1 << 16) - 2
 SIGMAS = 6
 BLOCK = 512                  # rows of a bucket block compared at once
 SET_BLOCK = 128              # full sets of a block
-ID_BITS = 1 << 26            # of the bitmaps of ids, 8 MB
+ID_BITS = 1 << 25            # of the bitmaps of ids, 4 MB
 FEW = 2                      # likely pairs of a row with one component that are confirmed singly
 #: Lowest estimate that can belong to a linked pair: six standard deviations below 0.75.
 LEAST = 0.75 - SIGMAS * math.sqrt(0.75 * 0.25 / M)
@@ -477,8 +477,8 @@ def shingle_sets(docs, rows, scratch, id_col, text_col) -> DataFrame:
     ids keeps most other texts out of the join."""
     ids = scratch.table(rows.select("id").distinct(), "shared-ids")
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    made = scratch.table(bitmap(ids, F.col("id"), ID_BITS), "shared-bitmap")
-    near = maybe_in(src, F.col("id"), made, ID_BITS)
+    made = scratch.table(pieces(bitmap(ids, F.col("id"), ID_BITS)), "shared-bitmap")
+    near = maybe_in(src, F.col("id"), made, ID_BITS, 8 * PIECE)
     texts = near.join(ids, "id", "left_semi")
     made = map_text(texts, "text", ["id"], [T.StructField("shingles", T.BinaryType())], _set_maker)
     return scratch.table(made.groupBy("id").agg(F.any_value("shingles").alias("shingles")), "sets")
@@ -500,10 +500,10 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     per = near_duplicates(docs, scratch=inner).groupBy(F.col("doc_id").alias("_id")).agg(F.count_if("kept").alias("_kept"))
     odd = scratch.table(per.where("_kept <> 1"), "odd")
     inner.clear()                   # only the ids are read from here on
-    made = scratch.table(bitmap(odd, F.col("_id"), ID_BITS), "odd-bitmap")
-    others = maybe_in(docs, F.col("doc_id"), made, ID_BITS)
+    made = scratch.table(pieces(bitmap(odd, F.col("_id"), ID_BITS)), "odd-bitmap")
+    others = maybe_in(docs, F.col("doc_id"), made, ID_BITS, 8 * PIECE)
     same = docs["doc_id"].eqNullSafe(odd["_id"])
-    once = surely_not_in(docs, F.col("doc_id"), made, ID_BITS).unionAll(others.join(odd, same, "left_anti"))
+    once = surely_not_in(docs, F.col("doc_id"), made, ID_BITS, 8 * PIECE).unionAll(others.join(odd, same, "left_anti"))
     repeated = odd.where("_kept > 1")
     if repeated.isEmpty():
         return once

@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from strata.llm.common import bitmap, maybe_in, surely_not_in
+from strata.llm.common import PIECE, bitmap, maybe_in, pieces, surely_not_in
 from strata.llm.near_dedup import M, estimate, minima, near_duplicates, registers, shingles, stage
 
 
@@ -129,5 +129,8 @@ def test_the_two_sides_of_a_bitmap(spark):
         assert rest.columns == rows.columns and {None, *range(7, 3000, 7)} <= may
         got = [r.k for r in rest.collect()]
         assert len(got) + len(may) == 5000 and not may & set(got)
+        fine = pieces(made)
+        assert {r.k for r in maybe_in(rows, F.col("k"), fine, bits, 8 * PIECE).collect()} == may
+        assert {r.k for r in surely_not_in(rows, F.col("k"), fine, bits, 8 * PIECE).collect()} == set(got)
     nothing = bitmap(keys.limit(0), F.col("k"), 1 << 26)
     assert surely_not_in(rows, F.col("k"), nothing, 1 << 26).count() == 5000
